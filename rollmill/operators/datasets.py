@@ -124,17 +124,26 @@ def kto_from_labels(docs: DataFrame, labels: DataFrame, key: str, prompt: str, c
     )
 
 
-def step_schedule(df: DataFrame, order: str, steps: int, cols: Sequence[str]) -> DataFrame:
+def step_schedule(
+    df: DataFrame, order: str, cols: Sequence[str], steps: int | None = None, epochs: int | None = None
+) -> DataFrame:
     """The example used at step s is row s mod n in `order` (unique integer).
 
-    Steps are generated in parallel and find their example by an equi-join.
+    With `epochs` every row states its own steps. With `steps`, the steps are
+    generated in parallel and find their example by an equi-join.
     """
-    # an example beyond the last step is never used, so it need not travel
-    examples = dense_index(df.select(order, *cols), [], order, "_i", levels=2).where(F.col("_i") < steps)
+    if (steps is None) == (epochs is None):
+        raise ValueError("give either steps or epochs")
     n = df.agg(F.count(F.lit(1))).scalar()
+    examples = dense_index(df.select(order, *cols), [], order, "_i", levels=2)
+    if epochs is not None:
+        passes = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(epochs - 1).cast("bigint")))
+        out = examples.withColumn("_e", passes).withColumn("step", F.col("_i") + F.col("_e") * n)
+        return out.drop("_i", "_e")
+    # an example beyond the last step is never used, so it need not travel
     return (
         df.sparkSession.range(steps)
         .select(F.col("id").alias("step"), (F.col("id") % n).alias("_i"))
-        .join(examples, "_i")
+        .join(examples.where(F.col("_i") < steps), "_i")
         .drop("_i")
     )

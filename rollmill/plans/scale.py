@@ -18,12 +18,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-BLOCK = 4096
-FAN = 1024
+BLOCK_BITS = 12
+FAN_BITS = 10
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 
+def block_of(order: str, bits: int) -> Column:
+    """Block number of an integer: floor division by 2**bits."""
+    return F.shiftright(F.col(order).cast("bigint"), bits)
+
+
 def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join `facts` (at most one row per key) onto `rows`.
 
@@ -44,21 +49,21 @@ def running_total(
     order: str,
     value: str,
     out: str,
-    block: int = BLOCK,
+    bits: int = BLOCK_BITS,
     levels: int = 1,
 ) -> DataFrame:
     """Inclusive running sum of `value` per key in integer `order`.
 
-    `order` is unique per key, so a block never exceeds `block` rows.
+    `order` is unique per key, so a block never exceeds 2**bits rows.
     """
     keys = list(keys)
     if levels == 0:
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value).over(w))
     b, t, c = f"_b{levels}", f"_t{levels}", f"_c{levels}"
-    blocked = df.withColumn(b, F.floor(F.col(order) / F.lit(block)).cast("bigint"))
+    blocked = df.withColumn(b, block_of(order, bits))
     totals = blocked.groupBy(*keys, b).agg(F.sum(value).alias(t))
-    carry = running_total(totals, keys, b, t, c, block, levels - 1)
+    carry = running_total(totals, keys, b, t, c, bits, levels - 1)
     carry = carry.select(*keys, b, (F.col(c) - F.col(t)).alias(c))
     w = Window.partitionBy(*keys, b).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
@@ -70,12 +75,12 @@ def running_total(
 
 
 def dense_index(
-    df: DataFrame, keys: Sequence[str], order: str, out: str, block: int = BLOCK, levels: int = 1
+    df: DataFrame, keys: Sequence[str], order: str, out: str, bits: int = BLOCK_BITS, levels: int = 1
 ) -> DataFrame:
     """0-based position of each row per key; `order` is an integer, unique per key."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
     return (
-        running_total(one, keys, order, "_one", out, block, levels)
+        running_total(one, keys, order, "_one", out, bits, levels)
         .withColumn(out, (F.col(out) - 1).cast("bigint"))
         .drop("_one")
     )
@@ -125,7 +130,7 @@ def row_index(
 
 
 def next_row(
-    df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], prefix: str = "next_", block: int = BLOCK
+    df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], prefix: str = "next_", bits: int = BLOCK_BITS
 ) -> DataFrame:
     """Values of `cols` in the following row per key (NULL on the last row).
 
@@ -133,7 +138,7 @@ def next_row(
     the next block that has one.
     """
     keys = list(keys)
-    blocked = df.withColumn("_b", F.floor(F.col(order) / F.lit(block)).cast("bigint"))
+    blocked = df.withColumn("_b", block_of(order, bits))
     packed = F.struct(*cols)
     heads = blocked.groupBy(*keys, "_b").agg(F.min_by(packed, order).alias("_head"))
     following = heads.select(
@@ -153,26 +158,26 @@ def linear_scan(
     term: Column,
     out: str,
     keep: Sequence[str] = (),
-    fan: int = FAN,
+    bits: int = FAN_BITS,
     levels: int = 2,
 ) -> DataFrame:
     """x_t = coef_t * x_(t-1) + term_t per key in integer `order`, x before the first row = 0.
 
     Returns keys, order, `keep`, `out` (x_t) and `out`_prev (x_(t-1)).
     Each step is an affine map and affine maps compose, so a block of at most
-    `fan` rows folds into one map; the carries entering the blocks are the
+    2**bits rows folds into one map; the carries entering the blocks are the
     same scan one level up. With the default two levels the last fold holds
-    one entry per fan**2 steps.
+    one entry per 4**bits steps.
     """
     keys = list(keys)
-    block = F.floor(F.col(order) / F.lit(fan)) if levels else F.lit(0)
+    block = block_of(order, bits) if levels else F.lit(0).cast("bigint")
     entry = F.struct(
         F.col(order).alias("o"),
         coef.cast("double").alias("a"),
         term.cast("double").alias("c"),
         *[F.col(k) for k in keep],
     )
-    blocks = df.groupBy(*keys, block.cast("bigint").alias("_b")).agg(
+    blocks = df.groupBy(*keys, block.alias("_b")).agg(
         F.sort_array(F.collect_list(entry)).alias("_e")
     )
     point = "struct<a0:double,c0:double,a1:double,c1:double>"
@@ -188,7 +193,7 @@ def linear_scan(
     folded = blocks.withColumn("_f", F.aggregate("_e", start, step))
     if levels:
         maps = folded.select(*keys, "_b", F.col("_f.a").alias("_a"), F.col("_f.c").alias("_c"))
-        carry = linear_scan(maps, keys, "_b", F.col("_a"), F.col("_c"), "_x", (), fan, levels - 1)
+        carry = linear_scan(maps, keys, "_b", F.col("_a"), F.col("_c"), "_x", (), bits, levels - 1)
         folded = folded.join(carry.select(*keys, "_b", F.col("_x_prev").alias("_in")), [*keys, "_b"])
     else:
         folded = folded.withColumn("_in", F.lit(0.0))

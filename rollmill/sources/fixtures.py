@@ -19,20 +19,22 @@ RUN_KEYS = ("run_id", "step", "prompt_id")
 
 def run_steps(orders: DataFrame, per_order: DataFrame) -> DataFrame:
     """Orders with lines, numbered within their priority."""
-    used = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left_semi")
+    # asking for the count keeps this aggregate equal to the one hot keys come from, so its shuffle is reused
+    lined = per_order.where("n_lines > 0")
+    used = orders.join(lined, orders.o_orderkey == lined.l_orderkey, "left_semi")
     return dense_index(used, ["o_orderpriority"], "o_orderkey", "step")
 
 
 def arith_rollouts(spark: SparkSession, root: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """one order is a prompt and a step of its run, one line is a sample."""
-    lines = table(spark, root, "lineitem")
+    lines = table(spark, root, "lineitem").where("l_orderkey is not null")
     orders = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     order = (
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    coarse = [F.col("l_linenumber").cast("bigint"), F.floor(F.col("l_partkey") / 1024)]
+    coarse = [F.col("l_linenumber").cast("bigint"), F.shiftright("l_partkey", 10)]
     samples = row_index(lines, ["l_orderkey"], order, coarse, per_order, "n_lines", "sample_id", hot_rows)
     return (
         samples.withColumnRenamed("l_orderkey", "o_orderkey")
