@@ -81,8 +81,11 @@ def fit_ngram_lm(
     weight = F.lit(1) if weight is None else weight
     flags = [F.when(cond, weight).otherwise(0).alias(f"n_{m}") for m, cond in models.items()]
     rows = _context_and_words(docs.where(reduce(lambda a, b: a | b, models.values())), text, prompt, n)
+    # stated once here, or Spark infers it in some readers of the counts only and cannot share their shuffle
+    known = "ctx is not null and w is not null"
     ngrams = (
         rows.select(*flags, F.inline(_zipped()))
+        .where(known)
         .groupBy("ctx", "w")
         .agg(*[F.sum(f"n_{m}").alias(f"n_{m}") for m in models])
     )

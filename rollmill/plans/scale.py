@@ -13,6 +13,7 @@ Key columns are expected to be non-NULL.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,11 @@ def block_of(order: str, bits: int) -> Column:
     return F.shiftright(F.col(order).cast("bigint"), bits)
 
 
+def _present(keys: Sequence[str], order: str) -> Column:
+    """What the joins below imply; stated at the source so all readers plan the same, shareable shuffle."""
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, order)])
+
+
 def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join `facts` (at most one row per key) onto `rows`.
 
@@ -61,7 +67,7 @@ def running_total(
         w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(value).over(w))
     b, t, c = f"_b{levels}", f"_t{levels}", f"_c{levels}"
-    blocked = df.withColumn(b, block_of(order, bits))
+    blocked = df.where(_present(keys, order)).withColumn(b, block_of(order, bits)).where(F.col(b).isNotNull())
     totals = blocked.groupBy(*keys, b).agg(F.sum(value).alias(t))
     carry = running_total(totals, keys, b, t, c, bits, levels - 1)
     carry = carry.select(*keys, b, (F.col(c) - F.col(t)).alias(c))
@@ -138,7 +144,7 @@ def next_row(
     the next block that has one.
     """
     keys = list(keys)
-    blocked = df.withColumn("_b", block_of(order, bits))
+    blocked = df.where(_present(keys, order)).withColumn("_b", block_of(order, bits)).where("_b is not null")
     packed = F.struct(*cols)
     heads = blocked.groupBy(*keys, "_b").agg(F.min_by(packed, order).alias("_head"))
     following = heads.select(
