@@ -104,12 +104,12 @@ def doc_advantage(fn):
 
 
 def a7(spark, root):
-    base = A.ema_baseline(fx.verified_rollouts(spark, root))
+    base = A.ema_baseline(fx.verified_rollouts(spark, root), dense=True)
     return rounded_cols(base, ["step_mean", "baseline", "baseline_next"])
 
 
 def a8(spark, root):
-    return rows(A.adv_reinforce_pp(fx.verified_rollouts(spark, root)), "adv", "baseline")
+    return rows(A.adv_reinforce_pp(fx.verified_rollouts(spark, root), dense=True), "adv", "baseline")
 
 
 def charged(spark, root):
@@ -132,7 +132,7 @@ def a10(spark, root):
 def trajectories(spark, root):
     """Prompt = trajectory, sample = time step, logged log-prob = value estimate."""
     steps = fx.verified_rollouts(spark, root).withColumnRenamed("lp_new", "value")
-    return A.gae(steps, ["prompt_id"], "sample_id", gamma=0.99, lam=0.95, keep=("lp_old", "lp_ref"))
+    return A.gae(steps, ["prompt_id"], "sample_id", gamma=0.99, lam=0.95, keep=("lp_old", "lp_ref"), dense=True)
 
 
 def a11(spark, root):

@@ -27,7 +27,7 @@ def clip(x: Column, lo: Column | float | None = None, hi: Column | float | None
 
 def words(text: Column) -> Column:
     """Lower-cased whitespace tokens; the token unit of this engine."""
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), r"\s+"), "")
 
 
 def n_words(text: Column) -> Column:

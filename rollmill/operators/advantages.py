@@ -101,19 +101,21 @@ def adv_rloo(rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "rew
 
 
 def ema_baseline(
-    rollouts: DataFrame, run: Sequence[str] = ("run_id",), order: str = "step", alpha: float = 0.9, reward: str = "reward"
+    rollouts: DataFrame,
+    run: Sequence[str] = ("run_id",),
+    order: str = "step",
+    alpha: float = 0.9,
+    reward: str = "reward",
+    dense: bool = False,
 ) -> DataFrame:
-    """Per step, the running baseline before (`baseline`) and after (`baseline_next`) that step."""
+    """Per step, the running baseline before (`baseline`) and after (`baseline_next`) that step.
+
+    `dense` promises that every run's steps are consecutive integers.
+    """
     means = rollouts.groupBy(*run, order).agg(F.avg(reward).alias("step_mean"))
-    return linear_scan(
-        means,
-        run,
-        order,
-        F.lit(float(alpha)),
-        F.lit(1.0 - alpha) * F.col("step_mean"),
-        "baseline_next",
-        keep=("step_mean",),
-    ).withColumnRenamed("baseline_next_prev", "baseline")
+    gains = means.withColumn("_gain", F.lit(1.0 - alpha) * F.col("step_mean"))
+    scanned = linear_scan(gains, run, order, alpha, "_gain", "baseline_next", dense=dense)
+    return scanned.withColumnRenamed("baseline_next_prev", "baseline").drop("_gain")
 
 
 def adv_reinforce_pp(
@@ -124,13 +126,14 @@ def adv_reinforce_pp(
     run: Sequence[str] = ("run_id",),
     order: str = "step",
     alpha: float = 0.9,
+    dense: bool = False,
 ) -> DataFrame:
     """Reward less the running baseline, standardised in the group, clipped.
 
     The baseline is constant within a group and cancels in the z-score; it is
     kept as a column because its drift is worth watching.
     """
-    base = ema_baseline(rollouts, run, order, alpha, reward).select(*run, order, "baseline")
+    base = ema_baseline(rollouts, run, order, alpha, reward, dense).select(*run, order, "baseline")
     stats = attach(group_stats(rollouts, keys, reward).where(has_signal("var")), base, [*run, order])
     shifted = F.col(reward) - F.col("baseline")
     centre = F.col("mu") - F.col("baseline")
@@ -179,20 +182,17 @@ def gae(
     gamma: float = 1.0,
     lam: float = 0.95,
     keep: Sequence[str] = (),
+    dense: bool = False,
 ) -> DataFrame:
     """Generalised advantage estimates and returns; the value after the last step is 0.
 
-    A reverse discounted scan, hence a scan in -time.
+    A reverse discounted scan, hence a scan in -time. `dense` promises that
+    every trajectory's times are consecutive integers.
     """
     nxt = next_row(steps.select(*keys, time, reward, value, *keep), keys, time, [value])
     delta = F.col(reward) + F.lit(float(gamma)) * F.coalesce("next_" + value, F.lit(0.0)) - F.col(value)
-    scanned = linear_scan(
-        nxt.withColumn("_back", -F.col(time)),
-        keys,
-        "_back",
-        F.lit(float(gamma * lam)),
-        delta,
-        "adv",
-        keep=(time, reward, value, *keep),
+    backward = nxt.withColumn("_back", -F.col(time)).withColumn("_delta", delta)
+    scanned = linear_scan(backward, keys, "_back", gamma * lam, "_delta", "adv", dense=dense)
+    return scanned.withColumn("returns", F.col("adv") + F.col(value)).drop(
+        "_back", "_delta", "adv_prev", "next_" + value
     )
-    return scanned.withColumn("returns", F.col("adv") + F.col(value)).drop("_back", "adv_prev")

@@ -4,35 +4,42 @@
   partitions AQE can split.
 * `running_total`, `dense_index`, `row_index`, `next_row` and `linear_scan`
   replace ordered windows over a whole key: the key is cut into blocks of
-  bounded size, each block is one small window or array, and only one row per
-  block travels to the next level.
+  bounded size, each block is one small window, and only one row per block
+  travels to the next level.
 
 Key columns are expected to be non-NULL.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 BLOCK_BITS = 12
-FAN_BITS = 10
+# a factor of 10**-NEGLIGIBLE cannot reach the last digit of a double
+NEGLIGIBLE = 40.0
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 
 
-def block_of(order: str, bits: int) -> Column:
+def block_of(order: str, bits: int) -> str:
     """Block number of an integer: floor division by 2**bits."""
-    return F.shiftright(F.col(order).cast("bigint"), bits)
+    return f"shiftright(cast({order} as bigint), {bits})"
 
 
-def _present(keys: Sequence[str], order: str) -> Column:
+def _present(keys: Sequence[str], order: str) -> str:
     """What the joins below imply; stated at the source so all readers plan the same, shareable shuffle."""
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, order)])
+    return " and ".join(f"{c} is not null" for c in (*keys, order))
+
+
+def _over(keys: Sequence[str], order: Sequence[str], rows: str = "") -> str:
+    """An OVER clause; `rows` is the frame before the current row, if any."""
+    by = f"partition by {', '.join(keys)} " if keys else ""
+    frame = f" rows between unbounded preceding and {rows}" if rows else ""
+    return f"over ({by}order by {', '.join(order)}{frame})"
 
 
 def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -64,20 +71,15 @@ def running_total(
     """
     keys = list(keys)
     if levels == 0:
-        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(value).over(w))
+        return df.withColumn(out, F.expr(f"sum({value}) {_over(keys, [order], 'current row')}"))
     b, t, c = f"_b{levels}", f"_t{levels}", f"_c{levels}"
-    blocked = df.where(_present(keys, order)).withColumn(b, block_of(order, bits)).where(F.col(b).isNotNull())
+    blocked = df.where(_present(keys, order)).withColumn(b, F.expr(block_of(order, bits))).where(f"{b} is not null")
     totals = blocked.groupBy(*keys, b).agg(F.sum(value).alias(t))
     carry = running_total(totals, keys, b, t, c, bits, levels - 1)
-    carry = carry.select(*keys, b, (F.col(c) - F.col(t)).alias(c))
-    w = Window.partitionBy(*keys, b).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        blocked.withColumn(out, F.sum(value).over(w))
-        .join(carry, [*keys, b])
-        .withColumn(out, F.col(out) + F.col(c))
-        .drop(b, c)
-    )
+    carry = carry.selectExpr(*keys, b, f"{c} - {t} as {c}")
+    inside = F.expr(f"sum({value}) {_over([*keys, b], [order], 'current row')}")
+    joined = blocked.withColumn(out, inside).join(carry, [*keys, b])
+    return joined.withColumn(out, F.expr(f"{out} + {c}")).drop(b, c)
 
 
 def dense_index(
@@ -85,11 +87,8 @@ def dense_index(
 ) -> DataFrame:
     """0-based position of each row per key; `order` is an integer, unique per key."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    return (
-        running_total(one, keys, order, "_one", out, bits, levels)
-        .withColumn(out, (F.col(out) - 1).cast("bigint"))
-        .drop("_one")
-    )
+    counted = running_total(one, keys, order, "_one", out, bits, levels)
+    return counted.withColumn(out, F.expr(f"cast({out} - 1 as bigint)")).drop("_one")
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], n: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -106,7 +105,7 @@ def row_index(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    coarse: Sequence[Column],
+    coarse: Sequence[str],
     counts: DataFrame,
     n: str,
     out: str,
@@ -121,18 +120,13 @@ def row_index(
     keys = list(keys)
     hot = hot_keys(counts, keys, n, hot_rows).withColumn("_hot", F.lit(True))
     part = [f"_k{i}" for i in range(len(coarse))]
-    tagged = df.join(F.broadcast(hot), keys, "left")
-    for name, expr in zip(part, coarse, strict=True):
-        tagged = tagged.withColumn(name, F.when(F.col("_hot"), expr))
+    cuts = [f"case when _hot then {e} end as {p}" for p, e in zip(part, coarse, strict=True)]
+    tagged = df.join(F.broadcast(hot), keys, "left").selectExpr("*", *cuts)
     blocks = tagged.where("_hot").groupBy(*keys, *part).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(*keys, *part, F.sum("_n").over(before).alias("_off"))
-    local = tagged.withColumn(out, F.row_number().over(Window.partitionBy(*keys, *part).orderBy(*order)))
-    return (
-        local.join(offsets, [*keys, *part], "left")
-        .withColumn(out, (F.col(out) - 1 + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint"))
-        .drop("_hot", "_off", *part)
-    )
+    offsets = blocks.selectExpr(*keys, *part, f"sum(_n) {_over(keys, part, '1 preceding')} as _off")
+    local = tagged.withColumn(out, F.expr(f"row_number() {_over([*keys, *part], order)}"))
+    position = F.expr(f"cast({out} - 1 + coalesce(_off, 0) as bigint)")
+    return local.join(offsets, [*keys, *part], "left").withColumn(out, position).drop("_hot", "_off", *part)
 
 
 def next_row(
@@ -144,73 +138,59 @@ def next_row(
     the next block that has one.
     """
     keys = list(keys)
-    blocked = df.where(_present(keys, order)).withColumn("_b", block_of(order, bits)).where("_b is not null")
-    packed = F.struct(*cols)
-    heads = blocked.groupBy(*keys, "_b").agg(F.min_by(packed, order).alias("_head"))
-    following = heads.select(
-        *keys, "_b", F.lead("_head").over(Window.partitionBy(*keys).orderBy("_b")).alias("_after")
-    )
-    inside = F.lead(packed).over(Window.partitionBy(*keys, "_b").orderBy(order))
+    blocked = df.where(_present(keys, order)).withColumn("_b", F.expr(block_of(order, bits))).where("_b is not null")
+    packed = f"struct({', '.join(cols)})"
+    heads = blocked.groupBy(*keys, "_b").agg(F.expr(f"min_by({packed}, {order}) as _head"))
+    following = heads.selectExpr(*keys, "_b", f"lead(_head) {_over(keys, ['_b'])} as _after")
+    inside = F.expr(f"lead({packed}) {_over([*keys, '_b'], [order])}")
     joined = blocked.withColumn("_next", inside).join(following, [*keys, "_b"])
-    pick = F.coalesce("_next", "_after")
-    return joined.select(*df.columns, *[pick[c].alias(prefix + c) for c in cols])
+    return joined.selectExpr(*df.columns, *[f"coalesce(_next, _after).{c} as {prefix}{c}" for c in cols])
 
 
 def linear_scan(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    coef: Column,
-    term: Column,
+    coef: float,
+    term: str,
     out: str,
-    keep: Sequence[str] = (),
-    bits: int = FAN_BITS,
-    levels: int = 2,
+    bits: int = BLOCK_BITS,
+    dense: bool = False,
 ) -> DataFrame:
-    """x_t = coef_t * x_(t-1) + term_t per key in integer `order`, x before the first row = 0.
+    """x_t = coef * x_(t-1) + term_t per key in integer `order`, x before the first row = 0.
+
+    Adds `out` (x_t) and `out`_prev (x_(t-1)). 0 < coef < 1. `dense` promises
+    that `order` holds consecutive integers per key, from any start.
 
-    Returns keys, order, `keep`, `out` (x_t) and `out`_prev (x_(t-1)).
-    Each step is an affine map and affine maps compose, so a block of at most
-    2**bits rows folds into one map; the carries entering the blocks are the
-    same scan one level up. With the default two levels the last fold holds
-    one entry per 4**bits steps.
+    A block of L consecutive rows needs one number from outside, the x it
+    starts from; inside, x is a running sum of terms scaled by coef**-i. The x
+    at the block ends follow the same recurrence with coefficient coef**L, so
+    they come from the same scan over one row per block. Blocks are kept short
+    enough for coef**-L to stay a plain double, and the recursion stops where
+    coef**L no longer reaches a double's last digit.
     """
+    if not 0.0 < coef < 1.0:
+        raise ValueError(f"coef must lie between 0 and 1, not {coef}")
     keys = list(keys)
-    block = block_of(order, bits) if levels else F.lit(0).cast("bigint")
-    entry = F.struct(
-        F.col(order).alias("o"),
-        coef.cast("double").alias("a"),
-        term.cast("double").alias("c"),
-        *[F.col(k) for k in keep],
-    )
-    blocks = df.groupBy(*keys, block.alias("_b")).agg(
-        F.sort_array(F.collect_list(entry)).alias("_e")
-    )
-    point = "struct<a0:double,c0:double,a1:double,c1:double>"
-    start = F.struct(
-        F.lit(1.0).alias("a"), F.lit(0.0).alias("c"), F.array().cast(f"array<{point}>").alias("path")
-    )
-
-    def step(acc, x):
-        a, c = acc["a"] * x["a"], acc["c"] * x["a"] + x["c"]
-        here = F.struct(acc["a"].alias("a0"), acc["c"].alias("c0"), a.alias("a1"), c.alias("c1"))
-        return F.struct(a.alias("a"), c.alias("c"), F.concat(acc["path"], F.array(here)).alias("path"))
-
-    folded = blocks.withColumn("_f", F.aggregate("_e", start, step))
-    if levels:
-        maps = folded.select(*keys, "_b", F.col("_f.a").alias("_a"), F.col("_f.c").alias("_c"))
-        carry = linear_scan(maps, keys, "_b", F.col("_a"), F.col("_c"), "_x", (), bits, levels - 1)
-        folded = folded.join(carry.select(*keys, "_b", F.col("_x_prev").alias("_in")), [*keys, "_b"])
+    df = df.withColumn("_p", F.col(order).cast("bigint")) if dense else dense_index(df, keys, order, "_p", bits)
+    decay = -math.log10(coef)
+    bits = max(0, min(bits, int(math.log2(200.0 / decay)) if decay < 200.0 else 0))
+    last = (1 << bits) - 1
+    c = f"{coef!r}D"
+    blocked = df.selectExpr("*", f"{block_of('_p', bits)} as _b", f"_p & {last} as _i").where(_present(keys, "_b"))
+    # only full blocks have a successor, hence the fixed exponent
+    ends = blocked.groupBy(*keys, F.expr("_b + 1 as _e")).agg(F.expr(f"sum({term} * pow({c}, {last} - _i)) as _t"))
+    if decay * (last + 1) < NEGLIGIBLE:
+        carry = linear_scan(ends, keys, "_e", coef ** (last + 1), "_t", "_x", dense=True)
     else:
-        folded = folded.withColumn("_in", F.lit(0.0))
-    flat = folded.select(
-        *keys, "_in", F.explode(F.arrays_zip(F.col("_e").alias("e"), F.col("_f.path").alias("p"))).alias("_z")
-    )
-    e, p = F.col("_z")["e"], F.col("_z")["p"]
-    return flat.select(
-        *keys,
-        e["o"].alias(order),
-        *[e[k].alias(k) for k in keep],
-        (p["a1"] * F.col("_in") + p["c1"]).alias(out),
-        (p["a0"] * F.col("_in") + p["c0"]).alias(out + "_prev"),
+        carry = ends.withColumnRenamed("_t", "_x")
+    carry = carry.selectExpr(*keys, "_e as _b", "_x as _in")
+    scaled = f"sum({term} * pow({c}, -_i)) {_over([*keys, '_b'], ['_p'], '1 preceding')}"
+    before = f"pow({c}, _i - 1) * coalesce(_s, 0D) + pow({c}, _i) * coalesce(_in, 0D)"
+    return (
+        blocked.withColumn("_s", F.expr(scaled))
+        .join(carry, [*keys, "_b"], "left")
+        .withColumn(f"{out}_prev", F.expr(before))
+        .withColumn(out, F.expr(f"{c} * {out}_prev + {term}"))
+        .drop("_p", "_b", "_i", "_s", "_in")
     )

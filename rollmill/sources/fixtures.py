@@ -12,10 +12,29 @@ from rollmill.functions.verifiers import first_int_reward
 from rollmill.operators.datasets import adjacent_turns
 from rollmill.operators.selection import best_worst
 from rollmill.plans.scale import HOT_ROWS, dense_index, next_row, row_index
-from rollmill.sources.tables import table
+from rollmill.sources.tables import spread, table
 
 RUN_KEYS = ("run_id", "step", "prompt_id")
 
+GOLD = "o_orderkey % 10 + o_custkey % 10"
+LP = "-(l_extendedprice / 10000)"
+ROLLOUT_COLUMNS = (
+    "o_orderpriority as run_id",
+    "step",
+    "o_orderkey as prompt_id",
+    "concat(cast(o_orderkey % 10 as string), '+', cast(o_custkey % 10 as string), '=?') as prompt",
+    f"{GOLD} as gold",
+    "sample_id",
+    f"""case when l_returnflag = 'N' then concat('答案是', cast({GOLD} as string))
+             when l_returnflag = 'A' then cast({GOLD} + 1 + l_linenumber % 3 as string)
+             when l_quantity < 25 then '不知道。'
+             else concat(cast({GOLD} as string), repeat(' ok', l_linenumber)) end as response""",
+    "cast(case when l_returnflag = 'R' and l_quantity >= 25 then 1 + l_linenumber else 1 end as bigint) as n_tok",
+    f"{LP} as lp_new",
+    f"{LP} + (l_discount - 0.05D) as lp_old",
+    f"{LP} + (l_tax - 0.04D) as lp_ref",
+)
+
 
 def run_steps(orders: DataFrame, per_order: DataFrame) -> DataFrame:
     """Orders with lines, numbered within their priority."""
@@ -34,39 +53,13 @@ def arith_rollouts(spark: SparkSession, root: str, hot_rows: int = HOT_ROWS) ->
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    coarse = [F.col("l_linenumber").cast("bigint"), F.shiftright("l_partkey", 10)]
+    coarse = ["cast(l_linenumber as bigint)", "shiftright(l_partkey, 10)"]
     samples = row_index(lines, ["l_orderkey"], order, coarse, per_order, "n_lines", "sample_id", hot_rows)
     return (
         samples.withColumnRenamed("l_orderkey", "o_orderkey")
         .join(run_steps(orders, per_order), "o_orderkey")
-        .select(*rollout_columns())
-    )
-
-
-def rollout_columns():
-    a, b = F.col("o_orderkey") % 10, F.col("o_custkey") % 10
-    total = (a + b).cast("string")
-    padded = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 25)
-    response = (
-        F.when(F.col("l_returnflag") == "N", F.concat(F.lit("答案是"), total))
-        .when(F.col("l_returnflag") == "A", (a + b + 1 + F.col("l_linenumber") % 3).cast("string"))
-        .when(F.col("l_quantity") < 25, F.lit("不知道。"))
-        .otherwise(F.concat(total, F.repeat(F.lit(" ok"), F.col("l_linenumber"))))
+        .selectExpr(*ROLLOUT_COLUMNS)
     )
-    lp = -(F.col("l_extendedprice") / 10000)
-    return [
-        F.col("o_orderpriority").alias("run_id"),
-        F.col("step"),
-        F.col("o_orderkey").alias("prompt_id"),
-        F.concat(a.cast("string"), F.lit("+"), b.cast("string"), F.lit("=?")).alias("prompt"),
-        (a + b).alias("gold"),
-        F.col("sample_id"),
-        response.alias("response"),
-        F.when(padded, 1 + F.col("l_linenumber")).otherwise(1).cast("bigint").alias("n_tok"),
-        lp.alias("lp_new"),
-        (lp + (F.col("l_discount") - F.lit(0.05))).alias("lp_old"),
-        (lp + (F.col("l_tax") - F.lit(0.04))).alias("lp_ref"),
-    ]
 
 
 def verified_rollouts(spark: SparkSession, root: str) -> DataFrame:
@@ -133,7 +126,8 @@ def spin_generations(spark: SparkSession, root: str) -> DataFrame:
 def labelled_documents(spark: SparkSession, root: str) -> DataFrame:
     """All documents with their labels where they have some."""
     labels = table(spark, root, "labels").select("doc_id", "quality", "toxic")
-    return table(spark, root, "documents").select("doc_id", "text").join(labels, "doc_id", "left")
+    docs = spread(table(spark, root, "documents").select("doc_id", "text"), "doc_id")
+    return docs.join(labels, "doc_id", "left")
 
 
 def model_filters():

@@ -15,8 +15,7 @@ def con(root):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, con, root, name):
-    oracle = con.sql(ORACLES[name])
-    assert oracle.fetchone() is not None, "an empty result proves nothing"
+    assert con.sql(ORACLES[name]).limit(1).fetchall(), "an empty result proves nothing"
     assert check.difference(spec.queries()[name](spark, root), con.sql(ORACLES[name])) is None
 
 

@@ -1,5 +1,6 @@
 """Plans: what they shuffle, and that one huge key neither changes results nor lands in one task."""
 
+import math
 import random
 import re
 
@@ -49,29 +50,37 @@ def test_next_row_equals_lead(gappy):
     assert order(got.collect()) == order(want.collect())
 
 
-@pytest.mark.parametrize("levels", [0, 1, 2, 3])
-def test_linear_scan_equals_the_loop(gappy, levels):
-    got = scale.linear_scan(gappy, ["key"], "o", F.lit(0.9), F.col("x"), "y", keep=["v"], bits=2, levels=levels)
+@pytest.mark.parametrize("coef", [1e-6, 0.3, 0.9, 0.999, 0.999999])
+@pytest.mark.parametrize("bits", [1, 3, 12])
+def test_linear_scan_equals_the_loop(gappy, coef, bits):
+    got = scale.linear_scan(gappy, ["key"], "o", coef, "x", "y", bits=bits)
     found = {(r.key, r.o): (r.v, r.y_prev, r.y) for r in got.collect()}
     seen = 0
     for key in ("hot", "warm", "one"):
         y = 0.0
         for r in gappy.where(F.col("key") == key).orderBy("o").collect():
-            before, y = y, 0.9 * y + r.x
+            before, y = y, coef * y + r.x
             v, y_prev, y_now = found[key, r.o]
-            assert v == r.v and (y_prev, y_now) == pytest.approx((before, y))
+            assert v == r.v and (y_prev, y_now) == pytest.approx((before, y), rel=1e-9)
             seen += 1
     assert seen == len(found)
 
 
-def test_linear_scan_with_a_changing_coefficient(gappy):
-    got = scale.linear_scan(gappy, ["key"], "o", F.col("x"), F.col("v"), "y", bits=3)
-    y = 0.0
-    want = {}
-    for r in gappy.where("key = 'hot'").orderBy("o").collect():
-        y = r.x * y + r.v
-        want[r.o] = y
-    assert {r.o: r.y for r in got.where("key = 'hot'").collect()} == pytest.approx(want)
+def test_linear_scan_of_a_long_key_stays_exact(spark):
+    """Many blocks, and a coefficient whose memory spans several of them."""
+    n, coef = 20_000, 0.9995
+    df = spark.range(n).select(F.lit("k").alias("key"), "id", F.sin("id").alias("x"))
+    got = [r.y for r in scale.linear_scan(df, ["key"], "id", coef, "x", "y", bits=8, dense=True).orderBy("id").collect()]
+    y, want = 0.0, []
+    for i in range(n):
+        y = coef * y + math.sin(i)
+        want.append(y)
+    assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_linear_scan_refuses_a_growing_recurrence(gappy):
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        scale.linear_scan(gappy, ["key"], "o", 1.0, "x", "y")
 
 
 def test_hot_orders_are_numbered_alike(spark, root):
