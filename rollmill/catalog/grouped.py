@@ -215,7 +215,7 @@ def d4(spark, root):
 
 def d5(spark, root):
     judged = fx.arith_rollouts(spark, root).withColumn("score", V.rule_judge(F.col("response"), ("是", "ok"), 4, 80))
-    return S.best_worst_pairs(judged, "score", A.KEYS)
+    return S.best_worst_pairs(judged, "score", A.KEYS, judge="rule")
 
 
 def d6(spark, root):
@@ -440,7 +440,7 @@ ENTRIES = {
         f"""with {ARITH_ROLLOUTS}, j as (select *, case when (contains(response, '是') or contains(response, 'ok'))
         and length(response) between 4 and 80 then 1::double else 0::double end as score from arith_rollouts)
         select run_id, step, prompt_id, {BEST}, max(score) as best_score, min(score) as worst_score,
-               max(score) = min(score) as tied from j group by run_id, step, prompt_id""",
+               max(score) = min(score) as tied, 'rule' as judge from j group by run_id, step, prompt_id""",
     ),
     "d6_spin_pairs": Entry(
         d6,

@@ -74,8 +74,8 @@ def l8(spark, root):
 
 
 def v3(spark, root):
-    judged = rule_judge(F.col("response"), marks=(".",))
-    return fx.sft_turns(spark, root).select(*TURN, judged.alias("score"))
+    judged = {c: rule_judge(F.col(c), marks=(".",)) for c in ("prompt", "response")}
+    return fx.sft_turns(spark, root).select(*TURN, *[j.alias(f"{c}_score") for c, j in judged.items()])
 
 
 def v4(spark, root):
@@ -208,9 +208,12 @@ ENTRIES = {
     ),
     "v3_rule_judge": Entry(
         v3,
-        f"""with {SFT_TURNS} select conv_id, turn,
-        case when contains(response, '.') and length(response) between 10 and 80 then 1::double else 0::double end as score
-        from sft_turns""",
+        f"with {SFT_TURNS} select conv_id, turn, "
+        + ", ".join(
+            f"case when contains({c}, '.') and length({c}) between 10 and 80 then 1::double else 0::double end as {c}_score"
+            for c in ("prompt", "response")
+        )
+        + " from sft_turns",
     ),
     "v4_signature_hit": Entry(
         v4,

@@ -51,6 +51,11 @@ def m6(spark, root):
     return rounded_cols(M.step_report(fx.verified_rollouts(spark, root)), ["mu", "sigma", "r_min", "r_max"])
 
 
+def m6_history(spark, root):
+    report = M.step_report(fx.verified_rollouts(spark, root))
+    return rounded_cols(M.metric_history(report, ["run_id", "step"], ["mu", "sigma", "kept", "skipped"]), ["value"])
+
+
 def m6_loss(spark, root):
     """The loss column of the step report, from the group-baseline advantage."""
     adv = A.adv_dr_grpo(fx.verified_rollouts(spark, root))
@@ -99,6 +104,15 @@ ENTRIES = {
                any_value(kept) as kept, any_value(skipped) as skipped
         from v join e on e.run_id = v.run_id and e.step = v.step group by v.run_id, v.step""",
     ),
+    "m6_metric_history": Entry(
+        m6_history,
+        f"""with {STATS}, e as (select run_id, step, avg(reward) as mu, stddev_pop(reward) as sigma,
+        max(case when var >= 1e-12 then 1 else 0 end)::double as kept from g group by run_id, step)
+        select run_id, step, 'mu' as name, {r('mu')} as value from e
+        union all select run_id, step, 'sigma', {r('sigma')} from e
+        union all select run_id, step, 'kept', {r('kept')} from e
+        union all select run_id, step, 'skipped', {r('1 - kept')} from e""",
+    ),
     "m6_step_loss": Entry(
         m6_loss,
         f"""with {STATS} select run_id, step, count(*) as n_rows, {r('sum(-(reward - mu) * lp_new / 5)')} as loss

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rollmill.catalog.entries import (
     DOC_ROLLOUTS,
     SCORED_PAIRS,
+    SPIN_GENERATIONS,
     Entry,
     lm_sql,
     nls,
@@ -156,7 +157,17 @@ def pair_sql(**cols):
 
 ENTRIES = {
     "p1_dpo_loss": Entry(p1, pair_sql(loss=DPO)),
-    "p1_spin_dpo": Entry(p1_spin),
+    "p1_spin_dpo": Entry(
+        p1_spin,
+        f"""with {SPIN_GENERATIONS}, sp as (
+        select conv_id, turn, prompt, 'c' as side, response from sft_turns
+        union all select conv_id, turn, prompt, 'r', case when trim(generation) = '' then '（空）' else generation end
+        from sft_turns join spin_generations using (conv_id, turn)),
+        {lm_sql(('policy', 'ref'))}, {tokens_sql(('policy', 'ref'), 'sp', 'conv_id, turn, side')},
+        d as (select conv_id, turn, sum(case when side = 'c' then lp_policy - lp_ref else lp_ref - lp_policy end) as m
+              from tk group by conv_id, turn)
+        select conv_id, turn, {r('m', 4)} as margin, {r(nls('0.1::double * m'), 4)} as loss from d""",
+    ),
     "p2_dpo_metrics": Entry(
         p2,
         f"with {SCORED_PAIRS} select run_id, count(*) as n_pairs, "

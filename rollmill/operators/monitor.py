@@ -90,6 +90,12 @@ def step_report(
     )
 
 
+def metric_history(report: DataFrame, ids: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """A report as long metric rows: ids, name, value."""
+    values = [F.col(n).cast("double").alias(n) for n in names]
+    return report.select(*ids, *values).unpivot(list(ids), list(names), "name", "value")
+
+
 def any_correct_at_k(
     rollouts: DataFrame,
     ks: Sequence[int] = (1, 2, 4),

@@ -108,10 +108,18 @@ def best_worst(
 
 
 def best_worst_pairs(
-    rollouts: DataFrame, score: str, keys: Sequence[str] = ("prompt_id",), text: str = "response", tie: str = "sample_id"
+    rollouts: DataFrame,
+    score: str,
+    keys: Sequence[str] = ("prompt_id",),
+    text: str = "response",
+    tie: str = "sample_id",
+    judge: str | None = None,
 ) -> DataFrame:
-    """Judge-scored candidates to preference pairs; a tie still gives a pair, flagged."""
-    return best_worst(rollouts, score, keys, (text,), tie).select(
+    """Judge-scored candidates to preference pairs; a tie still gives a pair, flagged.
+
+    `judge` names the scorer in a column of that name.
+    """
+    pairs = best_worst(rollouts, score, keys, (text,), tie).select(
         *keys,
         F.col("best")[text].alias("chosen"),
         F.col("worst")[text].alias("rejected"),
@@ -121,6 +129,7 @@ def best_worst_pairs(
         "worst_score",
         (F.col("best_score") == F.col("worst_score")).alias("tied"),
     )
+    return pairs if judge is None else pairs.withColumn("judge", F.lit(judge))
 
 
 def spin_pairs(gold: DataFrame, generations: DataFrame, keys: Sequence[str], round_: int = 0) -> DataFrame:

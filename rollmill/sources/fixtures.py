@@ -96,7 +96,7 @@ def sft_turns(spark: SparkSession, root: str) -> DataFrame:
 
 def doc_rollouts(spark: SparkSession, root: str) -> DataFrame:
     """labelled documents as answers, grouped by source."""
-    docs = table(spark, root, "documents")
+    docs = spread(table(spark, root, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     labels = table(spark, root, "labels")
     return docs.join(labels, "doc_id").select(
         F.col("source").alias("prompt_id"),

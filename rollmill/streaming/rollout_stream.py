@@ -54,7 +54,8 @@ def ema_baseline_stream(
 
     One row per step, arriving in `order` across batches (ties by `row_id`);
     within a batch any order will do. State is one double and one count per
-    run, however long the run.
+    run, however long the run; a task holds one run's rows of one batch, so
+    the source's rate limit bounds its memory.
     """
     run = list(run)
     out = T.StructType(
@@ -65,12 +66,9 @@ def ema_baseline_stream(
     def update(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         b, n = state.get if state.exists else (0.0, 0)
         rows = pd.concat(list(batches)).sort_values([order, row_id])
-        before = []
-        for r in rows[reward].to_numpy():
-            before.append(b)
-            b = alpha * b + (1 - alpha) * r
-        state.update((float(b), int(n + len(rows))))
-        rows = rows[[*run, order, row_id]].assign(baseline=before, seen=range(n + 1, n + len(rows) + 1))
+        path = pd.Series([b, *rows[reward]], dtype=float).ewm(alpha=1 - alpha, adjust=False).mean().to_numpy()
+        state.update((float(path[-1]), int(n + len(rows))))
+        rows = rows[[*run, order, row_id]].assign(baseline=path[:-1], seen=range(n + 1, n + len(rows) + 1))
         yield rows
 
     return stream.select(*run, order, row_id, reward).groupBy(*run).applyInPandasWithState(
