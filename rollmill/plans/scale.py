@@ -130,21 +130,33 @@ def row_index(
 
 
 def next_row(
-    df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], prefix: str = "next_", bits: int = BLOCK_BITS
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    cols: Sequence[str],
+    prefix: str = "next_",
+    bits: int = BLOCK_BITS,
+    levels: int = 2,
 ) -> DataFrame:
     """Values of `cols` in the following row per key (NULL on the last row).
 
     Inside a block this is lead(); a block's last row takes the first row of
-    the next block that has one.
+    the next block that has one, found the same way one level up.
     """
     keys = list(keys)
-    blocked = df.where(_present(keys, order)).withColumn("_b", F.expr(block_of(order, bits))).where("_b is not null")
     packed = f"struct({', '.join(cols)})"
-    heads = blocked.groupBy(*keys, "_b").agg(F.expr(f"min_by({packed}, {order}) as _head"))
-    following = heads.selectExpr(*keys, "_b", f"lead(_head) {_over(keys, ['_b'])} as _after")
-    inside = F.expr(f"lead({packed}) {_over([*keys, '_b'], [order])}")
-    joined = blocked.withColumn("_next", inside).join(following, [*keys, "_b"])
-    return joined.selectExpr(*df.columns, *[f"coalesce(_next, _after).{c} as {prefix}{c}" for c in cols])
+    if levels == 0:
+        ahead = df.withColumn("_next", F.expr(f"lead({packed}) {_over(keys, [order])}"))
+        return ahead.selectExpr(*df.columns, *[f"_next.{c} as {prefix}{c}" for c in cols])
+    b, head = f"_b{levels}", f"_head{levels}"
+    blocked = df.where(_present(keys, order)).withColumn(b, F.expr(block_of(order, bits))).where(f"{b} is not null")
+    # column by column: numbers then aggregate in a hash table, which a struct cannot
+    firsts = blocked.groupBy(*keys, b).agg(*[F.min_by(c, order).alias(c) for c in cols])
+    heads = firsts.selectExpr(*keys, b, f"{packed} as {head}")
+    following = next_row(heads, keys, b, [head], "_after", bits, levels - 1).drop(head)
+    inside = F.expr(f"lead({packed}) {_over([*keys, b], [order])}")
+    joined = blocked.withColumn("_next", inside).join(following, [*keys, b])
+    return joined.selectExpr(*df.columns, *[f"coalesce(_next, _after{head}).{c} as {prefix}{c}" for c in cols])
 
 
 def linear_scan(

@@ -42,10 +42,12 @@ def test_dense_index_without_keys(gappy, levels):
     assert got == list(range(400))
 
 
-def test_next_row_equals_lead(gappy):
+@pytest.mark.parametrize("levels", [0, 1, 2, 3])
+def test_next_row_equals_lead(gappy, levels):
+    gappy = gappy.withColumn("v", F.when(F.col("v") > 0, F.col("v")))  # a NULL value is still the next row's value
     w = Window.partitionBy("key").orderBy("o")
     want = gappy.select("key", "o", F.lead("v").over(w).alias("next_v"), F.lead("x").over(w).alias("next_x"))
-    got = scale.next_row(gappy, ["key"], "o", ["v", "x"], bits=3).select("key", "o", "next_v", "next_x")
+    got = scale.next_row(gappy, ["key"], "o", ["v", "x"], bits=3, levels=levels).select("key", "o", "next_v", "next_x")
     order = lambda rows: sorted(rows, key=lambda r: (r.key, r.o))
     assert order(got.collect()) == order(want.collect())
 
