@@ -186,13 +186,19 @@ def gae(
 ) -> DataFrame:
     """Generalised advantage estimates and returns; the value after the last step is 0.
 
-    A reverse discounted scan, hence a scan in -time. `dense` promises that
-    every trajectory's times are consecutive integers.
+    Summing the discounted errors r_t + gamma * V_(t+1) - V_t by parts leaves
+    a single discounted sum of y_t = r_t + (1/lam - 1) * V_t, less V_t / lam:
+    one reverse scan (in -time) and no look at the next row. `dense` promises
+    that every trajectory's times are consecutive integers.
     """
-    nxt = next_row(steps.select(*keys, time, reward, value, *keep), keys, time, [value])
-    delta = F.col(reward) + F.lit(float(gamma)) * F.coalesce("next_" + value, F.lit(0.0)) - F.col(value)
-    backward = nxt.withColumn("_back", -F.col(time)).withColumn("_delta", delta)
-    scanned = linear_scan(backward, keys, "_back", gamma * lam, "_delta", "adv", dense=dense)
-    return scanned.withColumn("returns", F.col("adv") + F.col(value)).drop(
-        "_back", "_delta", "adv_prev", "next_" + value
-    )
+    steps = steps.select(*keys, time, reward, value, *keep)
+    if lam == 0.0:
+        adv = F.expr(f"{reward} + {float(gamma)!r}D * coalesce(next_{value}, 0D) - {value}")
+        found = next_row(steps, keys, time, [value]).withColumn("adv", adv).drop(f"next_{value}")
+    else:
+        y = F.expr(f"{reward} + {1.0 / lam - 1.0!r}D * {value}")
+        backward = steps.withColumns({"_back": -F.col(time), "_y": y})
+        scanned = linear_scan(backward, keys, "_back", gamma * lam, "_y", "_sum", dense=dense)
+        adv = F.expr(f"_sum - {value} / {float(lam)!r}D")
+        found = scanned.withColumn("adv", adv).drop("_back", "_y", "_sum", "_sum_prev")
+    return found.withColumn("returns", F.col("adv") + F.col(value))

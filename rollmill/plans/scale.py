@@ -171,7 +171,7 @@ def linear_scan(
 ) -> DataFrame:
     """x_t = coef * x_(t-1) + term_t per key in integer `order`, x before the first row = 0.
 
-    Adds `out` (x_t) and `out`_prev (x_(t-1)). 0 < coef < 1. `dense` promises
+    Adds `out` (x_t) and `out`_prev (x_(t-1)). 0 < coef <= 1. `dense` promises
     that `order` holds consecutive integers per key, from any start.
 
     A block of L consecutive rows needs one number from outside, the x it
@@ -181,9 +181,12 @@ def linear_scan(
     enough for coef**-L to stay a plain double, and the recursion stops where
     coef**L no longer reaches a double's last digit.
     """
-    if not 0.0 < coef < 1.0:
+    if not 0.0 < coef <= 1.0:
         raise ValueError(f"coef must lie between 0 and 1, not {coef}")
     keys = list(keys)
+    if coef == 1.0:
+        total = running_total(df, keys, order, term, out, bits)
+        return total.withColumn(f"{out}_prev", F.expr(f"{out} - {term}"))
     df = df.withColumn("_p", F.col(order).cast("bigint")) if dense else dense_index(df, keys, order, "_p", bits)
     decay = -math.log10(coef)
     bits = max(0, min(bits, int(math.log2(200.0 / decay)) if decay < 200.0 else 0))

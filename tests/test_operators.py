@@ -103,13 +103,20 @@ def test_ema_uses_the_value_before_the_step_and_counts_skipped_steps(spark):
     assert [g[1] for g in got] == pytest.approx([0.0, 0.1, 0.14])
 
 
-def test_gae_by_hand(spark):
-    df = spark.createDataFrame([(0, 0, 0.0, 0.5), (0, 1, 0.0, 0.4), (0, 2, 1.0, 0.9)], "t bigint, s bigint, reward double, value double")
-    got = {r.s: r.adv for r in A.gae(df, ["t"], "s", gamma=0.9, lam=0.8).collect()}
-    d = [0.9 * 0.4 - 0.5, 0.9 * 0.9 - 0.4, 1.0 - 0.9]
+@pytest.mark.parametrize(("gamma", "lam"), [(0.9, 0.8), (1.0, 0.95), (0.9, 1.0), (1.0, 1.0), (0.9, 0.0)])
+@pytest.mark.parametrize("dense", [True, False])
+def test_gae_by_hand(spark, gamma, lam, dense):
+    rows = [(0, 3, 0.0, 0.5), (0, 4, 0.5, 0.4), (0, 5, 1.0, 0.9), (1, 0, 1.0, -2.0)]
+    df = spark.createDataFrame(rows, "t bigint, s bigint, reward double, value double")
+    got = {(r.t, r.s): (r.adv, r.returns) for r in A.gae(df, ["t"], "s", gamma=gamma, lam=lam, dense=dense).collect()}
+    d = [gamma * 0.4 - 0.5, 0.5 + gamma * 0.9 - 0.4, 1.0 - 0.9]
     a2 = d[2]
-    a1 = d[1] + 0.72 * a2
-    assert got == pytest.approx({0: d[0] + 0.72 * a1, 1: a1, 2: a2})
+    a1 = d[1] + gamma * lam * a2
+    a0 = d[0] + gamma * lam * a1
+    want = {(0, 3): (a0, a0 + 0.5), (0, 4): (a1, a1 + 0.4), (0, 5): (a2, a2 + 0.9), (1, 0): (3.0, 1.0)}
+    assert sorted(got) == sorted(want)
+    for at, pair in want.items():
+        assert got[at] == pytest.approx(pair)
 
 
 def test_dynamic_sampling_keeps_mixed_groups(spark):
