@@ -29,11 +29,13 @@ def local_session(cores: int | str = 8, app: str = "rollmill", **conf: str) -> S
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's `spark.checkpoint.dir`.
 
-    Only where the session names none (a local test) is a temporary folder
-    set as that directory.
+    A local session that names none gets a temporary folder; on a cluster the
+    executors would each write to their own disk, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
