@@ -24,23 +24,29 @@ def ascii_lower(c: Column) -> Column:
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns doc_id and text alone, whatever else the table holds."""
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    return docs.select(*named(id_col, text_col))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """Adds `_k`, a hash of id and text.
+def named(id_col: str, text_col: str) -> list[Column]:
+    return [F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")]
 
-    Rows meet again on (doc_id, _k), null-safe: ids that are NULL or repeat with
+
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: bool = False) -> DataFrame:
+    """Columns doc_id, row_key (a hash of id and text), row (a struct of the text, or with `rows` of the whole input row).
+
+    Documents meet again on (doc_id, row_key), null-safe: ids that are NULL or repeat with
     another text stay apart, rows repeated in full share one result.
     """
-    return docs.withColumn("_k", F.xxhash64("doc_id", "text"))
+    whole = F.struct("*") if rows else F.struct(F.col(text_col).alias(text_col))
+    named = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), whole.alias("row"))
+    return named.withColumn("row_key", F.xxhash64("doc_id", F.col("row")[text_col]))
 
 
 def rejoin(rows: DataFrame, facts: DataFrame, how: str = "left") -> DataFrame:
     """`facts` (at most one row per document) back on the documents made by `keyed`."""
-    right = facts.withColumnsRenamed({"doc_id": "_id", "_k": "_kk"})
-    met = (F.col("_k") == F.col("_kk")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return rows.join(right, met, how).drop("_id", "_kk")
+    right = facts.withColumnsRenamed({"doc_id": "_id", "row_key": "_k"})
+    met = (F.col("row_key") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return rows.join(right, met, how).drop("_id", "_k")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -54,15 +60,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def map_texts(
     docs: DataFrame, work: Callable[[Iterator[tuple[list, list]]], Iterator[dict[str, list]]], schema: str
 ) -> DataFrame:
-    """Arrow batches of (ids, texts) through `work`, which gives columns; NULL text comes as None."""
+    """Arrow batches of (ids, texts) through `work`, which gives columns; NULL text comes as None.
+
+    A column `row` of `docs` goes along unseen; `work` must then keep batches as they are.
+    """
+    carried = "row" in docs.columns
+    frame = docs.select("doc_id", "text", *["row"] * carried)
+    if carried:
+        schema += f", row {docs.schema['row'].dataType.simpleString()}"
+    arrow = arrow_schema(frame.sparkSession, schema)
 
     def run(batches):
-        pairs = ((b.column(0).to_pylist(), b.column(1).to_pylist()) for b in small(batches))
-        for columns in work(pairs):
+        rows = []
+
+        def pairs():
+            for b in small(batches):
+                rows.append(b)
+                yield b.column(0).to_pylist(), b.column(1).to_pylist()
+
+        for columns in work(pairs()):
+            if carried:
+                columns["row"] = rows[-1].column(2)
             yield pa.RecordBatch.from_pydict(columns, schema=arrow)
+            rows.clear()
 
-    frame = docs.select("doc_id", "text")
-    arrow = arrow_schema(frame.sparkSession, schema)
     return frame.mapInArrow(run, schema)
 
 
@@ -77,3 +98,29 @@ def small(batches, rows: int = 512) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+
+
+def hash_sample(docs: DataFrame, rows: int) -> DataFrame:
+    """About `rows` documents by the hash of their ids (all, if there are fewer), wherever they lie."""
+    n = docs.count()
+    return docs.where(F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1_000_000)) < 1_000_000 * rows // n) if n > rows else docs
+
+
+def join_spans(spans: list[tuple[int, int, str]], order: dict[str, int]) -> str:
+    """kind:start:end, comma-joined, by start and then by kind as listed."""
+    return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(spans, key=lambda x: (x[0], order[x[2]], x[1])))
+
+
+def clear_of(spans: list[tuple[int, int, str]], taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Those of `spans` that overlap none of `taken`, nor an earlier one of their own."""
+    kept, at, last = [], 0, -1
+    reach = sorted((s, e) for s, e, _ in taken)
+    furthest = -1  # end of all taken spans that begin before the current one
+    for s, e, k in sorted(spans):
+        while at < len(reach) and reach[at][0] < e:
+            furthest = max(furthest, reach[at][1])
+            at += 1
+        if s >= furthest and s >= last:
+            kept.append((s, e, k))
+            last = e
+    return kept

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollmill.llm.common import ascii_lower, keyed, rejoin, texts, written
+from rollmill.llm.common import ascii_lower, keyed, rejoin, written
 
 # Fixed value: what separates words once A-Z are in lower case.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -14,7 +14,7 @@ SHINGLE = 3
 BROADCAST_ROWS = 500_000
 
 
-def words(text: str = "text"):
+def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), GAP), "")
 
 
@@ -31,7 +31,7 @@ def bounded(df: DataFrame) -> DataFrame:
 
 def benchmark_windows(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> DataFrame:
     """win (its words, joined), size, item_id: `window` words each, or the whole item if it has fewer."""
-    w = benchmark.select(F.col(item_col).alias("item_id"), words(text_col).alias("w")).where("size(w) > 0")
+    w = benchmark.select(F.col(item_col).alias("item_id"), words(F.col(text_col)).alias("w")).where("size(w) > 0")
     cut = (
         f"transform(sequence(0, greatest(size(w) - {window}, 0)), "
         f"i -> struct(array_join(slice(w, i + 1, {window}), ' ') as win, least(size(w), {window}) as size))"
@@ -48,7 +48,7 @@ def contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """Columns doc_id, n_words, n_hit, items (sorted array of item ids as strings); one row per input row.
+    """Columns doc_id, row_key (hash of id and text), n_words, n_hit, items (sorted array of item ids as strings); one row per input row.
 
     A window is `window` consecutive words of an item; a shorter item is one window. n_hit counts the document's
     words inside any occurrence of a window, items the benchmark rows with a window that occurs.
@@ -70,16 +70,17 @@ def contamination(
     cases = " ".join(f"when {n} then {shingle_hashes(n)}" for n in lengths) or "when 0 then array(0L)"
     tokens = as_words.select("win", "size", "n", F.posexplode(F.expr(f"case n {cases} end")).alias("off", "h"))
 
-    base = keyed(texts(docs, id_col, text_col))
-    split = base.select("doc_id", "_k", words().alias("w"))
+    base, text = keyed(docs, id_col, text_col), F.col("row")[text_col]
+    split = base.select("doc_id", "row_key", words(text).alias("w"))
     streams = []
     for n in lengths:
-        every = split.select("doc_id", "_k", F.size("w").alias("n_words"), F.posexplode(F.expr(shingle_hashes(n))))
-        every = every.toDF("doc_id", "_k", "n_words", "pos", "h")
+        every = split.select("doc_id", "row_key", F.size("w").alias("n_words"), F.posexplode(F.expr(shingle_hashes(n))))
+        every = every.toDF("doc_id", "row_key", "n_words", "pos", "h")
         streams.append(every.join(bounded(tokens.where(f"n = {n}").select("h").distinct()), "h", "left_semi"))
     if not streams:
         return split.select(
             "doc_id",
+            "row_key",
             F.size("w").cast("bigint").alias("n_words"),
             F.lit(0).cast("bigint").alias("n_hit"),
             F.array().cast("array<string>").alias("items"),
@@ -99,24 +100,24 @@ def contamination(
     placed = found.join(prefix, "h").withColumn("start", F.col("pos") - F.col("off"))
     placed = placed.where("start >= 0 and start + size <= n_words")
     # a document's own places: as many as its words times the windows that share a prefix
-    by_doc = placed.groupBy("doc_id", "_k").agg(F.collect_set(F.struct("start", "size", "win")).alias("places"))
-    met = rejoin(base, by_doc).select("doc_id", "_k", "places", words().alias("w"))
+    by_doc = placed.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("start", "size", "win")).alias("places"))
+    met = rejoin(base, by_doc).select("doc_id", "row_key", "places", words(text).alias("w"))
     hits = F.expr("filter(places, p -> array_join(slice(w, p.start + 1, p.size), ' ') = p.win)")
-    met = met.select("doc_id", "_k", F.size("w").cast("bigint").alias("n_words"), hits.alias("hits"))
+    met = met.select("doc_id", "row_key", F.size("w").cast("bigint").alias("n_words"), hits.alias("hits"))
     covered = "array_distinct(flatten(transform(hits, p -> sequence(p.start, p.start + p.size - 1))))"
     judged = written(
         met.select(
             "doc_id",
-            "_k",
+            "row_key",
             "n_words",
             F.expr(f"cast(coalesce(size({covered}), 0) as bigint)").alias("n_hit"),
             F.expr("array_distinct(transform(hits, p -> p.win))").alias("wins"),
         ),
         "judged",
     )
-    pairs = judged.where("n_hit > 0").select("doc_id", "_k", F.explode("wins").alias("win"))
+    pairs = judged.where("n_hit > 0").select("doc_id", "row_key", F.explode("wins").alias("win"))
     pairs = pairs.join(windows.select("win", "item_id"), "win")
-    items = pairs.groupBy("doc_id", "_k").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    items = pairs.groupBy("doc_id", "row_key").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     return rejoin(judged.drop("wins"), items).select(
-        "doc_id", "n_words", "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items")
+        "doc_id", "row_key", "n_words", "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items")
     )

@@ -46,11 +46,15 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
+    """doc_id, row_key (hash of id and text), fp"""
+
     def work(batches):
         for ids, found in batches:
-            yield {"doc_id": ids, "fp": [fingerprint(t, width) for t in found]}
+            yield {"row": ids, "fp": [fingerprint(t, width) for t in found]}
 
-    return map_texts(docs, work, "doc_id bigint, fp bigint")
+    rows = docs.select(F.struct("doc_id", F.xxhash64("doc_id", "text").alias("row_key")).alias("doc_id"), "text")
+    marked = map_texts(rows, work, "row struct<doc_id:bigint,row_key:bigint>, fp bigint")
+    return marked.select("row.doc_id", "row.row_key", "fp")
 
 
 def links(prints: DataFrame) -> DataFrame:
@@ -74,12 +78,13 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns doc_id, fp (bigint), component_id (smallest doc_id reachable); one row per input row.
+    """Columns doc_id, row_key, fp, root (bigint), component_id (smallest doc_id reachable); one row per input row.
 
     Fingerprints of `width`-word shingles, repeats included, link at 2 or fewer differing bits. A text with fewer words is
     one shingle; NULL, empty and blank texts have fingerprint 0, which links like any other.
     NULL ids are never the smallest; a group of NULL ids alone has component_id NULL. Rows that repeat
-    an id are rows of their own with one label each. Other columns are not read. Empty tables give no rows.
+    an id are rows of their own with one label each. row_key is a hash of id and text, root the smallest
+    fingerprint reachable. Other columns are not read. Empty tables give no rows.
 
     Equal fingerprints are one node, so copies add nothing to the tables or the graph.
     """
@@ -90,5 +95,5 @@ def near_duplicates(docs: DataFrame, width: int = 3, id_col: str = "doc_id", tex
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     smallest = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = attach(labelled.select("fp", "root"), smallest, ["root"]).select("fp", "component_id")
-    return attach(marked, named, ["fp"]).select("doc_id", "fp", "component_id")
+    named = attach(labelled.select("fp", "root"), smallest, ["root"])
+    return attach(marked, named, ["fp"]).select("doc_id", "row_key", "fp", "root", "component_id")

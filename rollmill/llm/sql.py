@@ -69,6 +69,7 @@ select doc_id, cast(n_lines as bigint) as n_lines, n_dropped, sha256(text) as ke
 """
 
 ORACLE_SQL = {
+    "op2_mtree": TOP_K,
     "op6_decontaminate": DECONTAMINATE,
     "op9_line_dedup": LINE_DEDUP,
 }
