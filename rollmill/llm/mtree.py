@@ -114,8 +114,8 @@ def best_case(norm_q: np.ndarray, norm_o: np.ndarray, distance: np.ndarray, radi
 def search_page(page: dict, q: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query index, vec_id, score): each query's k best in the page, ties to smaller ids.
 
-    least: scores below it are of no interest. Each query opens leaves best case first and stops
-    when the next one cannot reach its k-th score. Distances to leaves, and products with vectors, are
+    least: scores below it are of no interest. Each query opens leaves best case first, in widening steps, and
+    stops when the next one cannot reach its k-th score. Distances to leaves, and products with vectors, are
     computed only where the stored distance to the parent leaves room (triangle inequality).
     """
     norm_q, norm_c = np.linalg.norm(q, axis=1), np.linalg.norm(page["centers"], axis=1)
@@ -131,32 +131,36 @@ def search_page(page: dict, q: np.ndarray, least: np.ndarray, k: int) -> tuple[n
         bound[:, needed] = np.minimum(bound[:, needed], exact)
     order = np.argsort(-bound, axis=1, kind="stable")
     norm_x = np.linalg.norm(page["x"], axis=1)
-    scores = np.full((len(q), k), -np.inf)
-    ids = np.full((len(q), k), np.iinfo(np.int64).max)
-    open_ = np.arange(len(q))
-    for turn in range(order.shape[1]):
-        leaf = order[open_, turn]
-        floor = np.maximum(least[open_], scores[open_, -1])
-        alive = bound[open_, leaf] >= floor
-        open_, leaf, floor = open_[alive], leaf[alive], floor[alive]
-        if not len(open_):
+    best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)  # query, vec_id, score
+    floor, first, wide = least.astype(float), 0, 1
+    while first < order.shape[1]:  # the next best leaf, then the next two, four, ...
+        leaves = order[:, first : first + wide]
+        alive = np.take_along_axis(bound, leaves, axis=1) >= floor[:, None]
+        if not alive.any():
             break
-        for node in np.unique(leaf):
-            mine = open_[leaf == node]
+        query, leaf = np.nonzero(alive)[0], leaves[alive]
+        by_leaf = np.argsort(leaf, kind="stable")
+        query, leaf = query[by_leaf], leaf[by_leaf]
+        edges = np.flatnonzero(np.concatenate([[True], leaf[1:] != leaf[:-1], [True]]))
+        found = [best]
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            node, mine = leaf[lo], query[lo:hi]
             rows = np.arange(page["starts"][node], page["starts"][node + 1])
             gap = np.abs(to_leaf[mine, node][:, None] - page["to_leaf"][rows])
-            possible = best_case(norm_q[mine], norm_x[rows], gap, np.zeros(len(rows))) >= floor[leaf == node][:, None]
+            possible = best_case(norm_q[mine], norm_x[rows], gap, np.zeros(len(rows))) >= floor[mine][:, None]
             rows = rows[possible.any(axis=0)]
-            if not len(rows):
-                continue
-            found = products(q[mine], page["x"][rows])
-            all_scores = np.concatenate([scores[mine], found], axis=1)
-            all_ids = np.concatenate([ids[mine], np.broadcast_to(page["ids"][rows], found.shape)], axis=1)
-            top = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
-            scores[mine] = np.take_along_axis(all_scores, top, axis=1)
-            ids[mine] = np.take_along_axis(all_ids, top, axis=1)
-    real = np.isfinite(scores) & (scores >= least[:, None])
-    return np.nonzero(real)[0], ids[real], scores[real].astype(np.int64)
+            scores = products(q[mine], page["x"][rows])
+            i, j = np.nonzero(scores >= floor[mine][:, None])
+            found.append((mine[i], page["ids"][rows[j]], scores[i, j]))
+        query, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+        ranked = np.lexsort((ids, -scores, query))
+        query, ids, scores = query[ranked], ids[ranked], scores[ranked]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        best = query[rank < k], ids[rank < k], scores[rank < k]
+        last = rank == k - 1
+        floor[query[last]] = np.maximum(floor[query[last]], scores[last])
+        first, wide = first + wide, 2 * wide
+    return best[0], best[1], best[2].astype(np.int64)
 
 
 def packed(x: np.ndarray) -> np.ndarray:
