@@ -67,9 +67,9 @@ class Network:
     def states(self, codes: np.ndarray, tape: list | None = None) -> np.ndarray:
         """codes: (n, window). Gives (window, 2h, n): both directions' states at every position."""
         n, width = codes.shape
-        h, table = self.hidden, self.p["table"]
-        state, x = np.zeros((2, h, n), np.float32), np.empty((2, 3 * h, n), np.float32)
-        found = np.empty((width, 2 * h, n), np.float32)
+        h, table, dtype = self.hidden, self.p["table"], self.p["u"].dtype
+        state, x = np.zeros((2, h, n), dtype), np.empty((2, 3 * h, n), dtype)
+        found = np.empty((width, 2 * h, n), dtype)
         for t in range(width):
             for d, column in ((0, codes[:, t]), (1, codes[:, width - 1 - t])):
                 np.take(table[d], column, axis=1, out=x[d], mode="clip")
@@ -127,7 +127,7 @@ class Network:
         h, (n, width), tape = self.hidden, codes.shape, []
         states = self.states(codes, tape)
         logp = self.log_probabilities(states)
-        real = (codes != PAD).T[:, None, :] / np.float32(max(1, (codes != PAD).sum()))
+        real = (codes != PAD).T[:, None, :] / states.dtype.type(max(1, (codes != PAD).sum()))
         loss = -float((np.take_along_axis(logp, labels[None, None, :], axis=1) * real).sum())
         d_logits = np.exp(logp)
         d_logits[:, labels, np.arange(n)] -= 1
@@ -136,8 +136,8 @@ class Network:
         g = {k: np.zeros_like(v) for k, v in self.p.items()}
         g["out"] = np.einsum("tkn,thn->kh", d_logits, states, optimize=True)
         g["bias"] = d_logits.sum(axis=(0, 2))[:, None]
-        d_x = np.empty((2, width, 3 * h, n), np.float32)
-        carry = np.zeros((2, h, n), np.float32)
+        d_x = np.empty((2, width, 3 * h, n), states.dtype)
+        carry = np.zeros((2, h, n), states.dtype)
         for t in range(width - 1, -1, -1):
             gates, q, new, before = tape[t]
             keep, reset = gates[:, :h], gates[:, h:]

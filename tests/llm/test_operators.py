@@ -1,0 +1,327 @@
+"""Every operator against a brute-force version on rows with nulls, empty and long texts, ties, copies and clashing columns."""
+
+import collections
+import hashlib
+import math
+import zlib
+
+import numpy as np
+import pytest
+import public_tokenizers
+import tiktoken
+import xxhash
+
+import check
+import corpus_pipeline
+from rollmill.llm import bpe, credentials, langid, pii, registry, simhash
+from rollmill.llm.classlm import score_texts
+from rollmill.llm.decontaminate import contamination
+from rollmill.llm.graph import components
+from rollmill.llm.line_dedup import dedup_lines
+from rollmill.llm.mtree import top_k
+from rollmill.llm.sharding import shard_by_bytes
+
+LONG = "alpha beta gamma delta " * 3000
+SHARED = "This line is shared by several documents."
+NEAR = " ".join(f"w{i}" for i in range(300))
+ITEM = "one two three four five six seven eight nine ten eleven twelve"
+ROWS = [
+    (0, "Plain words, Ünïcode and ÉTÉ.\n" + SHARED + "\nend"),
+    (1, None),
+    (2, ""),
+    (3, " \t\n "),
+    (4, LONG),
+    (5, f"  {SHARED.upper()}\t\nother\n\n{SHARED}"),
+    (6, f"{SHARED}\r\nx"),
+    (6, f"{SHARED}\r\nx"),  # repeated in full
+    (6, "another text under the same id " + ITEM),
+    (None, f"{SHARED}\nno id " + ITEM.title()),
+    (None, f"{SHARED}\nno id " + ITEM.title()),
+    (10, NEAR),
+    (11, NEAR + " w300"),
+    (12, NEAR),
+    (13, "call +49 (30) 123-4567, a.b@c.example.org, 10.0.0.1, 4111 1111 1111 1111"),
+    (14, 'password="hunter2hunter2", AKIA' + "B" * 16 + " " + "0f" * 14 + " token: abc"),
+    (15, "ONE, two; THREE four five six seven eight nine ten. Eleven"),
+    (16, "12345 67890 !!"),
+]
+BENCHMARK = [(1, ITEM), (2, "w5 w6"), (3, None), (4, "!!"), (None, "Null Item"), (1, ITEM), (7, "gamma")]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, ROWS)
+
+
+def table(spark, rows):
+    cells = [(i, t, "en", "s", 0, "clash", 1, 2, 3) for i, t in rows]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, row_key int, pos int, h int"
+    return spark.createDataFrame(cells, schema).repartition(3)
+
+
+def found(df, *cols):
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=str)
+
+
+def words(text):
+    out, here = [], ""
+    for c in (text or "") + " ":
+        c = c.lower() if "A" <= c <= "Z" else c
+        if ord(c) > 127 or c.isascii() and (c.islower() or c.isdigit()):
+            here += c
+        elif here:
+            out.append(here)
+            here = ""
+    return out
+
+
+def test_shards_are_even_and_slots_gapless(spark, docs):
+    many = table(spark, [*ROWS, *((100 + i, f"text {i % 700} " + "x" * (i % 50)) for i in range(3000)), *((9000 + i, "hot") for i in range(1500))])
+    out = shard_by_bytes(many, 8).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in out) == sorted((str(r.doc_id), str(r.text)) for r in many.collect())
+    sizes, slots, shards = collections.Counter(), collections.defaultdict(list), collections.defaultdict(set)
+    for r in out:
+        data = (r.text or "").encode()
+        assert (r.size, r.text_crc32) == (len(data) + 8, zlib.crc32(data))
+        sizes[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+        shards[r.text].add(r.shard)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    mean = sum(sizes.values()) / 8
+    assert max(sizes.values()) <= mean + len(LONG) + 100
+    assert sum(len(v) > 1 for v in shards.values()) <= 7  # a splitter cuts at most one group
+    assert shard_by_bytes(docs.limit(0)).count() == 0
+
+
+def test_line_dedup_against_brute_force(docs):
+    keys, holders = lambda x: x.strip(" \t\n\x0b\x0c\r"), collections.defaultdict(set)
+    low = lambda x: "".join(c.lower() if "A" <= c <= "Z" else c for c in keys(x))
+    for i, t in ROWS:
+        for x in (t or "").split("\n"):
+            if len(low(x)) >= 20:
+                holders[low(x)].add(-1 if i is None else i)
+    want = []
+    for i, t in ROWS:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(holders[low(x)]) < 3 or max(holders[low(x)]) == (-1 if i is None else i)]
+        want.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    assert found(dedup_lines(docs), "doc_id", "text", "n_lines", "n_dropped") == sorted(want, key=str)
+    assert any(x[3] for x in want)
+    assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_decontamination_against_brute_force(spark, docs):
+    bench = spark.createDataFrame(BENCHMARK, "item_id bigint, text string")
+    want = []
+    for i, t in ROWS:
+        w, hit, items = words(t), set(), set()
+        for item, text in BENCHMARK:
+            b = words(text)
+            for s in range(max(1, len(b) - 9) if b else 0):
+                g = b[s : s + 10]
+                for p in range(len(w) - len(g) + 1):
+                    if w[p : p + len(g)] == g:
+                        hit |= set(range(p, p + len(g)))
+                        items |= {str(item)} if item is not None else set()
+        want.append((i, len(w), len(hit), sorted(items)))
+    assert found(contamination(docs, bench), "doc_id", "n_words", "n_hit", "items") == sorted(want, key=str)
+    assert {x[3] != [] for x in want} == {True, False}
+    assert contamination(docs.limit(0), bench).count() == 0
+    assert not contamination(docs, bench.limit(0)).where("n_hit > 0").count()
+
+
+def plain_fingerprint(text):
+    w = (text or "").encode().lower().split()
+    hashes = [xxhash.xxh64_intdigest(b" ".join(w[k : k + 3]), 42) for k in range(max(1, len(w) - 2))] if w else []
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_simhash_against_brute_force(spark, docs):
+    out = simhash.near_duplicates(docs).collect()
+    prints = [plain_fingerprint(t) for _, t in ROWS]
+    assert sorted(r.fp % (1 << 64) for r in out) == sorted(prints)
+    part = list(range(len(ROWS)))
+    for a in range(len(ROWS)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 2:
+                part = [part[a] if x == part[b] else x for x in part]
+    lowest = {g: min((i for (i, _), x in zip(ROWS, part, strict=True) if x == g and i is not None), default=None) for g in set(part)}
+    want = sorted(((i, lowest[g]) for (i, _), g in zip(ROWS, part, strict=True)), key=str)
+    assert found(simhash.near_duplicates(docs), "doc_id", "component_id") == want
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_links_connect_what_two_bits_part(spark):
+    rng = np.random.default_rng(1)
+    seeds = [int(x) for x in rng.integers(0, 1 << 63, 20)]
+    values = {s ^ (1 << int(a)) ^ (1 << int(b)) ^ (1 << int(c)) for s in seeds for a, b, c in rng.integers(0, 63, (30, 3))}
+    signed = sorted(values)
+    roots = components(simhash.links(spark.createDataFrame([(v,) for v in signed], "fp bigint")))
+    got = {r.node: r.root for r in roots.collect()}
+    part = {v: v for v in signed}
+    for a in signed:
+        for b in signed:
+            if a < b and (a ^ b).bit_count() <= 2 and part[a] != part[b]:
+                low, high = sorted((part[a], part[b]))
+                part = {k: low if x == high else x for k, x in part.items()}
+    assert {v: got.get(v, v) for v in signed} == part
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(1, k) for k in range(2, 60)]
+    roots = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert set(roots.values()) == {1, 100}
+
+
+def test_top_k_with_odd_vectors(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(300)]
+    rows += [(300 + i, rows[7][1]) for i in range(60)]  # a group of copies, queries among them
+    rows += [(400, None), (420, [1.0, None]), (440, [float("nan")] * 6), (460, [math.inf] * 6), (None, rows[0][1]), (480, [0.5]), rows[0]]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    whole = {}
+    for i, v in rows:
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            whole[i] = [math.floor(64 * x) for x in v] + [0] * (6 - len(v))
+    want = []
+    for q in (i for i in whole if i % 20 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:20], 1)]
+    assert found(top_k(df), "query_id", "rank", "vec_id", "score") == sorted(want, key=str)
+    assert top_k(df.limit(0)).count() == 0
+
+
+def test_bpe_equals_tiktoken_and_round_trips(docs):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = bpe.read_ranks(f.read())
+    theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    out = bpe.encode_documents(docs, path, public_tokenizers.PATTERN).collect()
+    got = sorted((str(r.doc_id), list(np.frombuffer(r.ids, "<u4")), bytes(r.decoded)) for r in out)
+    assert got == sorted((str(i), theirs.encode_ordinary(t or ""), (t or "").encode()) for i, t in ROWS)
+    coder = bpe.Coder(bpe.build_tokenizer(ranks, public_tokenizers.PATTERN), public_tokenizers.PATTERN)
+    text = "naïve \U0001f600‍\U0001f525 你好  end"
+    ids = coder.encode([text])[0]
+    spans = coder.offsets(ids)
+    assert spans[0][0] == 0 and spans[-1][1] == len(text) and all(a <= b for a, b in spans)
+    single = [coder.bytes_of[i] for i in memoryview(ids).cast("I")]
+    assert "".join(bpe.stream_text(single)) == text
+    assert "".join(bpe.stream_text([b"a\xe4", b"b"])) == "a�b"
+
+
+def test_class_model_base_and_held_out(spark, docs, root):
+    out = score_texts(docs, rounds=2).collect()
+    tokens = lambda t: [*(t or "").encode().lower().split(), None]
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    c = collections.Counter(x for i, t in ROWS if not held(i) for x in tokens(t))
+    n, v = sum(c.values()), len(c)
+    want = [
+        (i, held(i), len(tokens(t)), sum(c[x] > 0 for x in tokens(t)), n, sum(math.log10((c[x] + 1) / (n + v + 1)) for x in tokens(t)))
+        for i, t in ROWS
+    ]
+    got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in out]
+    for a, b in zip(sorted(got, key=str), sorted(want, key=str), strict=True):
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5])
+    assert all(math.isfinite(r.score) and r.score <= 0 for r in out)
+    assert score_texts(docs.limit(0)).count() == 0
+    real = [r for r in registry.op7_class_lm(spark, root).collect() if r.held_out]
+    assert sum(r.score for r in real) > sum(r.base_score for r in real)
+
+
+def test_language_on_held_out_rows(spark, docs, root):
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{root}/documents.parquet").collect()}
+    out = registry.op4_language(spark, root).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in out)
+    rows = [r for r in out if r.held_out]
+    assert len(rows) > 20 and np.mean([truth[r.doc_id] == r.lang_pred for r in rows]) >= 0.9
+    quick = langid.Settings(steps=5)
+    got = langid.identify(docs, quick)
+    assert sorted(str(r.doc_id) for r in got.where("lang_pred = 'und'").collect()) == sorted(map(str, (1, 2, 3, 16)))
+    assert langid.identify(docs.limit(0), quick).count() == 0
+    assert {r.lang_pred for r in langid.identify(docs.drop("lang").selectExpr("*", "cast(null as string) as lang"), quick).collect()} == {"und"}
+
+
+@pytest.mark.parametrize("net", ["gru", "lstm"])
+def test_gradients(net):
+    rng = np.random.default_rng(0)
+    codes = rng.integers(97, 110, (4, 6))
+    if net == "gru":
+        model, labels = langid.Network(3, 4, 1), rng.integers(0, 3, 4)
+        codes[0, 4:] = langid.PAD
+    else:
+        model, labels = pii.Tagger(3, 1), rng.integers(0, len(pii.TAGS), (4, 6))
+    model.p = {k: v.astype(float) for k, v in model.p.items()}
+    _, g = model.gradient(codes, labels)
+    for k, v in model.p.items():
+        for at in (np.unravel_index(np.abs(g[k]).argmax(), v.shape), tuple(0 for _ in v.shape)):
+            old, sides = v[at], []
+            for step in (1e-5, -1e-5):
+                v[at] = old + step
+                sides.append(model.gradient(codes, labels)[0])
+            v[at] = old
+            assert (sides[0] - sides[1]) / 2e-5 == pytest.approx(g[k][at], abs=1e-6)
+
+
+def test_secret_spans(docs):
+    out = {r.doc_id: r for r in credentials.find_secrets(docs).collect()}
+    r, text = out[14], dict(ROWS)[14]
+    spans = [x.split(":") for x in r.base.split(",")]
+    assert (r.n_assign, r.n_access, r.n_hex) == (1, 1, 1) and [x[0] for x in spans] == ["assign", "access", "hex"]
+    assert [text[int(s) : int(e)] for _, s, e in spans][1:] == ["AKIA" + "B" * 16, "0f" * 14]
+    assert set(r.base.split(",")) <= set(r.spans.split(","))
+    assert out[1].base == out[2].base == "" and credentials.find_secrets(docs.limit(0)).count() == 0
+    assert credentials.base_spans("secret=token:abcdefgh") == []  # a failing match is not tried again
+    assert credentials.base_spans("API_KEY : 'abcdef'")[0][2] == "assign"
+
+
+def test_automata_tell_formats_apart():
+    rng = np.random.default_rng(2)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    secret = [draw("0123456789abcdef", 40) for _ in range(200)]
+    plain = [draw("etaoinshrdlu", int(rng.integers(16, 24))) for _ in range(300)]
+    scorer = credentials.fit({"hex": secret[:150]}, plain[:200])
+    assert all(map(scorer.is_credential, secret[150:])) and not any(map(scorer.is_credential, plain[200:]))
+    assert credentials.fit({"hex": []}, plain) is None
+
+
+def test_personal_data(spark, docs, root):
+    quick = pii.Settings(steps=5)
+    out = {r.doc_id: r for r in pii.find_personal_data(docs, quick).collect()}
+    text, r = dict(ROWS)[13], out[13]
+    assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == (1, 1, 1, 1)
+    got = {k: text[int(s) : int(e)] for k, s, e in (x.split(":") for x in r.base.split(","))}
+    assert got == {"phone": "+49 (30) 123-4567", "email": "a.b@c.example.org", "ip": "10.0.0.1", "card": "4111 1111 1111 1111"}
+    assert out[1].spans == out[2].spans == "" and pii.find_personal_data(docs.limit(0), quick).count() == 0
+    assert [x[2] for x in pii.base_spans("256.1.1.1 a@b +1 4111111111111112")] == []
+    assert pii.base_spans("x@y@z.org")[0] == (2, 9, "email")
+    assert pii.base_spans("1.2.3.4.5.6.7.8") == [(0, 7, "ip"), (8, 15, "ip")]
+
+
+def test_tagger_learns_and_reconciles_windows():
+    rng = np.random.default_rng(3)
+    texts = [f"{'word ' * int(rng.integers(0, 30))}{rng.integers(1, 255)}.{rng.integers(1, 255)}.10.7 and {'more ' * 9}" for _ in range(120)]
+    s = pii.Settings(steps=120, hidden=8)
+    rows = [(t[a : a + s.width], pii.tag_row(pii.base_spans(t), a, len(t[a : a + s.width]))) for t in texts for a in pii.window_starts(t, s.width)]
+    net, least = pii.train(rows, s), pii.shortest(rows)
+    hits = [pii.tagged_spans(net, [t], s.width, least)[0] == pii.base_spans(t) for t in texts]
+    assert np.mean(hits) > 0.9
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_same_rows_as_sql(spark, root, name):
+    con = check.oracle_connection(root)
+    assert check.difference(registry.QUERIES[name](spark, root), con.sql(registry.ORACLE_SQL[name])) is None
+
+
+def test_pipeline_stages(spark, docs, root):
+    out = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        columns, out = out.columns, stage(spark, out, root)
+        assert out.columns == columns
+    kept = sorted(str(r.doc_id) for r in out.collect())
+    assert not {"1", "2", "3", "16", "12"} & set(kept) and {"0", "4", "10", "13"} <= set(kept)
+    last = corpus_pipeline.STAGES[-1][1](spark, out, root).collect()
+    texts = {str(r.doc_id): r.text for r in out.collect()}
+    for r in last:
+        if len([k for k in kept if k == str(r.doc_id)]) == 1:
+            assert r.decoded_sha256 == hashlib.sha256(texts[str(r.doc_id)].encode()).hexdigest()
