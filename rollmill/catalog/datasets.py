@@ -115,7 +115,7 @@ ENTRIES = {
         s6,
         f"""with {SCORED_PAIRS},
         d as (select *, case when prompt is null or chosen is null or rejected is null then 'null'
-                             when trim(prompt) = '' or trim(chosen) = '' or trim(rejected) = '' then 'blank'
+                             when not regexp_matches(prompt, '[^[:space:]]') or not regexp_matches(chosen, '[^[:space:]]') or not regexp_matches(rejected, '[^[:space:]]') then 'blank'
                              when chosen = rejected then 'identical' end as defect from scored_pairs)
         select prompt_id, coalesce(defect, case when row_number() over
                (partition by defect is null, prompt, chosen, rejected order by prompt_id) > 1 then 'duplicate' end) as reason

@@ -209,7 +209,7 @@ def d3(spark, root):
 
 
 def d4(spark, root):
-    scored = S.star_refit(rounds(spark, root), 3, IDS)
+    scored = S.star_refit(rounds(spark, root), IDS)
     return rounded_cols(scored, ["sum_lp"])
 
 
@@ -445,7 +445,7 @@ ENTRIES = {
     "d6_spin_pairs": Entry(
         d6,
         f"""with {SPIN_GENERATIONS} select conv_id, turn, 1::bigint as round, prompt, response as chosen,
-        case when trim(generation) = '' then '（空）' else generation end as rejected
+        case when not regexp_matches(generation, '[^[:space:]]') then '（空）' else generation end as rejected
         from sft_turns join spin_generations using (conv_id, turn)""",
     ),
     "d7_critique_revise": Entry(

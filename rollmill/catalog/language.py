@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rollmill.catalog.entries import DOC_ROLLOUTS, SFT_TURNS, Entry, clip, lm_sql, r, rounded_cols, tokens_sql
 from rollmill.functions.losses import log_ratio, sft_loss
-from rollmill.functions.numerics import rounded
+from rollmill.functions.numerics import is_blank, rounded
 from rollmill.functions.verifiers import rule_judge, signature_hit
 from rollmill.operators import monitor as M
 from rollmill.operators import ngram as L
@@ -104,7 +104,7 @@ def o5(spark, root):
 
 
 def o6(spark, root):
-    rollouts = fx.sft_turns(spark, root).where(F.trim("response") != "")
+    rollouts = fx.sft_turns(spark, root).where(~is_blank(F.col("response")))
     toks = L.token_logp(lm(spark, root, "ref", "teacher"), rollouts, TURN)
     rows = O.opd_reverse_kl(toks, TURN, "lp_ref", "lp_teacher")
     return rounded_cols(rows, ["mean_reverse_kl", "loss"])

@@ -161,7 +161,7 @@ ENTRIES = {
         p1_spin,
         f"""with {SPIN_GENERATIONS}, sp as (
         select conv_id, turn, prompt, 'c' as side, response from sft_turns
-        union all select conv_id, turn, prompt, 'r', case when trim(generation) = '' then '（空）' else generation end
+        union all select conv_id, turn, prompt, 'r', case when not regexp_matches(generation, '[^[:space:]]') then '（空）' else generation end
         from sft_turns join spin_generations using (conv_id, turn)),
         {lm_sql(('policy', 'ref'))}, {tokens_sql(('policy', 'ref'), 'sp', 'conv_id, turn, side')},
         d as (select conv_id, turn, sum(case when side = 'c' then lp_policy - lp_ref else lp_ref - lp_policy end) as m

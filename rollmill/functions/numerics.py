@@ -41,3 +41,8 @@ def rounded(x: Column, digits: int = 6) -> Column:
     ties differently agree; the final + 0.0 turns -0.0 into 0.0.
     """
     return F.round(x + F.lit(1.7e-9), digits) + F.lit(0.0)
+
+
+def is_blank(c: Column) -> Column:
+    """No character but white space: spaces, tabs, line ends."""
+    return ~c.rlike("\\S")

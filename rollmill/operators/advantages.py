@@ -113,6 +113,9 @@ def ema_baseline(
     `dense` promises that every run's steps are consecutive integers.
     """
     means = rollouts.groupBy(*run, order).agg(F.avg(reward).alias("step_mean"))
+    if alpha == 0.0:  # the baseline is the last step's mean
+        before = next_row(means.withColumn("_back", -F.col(order)), run, "_back", ["step_mean"], "_before_")
+        return before.selectExpr(*run, order, "step_mean", "coalesce(_before_step_mean, 0D) as baseline", "step_mean as baseline_next")
     gains = means.withColumn("_gain", F.lit(1.0 - alpha) * F.col("step_mean"))
     scanned = linear_scan(gains, run, order, alpha, "_gain", "baseline_next", dense=dense)
     return scanned.withColumnRenamed("baseline_next_prev", "baseline").drop("_gain")
@@ -186,19 +189,21 @@ def gae(
 ) -> DataFrame:
     """Generalised advantage estimates and returns; the value after the last step is 0.
 
-    Summing the discounted errors r_t + gamma * V_(t+1) - V_t by parts leaves
-    a single discounted sum of y_t = r_t + (1/lam - 1) * V_t, less V_t / lam:
-    one reverse scan (in -time) and no look at the next row. `dense` promises
-    that every trajectory's times are consecutive integers.
+    Summing the discounted errors r_t + gamma * V_(t+1) - V_t by parts leaves two
+    reverse scans (in -time) with coefficient gamma * lam: S of the rewards and W of
+    the values give S_t - V_t + gamma * (1 - lam) * W_(t+1), without a division.
+    `dense` promises that every trajectory's times are consecutive integers.
     """
     steps = steps.select(*keys, time, reward, value, *keep)
-    if lam == 0.0:
+    if gamma == 0.0:
+        found = steps.withColumn("adv", F.col(reward) - F.col(value))
+    elif lam == 0.0:  # nothing to sum: the error itself
         adv = F.expr(f"{reward} + {float(gamma)!r}D * coalesce(next_{value}, 0D) - {value}")
         found = next_row(steps, keys, time, [value]).withColumn("adv", adv).drop(f"next_{value}")
     else:
-        y = F.expr(f"{reward} + {1.0 / lam - 1.0!r}D * {value}")
-        backward = steps.withColumns({"_back": -F.col(time), "_y": y})
-        scanned = linear_scan(backward, keys, "_back", gamma * lam, "_y", "_sum", dense=dense)
-        adv = F.expr(f"_sum - {value} / {float(lam)!r}D")
-        found = scanned.withColumn("adv", adv).drop("_back", "_y", "_sum", "_sum_prev")
+        backward = steps.withColumn("_back", -F.col(time))
+        scanned = linear_scan(backward, keys, "_back", gamma * lam, reward, "_of_r", dense=dense)
+        scanned = linear_scan(scanned, keys, "_back", gamma * lam, value, "_of_v", dense=dense)
+        adv = F.expr(f"_of_r - {value} + {gamma * (1.0 - lam)!r}D * coalesce(_of_v_prev, 0D)")
+        found = scanned.withColumn("adv", adv).drop("_back", "_of_r", "_of_r_prev", "_of_v", "_of_v_prev")
     return found.withColumn("returns", F.col("adv") + F.col(value))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollmill.functions.numerics import is_blank
 from rollmill.plans.scale import attach, dense_index, next_row
 
 # The ChatML rendering of one message and of the answer header.
@@ -70,7 +71,7 @@ def attach_prompts(rollouts: DataFrame, prompts: DataFrame, key: str = "prompt_i
 
 
 def _blank(c: str) -> Column:
-    return F.trim(F.col(c)) == ""
+    return is_blank(F.col(c))
 
 
 def validate_pairs(pairs: DataFrame, key: str = "pair_id") -> DataFrame:

@@ -76,18 +76,18 @@ def step_report(
     stats = group_stats(rollouts, keys, reward)
     n = F.sum("k")
     mean = F.sum("r_sum") / n
-    # within-group plus between-group scatter
-    var = F.sum(F.col("k") * (F.col("var") + F.col("mu") * F.col("mu"))) / n - mean * mean
-    return stats.groupBy(*by).agg(
+    # straight from the rewards: mean squares less squared means would cancel
+    spread = rollouts.groupBy(*by).agg(F.stddev_pop(reward).alias("sigma"))
+    report = stats.groupBy(*by).agg(
         n.alias("samples"),
         F.sum("n_correct").alias("n_correct"),
         mean.alias("mu"),
-        F.sqrt(F.greatest(var, F.lit(0.0))).alias("sigma"),
         F.min("r_min").alias("r_min"),
         F.max("r_max").alias("r_max"),
         F.count_if(has_signal(mode)).alias("kept"),
         F.count_if(~has_signal(mode)).alias("skipped"),
     )
+    return attach(report, spread, by)
 
 
 def metric_history(report: DataFrame, ids: Sequence[str], names: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollmill.functions.numerics import is_blank
 from rollmill.operators.ngram import fit_ngram_lm, seq_logp_with_lengths
 from rollmill.operators.rewards import constitution_check
 from rollmill.plans.scale import running_total
@@ -62,7 +63,6 @@ def star_rounds(rollouts: DataFrame, round_col: str = "round", by: Sequence[str]
 
 def star_refit(
     rollouts: DataFrame,
-    rounds: int,
     ids: Sequence[str],
     round_col: str = "round",
     prompt: str = "prompt",
@@ -76,7 +76,9 @@ def star_refit(
     A count model of a round depends on that round's rows alone, so all
     rounds are fitted in one pass, one count column each, and every sample is
     scored by its predecessor round: no driver loop, no lineage to cut.
+    The number of rounds is taken from the table.
     """
+    rounds = int(rollouts.agg(F.max(round_col).alias("last")).first().last or 0) + 1
     fits = {f"r{r}": (F.col(round_col) == r) & (F.col(reward) == 1.0) for r in range(rounds - 1)}
     lm = fit_ngram_lm(rollouts, answer, fits, n, add_k, prompt=prompt)
     later = rollouts.where(F.col(round_col).between(1, rounds - 1))
@@ -140,7 +142,7 @@ def spin_pairs(gold: DataFrame, generations: DataFrame, keys: Sequence[str], rou
         F.lit(round_).cast("bigint").alias("round"),
         "prompt",
         F.col("response").alias("chosen"),
-        F.when(F.trim(own) == "", F.lit(BLANK)).otherwise(own).alias("rejected"),
+        F.when(is_blank(own), F.lit(BLANK)).otherwise(own).alias("rejected"),
     )
 
 

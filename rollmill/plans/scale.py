@@ -43,7 +43,7 @@ def _over(keys: Sequence[str], order: Sequence[str], rows: str = "") -> str:
 
 
 def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join `facts` (at most one row per key) onto `rows`.
+    """Join `facts` (at most one row per key) onto `rows`; NULL is a key like any other.
 
     The facts usually come out of a groupBy on the same keys, and Spark would
     reuse that partitioning for the join. AQE splits a skewed join partition
@@ -52,8 +52,12 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "l
     read by many tasks instead of one.
     """
     keys = list(keys)
-    tag = F.xxhash64(*keys)
-    return rows.withColumn("_h", tag).join(facts.withColumn("_h", tag), [*keys, "_h"], how).drop("_h")
+    right = {k: f"_r_{k}" for k in keys}
+    tagged = facts.withColumn("_rh", F.xxhash64(*keys)).withColumnsRenamed(right)
+    met = F.col("_h") == F.col("_rh")
+    for k, r in right.items():
+        met = met & F.col(k).eqNullSafe(F.col(r))
+    return rows.withColumn("_h", F.xxhash64(*keys)).join(tagged, met, how).drop("_h", "_rh", *right.values())
 
 
 def running_total(

@@ -168,12 +168,15 @@ def rejection_stream(
 
 
 def parquet_stream(spark: SparkSession, folder: str, pattern: str, per_batch: int | None = None) -> DataFrame:
-    """A Parquet folder as a stream; the schema is read from the files' footers."""
-    batch = spark.read.option("pathGlobFilter", pattern).parquet(folder)
-    reader = spark.readStream.schema(batch.schema).option("pathGlobFilter", pattern)
+    """A Parquet table of `folder`, one file or a folder of them, as a stream; its schema comes from the footers.
+
+    A bare file is no stream source, a pattern that matches it is: the last character becomes a class of one.
+    """
+    path = f"{folder}/{pattern[:-1]}[{pattern[-1]}]"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(path)
 
 
 def drain(stream: DataFrame, name: str) -> DataFrame:

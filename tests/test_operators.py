@@ -360,3 +360,26 @@ def test_entropy_drift(spark):
     assert got == {"c": (2.0, 1.0), "t": (2.0, 1.9)}
     last = M.arm_compare(track, "c", "t").where("step = 5").first()
     assert last.difference == pytest.approx(0.9)
+
+
+@pytest.mark.parametrize("gamma", [0.0, 0.99, 1.0])
+@pytest.mark.parametrize("lam", [0.0, 1e-15, 1e-9, 0.5, 1.0])
+def test_gae_equals_the_loop_for_any_coefficient(spark, gamma, lam):
+    from rollmill.operators.advantages import gae
+
+    rows = [("a", t, (t * 37 % 11) / 7, (t * 53 % 13) / 5) for t in range(12)]
+    want, error, ahead = {}, 0.0, 0.0
+    for _, t, r, v in reversed(rows):
+        error, ahead = r + gamma * ahead - v + gamma * lam * error, v
+        want[t] = error
+    df = spark.createDataFrame(rows, "k string, t bigint, reward double, value double")
+    got = {r.t: r.adv for r in gae(df, ["k"], "t", gamma=gamma, lam=lam).collect()}
+    assert all(abs(got[t] - want[t]) < 1e-9 for t in want)
+
+
+def test_null_is_a_group_like_any_other(spark):
+    from rollmill.operators.advantages import adv_grpo
+
+    rows = [(run, 1, 1, i, float(i)) for run in (None, "x") for i in range(2)]
+    df = spark.createDataFrame(rows, "run_id string, step bigint, prompt_id bigint, sample_id bigint, reward double")
+    assert adv_grpo(df).count() == 4

@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as spec
 import check
+from rollmill import catalog
 
-ORACLES = spec.oracle_sql()
+ORACLES = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def test_same_rows_as_sql(spark, con, root, name):
     assert check.difference(spec.queries()[name](spark, root), con.sql(ORACLES[name])) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(spec.queries()) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(ORACLES)))
 def test_queries_without_sql_give_rows(spark, root, name):
     assert spec.queries()[name](spark, root).count() > 0
 
