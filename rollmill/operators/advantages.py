@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.functions.numerics import clip
-from rollmill.plans.scale import attach, linear_scan, next_row, running_total
+from rollmill.plans.scale import attach, linear_scan, running_total
 
 KEYS = ("run_id", "step", "prompt_id")
 
@@ -113,9 +113,6 @@ def ema_baseline(
     `dense` promises that every run's steps are consecutive integers.
     """
     means = rollouts.groupBy(*run, order).agg(F.avg(reward).alias("step_mean"))
-    if alpha == 0.0:  # the baseline is the last step's mean
-        before = next_row(means.withColumn("_back", -F.col(order)), run, "_back", ["step_mean"], "_before_")
-        return before.selectExpr(*run, order, "step_mean", "coalesce(_before_step_mean, 0D) as baseline", "step_mean as baseline_next")
     gains = means.withColumn("_gain", F.lit(1.0 - alpha) * F.col("step_mean"))
     scanned = linear_scan(gains, run, order, alpha, "_gain", "baseline_next", dense=dense)
     return scanned.withColumnRenamed("baseline_next_prev", "baseline").drop("_gain")
@@ -195,15 +192,9 @@ def gae(
     `dense` promises that every trajectory's times are consecutive integers.
     """
     steps = steps.select(*keys, time, reward, value, *keep)
-    if gamma == 0.0:
-        found = steps.withColumn("adv", F.col(reward) - F.col(value))
-    elif lam == 0.0:  # nothing to sum: the error itself
-        adv = F.expr(f"{reward} + {float(gamma)!r}D * coalesce(next_{value}, 0D) - {value}")
-        found = next_row(steps, keys, time, [value]).withColumn("adv", adv).drop(f"next_{value}")
-    else:
-        backward = steps.withColumn("_back", -F.col(time))
-        scanned = linear_scan(backward, keys, "_back", gamma * lam, reward, "_of_r", dense=dense)
-        scanned = linear_scan(scanned, keys, "_back", gamma * lam, value, "_of_v", dense=dense)
-        adv = F.expr(f"_of_r - {value} + {gamma * (1.0 - lam)!r}D * coalesce(_of_v_prev, 0D)")
-        found = scanned.withColumn("adv", adv).drop("_back", "_of_r", "_of_r_prev", "_of_v", "_of_v_prev")
+    backward = steps.withColumn("_back", -F.col(time))
+    scanned = linear_scan(backward, keys, "_back", gamma * lam, reward, "_of_r", dense=dense)
+    scanned = linear_scan(scanned, keys, "_back", gamma * lam, value, "_of_v", dense=dense)
+    adv = F.expr(f"_of_r - {value} + {gamma * (1.0 - lam)!r}D * _of_v_prev")
+    found = scanned.withColumn("adv", adv).drop("_back", "_of_r", "_of_r_prev", "_of_v", "_of_v_prev")
     return found.withColumn("returns", F.col("adv") + F.col(value))

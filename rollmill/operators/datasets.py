@@ -136,7 +136,7 @@ def step_schedule(
     if (steps is None) == (epochs is None):
         raise ValueError("give either steps or epochs")
     n = df.agg(F.count(F.lit(1))).scalar()
-    examples = dense_index(df.select(order, *cols), [], order, "_i", levels=2)
+    examples = dense_index(df.select(order, *cols), [], order, "_i")
     if epochs is not None:
         passes = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(epochs - 1).cast("bigint")))
         out = examples.withColumn("_e", passes).withColumn("step", F.col("_i") + F.col("_e") * n)

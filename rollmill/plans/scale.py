@@ -7,7 +7,7 @@
   bounded size, each block is one small window, and only one row per block
   travels to the next level.
 
-Key columns are expected to be non-NULL.
+NULL is a key like any other. A NULL in an `order` column is an error.
 """
 
 from __future__ import annotations
@@ -18,21 +18,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 12
-# a factor of 10**-NEGLIGIBLE cannot reach the last digit of a double
-NEGLIGIBLE = 40.0
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
+#: Bits of a 64-bit order that each level takes off. A window then holds at most 2**16 rows of a key,
+#: or, one row per block, 2**24 numbers: whatever the span and spacing of the orders.
+CUTS = (16, 24)
+SCAN_BITS = 12
 
 
 def block_of(order: str, bits: int) -> str:
-    """Block number of an integer: floor division by 2**bits."""
-    return f"shiftright(cast({order} as bigint), {bits})"
-
-
-def _present(keys: Sequence[str], order: str) -> str:
-    """What the joins below imply; stated at the source so all readers plan the same, shareable shuffle."""
-    return " and ".join(f"{c} is not null" for c in (*keys, order))
+    """Block number of an integer: floor division by 2**bits; NULL raises."""
+    return f"shiftright(coalesce(cast({order} as bigint), raise_error('the order column holds NULL')), {bits})"
 
 
 def _over(keys: Sequence[str], order: Sequence[str], rows: str = "") -> str:
@@ -42,6 +36,17 @@ def _over(keys: Sequence[str], order: Sequence[str], rows: str = "") -> str:
     return f"over ({by}order by {', '.join(order)}{frame})"
 
 
+def _packed(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The keys as one struct: in it NULL equals NULL, so that equal keys meet in plain joins and share a shuffle."""
+    if not keys:
+        return df, []
+    return df.select(F.struct(*keys).alias("_key"), *[c for c in df.columns if c not in keys]), ["_key"]
+
+
+def _unpacked(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col("_key")[c].alias(c) if c in keys else F.col(c) for c in columns])
+
+
 def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join `facts` (at most one row per key) onto `rows`; NULL is a key like any other.
 
@@ -61,76 +66,59 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "l
 
 
 def running_total(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    value: str,
-    out: str,
-    bits: int = BLOCK_BITS,
-    levels: int = 1,
+    df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, cuts: Sequence[int] = CUTS
 ) -> DataFrame:
-    """Inclusive running sum of `value` per key in integer `order`.
+    """Inclusive running sum of `value` per key in integer `order`, which is unique per key."""
+    packed, by = _packed(df, keys)
+    return _unpacked(_total(packed, by, order, value, out, cuts), [*df.columns, out], keys)
 
-    `order` is unique per key, so a block never exceeds 2**bits rows.
-    """
-    keys = list(keys)
-    if levels == 0:
+
+def _total(df: DataFrame, keys: list[str], order: str, value: str, out: str, cuts: Sequence[int]) -> DataFrame:
+    if not cuts:
         return df.withColumn(out, F.expr(f"sum({value}) {_over(keys, [order], 'current row')}"))
-    b, t, c = f"_b{levels}", f"_t{levels}", f"_c{levels}"
-    blocked = df.where(_present(keys, order)).withColumn(b, F.expr(block_of(order, bits))).where(f"{b} is not null")
+    b, t, c = (f"_{x}{len(cuts)}" for x in "btc")
+    blocked = df.withColumn(b, F.expr(block_of(order, cuts[0])))
     totals = blocked.groupBy(*keys, b).agg(F.sum(value).alias(t))
-    carry = running_total(totals, keys, b, t, c, bits, levels - 1)
-    carry = carry.selectExpr(*keys, b, f"{c} - {t} as {c}")
+    carry = _total(totals, keys, b, t, c, cuts[1:]).selectExpr(*keys, b, f"{c} - {t} as {c}")
     inside = F.expr(f"sum({value}) {_over([*keys, b], [order], 'current row')}")
     joined = blocked.withColumn(out, inside).join(carry, [*keys, b])
     return joined.withColumn(out, F.expr(f"{out} + {c}")).drop(b, c)
 
 
-def dense_index(
-    df: DataFrame, keys: Sequence[str], order: str, out: str, bits: int = BLOCK_BITS, levels: int = 1
-) -> DataFrame:
+def dense_index(df: DataFrame, keys: Sequence[str], order: str, out: str, cuts: Sequence[int] = CUTS) -> DataFrame:
     """0-based position of each row per key; `order` is an integer, unique per key."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
-    counted = running_total(one, keys, order, "_one", out, bits, levels)
+    counted = running_total(one, keys, order, "_one", out, cuts)
     return counted.withColumn(out, F.expr(f"cast({out} - 1 as bigint)")).drop("_one")
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], n: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than `hot_rows` rows and over 1/MAX_HOT_KEYS of all rows.
-
-    Fewer than MAX_HOT_KEYS keys can pass the second test, whatever the data:
-    that is the size bound behind broadcasting them.
-    """
-    share = counts.agg((F.sum(n) / F.lit(MAX_HOT_KEYS))).scalar()
-    return counts.where((F.col(n) > F.lit(hot_rows)) & (F.col(n) > share)).select(*keys)
-
-
-def row_index(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    coarse: Sequence[str],
-    counts: DataFrame,
-    n: str,
-    out: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], coarse: str, out: str) -> DataFrame:
     """0-based row_number per key over arbitrary `order` columns.
 
-    Ordinary keys are numbered by one window. A hot key is cut into blocks by
-    `coarse`, leading order columns rounded down, and each block is numbered
-    from the row count of the blocks before it.
+    `coarse` rounds the leading order columns down to one integer. Rows of a key that share it are
+    numbered by themselves, after the rows of lower numbers, which a running total counts.
     """
-    keys = list(keys)
-    hot = hot_keys(counts, keys, n, hot_rows).withColumn("_hot", F.lit(True))
-    part = [f"_k{i}" for i in range(len(coarse))]
-    cuts = [f"case when _hot then {e} end as {p}" for p, e in zip(part, coarse, strict=True)]
-    tagged = df.join(F.broadcast(hot), keys, "left").selectExpr("*", *cuts)
-    blocks = tagged.where("_hot").groupBy(*keys, *part).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = blocks.selectExpr(*keys, *part, f"sum(_n) {_over(keys, part, '1 preceding')} as _off")
-    local = tagged.withColumn(out, F.expr(f"row_number() {_over([*keys, *part], order)}"))
-    position = F.expr(f"cast({out} - 1 + coalesce(_off, 0) as bigint)")
-    return local.join(offsets, [*keys, *part], "left").withColumn(out, position).drop("_hot", "_off", *part)
+    packed, by = _packed(df, keys)
+    tagged = packed.withColumn("_part", F.expr(coarse))
+    counts = tagged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = _total(counts, by, "_part", "_n", "_off", CUTS).selectExpr(*by, "_part", "_off - _n as _off")
+    local = tagged.withColumn(out, F.expr(f"row_number() {_over([*by, '_part'], order)}"))
+    numbered = local.join(offsets, [*by, "_part"]).withColumn(out, F.expr(f"cast({out} - 1 + _off as bigint)"))
+    return _unpacked(numbered, [*df.columns, out], keys)
+
+
+def _previous(df: DataFrame, keys: list[str], order: str, value: str, out: str, cuts: Sequence[int]) -> DataFrame:
+    """The number `value`, never NULL, of the row before in `order`; NULL on a key's first row."""
+    inside = f"lag({value}) {_over(keys, [order])}"
+    if not cuts:
+        return df.withColumn(out, F.expr(inside))
+    b, c = (f"_{x}{len(cuts)}" for x in "bc")
+    blocked = df.withColumn(b, F.expr(block_of(order, cuts[0])))
+    lasts = blocked.groupBy(*keys, b).agg(F.max_by(value, order).alias(c))
+    before = _previous(lasts, keys, b, c, f"{c}p", cuts[1:]).drop(c)
+    inside = f"lag({value}) {_over([*keys, b], [order])}"
+    joined = blocked.withColumn(out, F.expr(inside)).join(before, [*keys, b])
+    return joined.withColumn(out, F.expr(f"coalesce({out}, {c}p)")).drop(b, f"{c}p")
 
 
 def next_row(
@@ -139,28 +127,29 @@ def next_row(
     order: str,
     cols: Sequence[str],
     prefix: str = "next_",
-    bits: int = BLOCK_BITS,
-    levels: int = 2,
+    cuts: Sequence[int] = CUTS,
 ) -> DataFrame:
     """Values of `cols` in the following row per key (NULL on the last row).
 
     Inside a block this is lead(); a block's last row takes the first row of
-    the next block that has one, found the same way one level up.
+    the next block. Which block comes next is found with block numbers alone:
+    the values move with their own row, and one row per block moves to the block before.
     """
-    keys = list(keys)
-    packed = f"struct({', '.join(cols)})"
-    if levels == 0:
-        ahead = df.withColumn("_next", F.expr(f"lead({packed}) {_over(keys, [order])}"))
-        return ahead.selectExpr(*df.columns, *[f"_next.{c} as {prefix}{c}" for c in cols])
-    b, head = f"_b{levels}", f"_head{levels}"
-    blocked = df.where(_present(keys, order)).withColumn(b, F.expr(block_of(order, bits))).where(f"{b} is not null")
-    # column by column: numbers then aggregate in a hash table, which a struct cannot
-    firsts = blocked.groupBy(*keys, b).agg(*[F.min_by(c, order).alias(c) for c in cols])
-    heads = firsts.selectExpr(*keys, b, f"{packed} as {head}")
-    following = next_row(heads, keys, b, [head], "_after", bits, levels - 1).drop(head)
-    inside = F.expr(f"lead({packed}) {_over([*keys, b], [order])}")
-    joined = blocked.withColumn("_next", inside).join(following, [*keys, b])
-    return joined.selectExpr(*df.columns, *[f"coalesce(_next, _after{head}).{c} as {prefix}{c}" for c in cols])
+    rows, by = _packed(df, keys)
+    values = f"struct({', '.join(cols)})"
+    if not cuts:
+        joined = rows.withColumn("_next", F.expr(f"lead({values}) {_over(by, [order])}"))
+    else:
+        blocked = rows.withColumn("_b", F.expr(block_of(order, cuts[0])))
+        links = _previous(blocked.select(*by, "_b").distinct(), by, "_b", "_b", "_to", cuts[1:])
+        place = F.expr(f"row_number() {_over([*by, '_b'], [order])}")
+        heads = blocked.withColumn("_place", place).where("_place = 1").selectExpr(*by, "_b", f"{values} as _head")
+        heads = heads.join(links.where("_to is not null"), [*by, "_b"]).selectExpr(*by, "_to as _b", "_head")
+        inside = F.expr(f"lead({values}) {_over([*by, '_b'], [order])}")
+        joined = blocked.withColumn("_next", inside).join(heads, [*by, "_b"], "left")
+        joined = joined.withColumn("_next", F.coalesce("_next", "_head"))
+    joined = joined.withColumns({f"{prefix}{c}": F.col("_next")[c] for c in cols})
+    return _unpacked(joined, [*df.columns, *[f"{prefix}{c}" for c in cols]], keys)
 
 
 def linear_scan(
@@ -170,46 +159,59 @@ def linear_scan(
     coef: float,
     term: str,
     out: str,
-    bits: int = BLOCK_BITS,
+    bits: int = SCAN_BITS,
     dense: bool = False,
+    cuts: Sequence[int] = CUTS,
 ) -> DataFrame:
     """x_t = coef * x_(t-1) + term_t per key in integer `order`, x before the first row = 0.
 
-    Adds `out` (x_t) and `out`_prev (x_(t-1)). 0 < coef <= 1. `dense` promises
-    that `order` holds consecutive integers per key, from any start.
-
-    A block of L consecutive rows needs one number from outside, the x it
-    starts from; inside, x is a running sum of terms scaled by coef**-i. The x
-    at the block ends follow the same recurrence with coefficient coef**L, so
-    they come from the same scan over one row per block. Blocks are kept short
-    enough for coef**-L to stay a plain double, and the recursion stops where
-    coef**L no longer reaches a double's last digit.
+    Adds `out` (x_t) and `out`_prev (x_(t-1)). 0 <= coef <= 1. `dense` promises
+    that `order` holds consecutive integers per key, from any start. Terms above 1e100 may overflow.
     """
-    if not 0.0 < coef <= 1.0:
+    if not 0.0 <= coef <= 1.0:
         raise ValueError(f"coef must lie between 0 and 1, not {coef}")
-    keys = list(keys)
+    columns = [*df.columns, f"{out}_prev", out]
     if coef == 1.0:
-        total = running_total(df, keys, order, term, out, bits)
-        return total.withColumn(f"{out}_prev", F.expr(f"{out} - {term}"))
-    df = df.withColumn("_p", F.col(order).cast("bigint")) if dense else dense_index(df, keys, order, "_p", bits)
-    decay = -math.log10(coef)
-    bits = max(0, min(bits, int(math.log2(200.0 / decay)) if decay < 200.0 else 0))
+        total = running_total(df, keys, order, term, out, cuts)
+        return total.withColumn(f"{out}_prev", F.expr(f"{out} - {term}")).select(*columns)
+    df = df.withColumn("_p", F.col(order).cast("bigint")) if dense else dense_index(df, keys, order, "_p", cuts)
+    packed, by = _packed(df, keys)
+    return _unpacked(_scan(packed, by, "_p", coef, term, out, bits), columns, keys)
+
+
+def _scan(df: DataFrame, keys: list[str], at: str, coef: float, term: str, out: str, bits: int) -> DataFrame:
+    """`linear_scan` over consecutive positions `at`.
+
+    A block of L rows needs one number from outside, the x it starts from;
+    inside, x is a running sum of terms scaled by coef**-i, and blocks are
+    short enough for coef**-L to stay a plain double. The x at the block ends
+    follow the same recurrence with coefficient q = coef**L: one row per block
+    goes up a level, until q < 1e-40. There a block reaches only a few blocks
+    on, as q**k times the largest double is soon below the smallest.
+    """
+    decay = -math.log10(coef) if coef else math.inf
+    bits = min(bits, int(math.log2(200.0 / decay))) if decay <= 200.0 else 0
     last = (1 << bits) - 1
+    span, q = decay * (last + 1), coef ** (last + 1)
     c = f"{coef!r}D"
-    blocked = df.selectExpr("*", f"{block_of('_p', bits)} as _b", f"_p & {last} as _i").where(_present(keys, "_b"))
+    blocked = df.selectExpr("*", f"{block_of(at, bits)} as _b", f"{at} & {last} as _i")
     # only full blocks have a successor, hence the fixed exponent
     ends = blocked.groupBy(*keys, F.expr("_b + 1 as _e")).agg(F.expr(f"sum({term} * pow({c}, {last} - _i)) as _t"))
-    if decay * (last + 1) < NEGLIGIBLE:
-        carry = linear_scan(ends, keys, "_e", coef ** (last + 1), "_t", "_x", dense=True)
+    if span < 40.0:
+        carry = _scan(ends, keys, "_e", q, "_t", "_x", bits=SCAN_BITS)
     else:
-        carry = ends.withColumnRenamed("_t", "_x")
+        reach = math.ceil(650.0 / span) if coef else 1
+        # in two factors, either of which stays a double
+        share = f"_t * pow({q!r}D, _n div 2) * pow({q!r}D, _n - _n div 2)"
+        later = ends.selectExpr(*keys, "_e", "_t", f"explode(sequence(0, {max(reach, 1) - 1})) as _n")
+        carry = later.groupBy(*keys, F.expr("_e + _n as _e")).agg(F.expr(f"sum({share}) as _x"))
     carry = carry.selectExpr(*keys, "_e as _b", "_x as _in")
-    scaled = f"sum({term} * pow({c}, -_i)) {_over([*keys, '_b'], ['_p'], '1 preceding')}"
-    before = f"pow({c}, _i - 1) * coalesce(_s, 0D) + pow({c}, _i) * coalesce(_in, 0D)"
+    scaled = f"sum({term} * pow({c}, -_i)) {_over([*keys, '_b'], [at], '1 preceding')}"
+    before = f"case when _i = 0 then 0D else pow({c}, _i - 1) * coalesce(_s, 0D) end + pow({c}, _i) * coalesce(_in, 0D)"
     return (
         blocked.withColumn("_s", F.expr(scaled))
         .join(carry, [*keys, "_b"], "left")
         .withColumn(f"{out}_prev", F.expr(before))
         .withColumn(out, F.expr(f"{c} * {out}_prev + {term}"))
-        .drop("_p", "_b", "_i", "_s", "_in")
+        .drop("_b", "_i", "_s", "_in")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rollmill.functions.verifiers import first_int_reward
 from rollmill.operators.datasets import adjacent_turns
 from rollmill.operators.selection import best_worst
-from rollmill.plans.scale import HOT_ROWS, dense_index, next_row, row_index
+from rollmill.plans.scale import dense_index, next_row, row_index
 from rollmill.sources.tables import spread, table
 
 RUN_KEYS = ("run_id", "step", "prompt_id")
@@ -36,28 +36,30 @@ ROLLOUT_COLUMNS = (
 )
 
 
-def run_steps(orders: DataFrame, per_order: DataFrame) -> DataFrame:
+def run_steps(orders: DataFrame, lined: DataFrame) -> DataFrame:
     """Orders with lines, numbered within their priority."""
-    # asking for the count keeps this aggregate equal to the one hot keys come from, so its shuffle is reused
-    lined = per_order.where("n_lines > 0")
     used = orders.join(lined, orders.o_orderkey == lined.l_orderkey, "left_semi")
     return dense_index(used, ["o_orderpriority"], "o_orderkey", "step")
 
 
-def arith_rollouts(spark: SparkSession, root: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """one order is a prompt and a step of its run, one line is a sample."""
+def samples(spark: SparkSession, root: str) -> DataFrame:
+    """Lines with `sample_id`, their number within their order."""
     lines = table(spark, root, "lineitem").where("l_orderkey is not null")
-    orders = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     order = (
         "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    coarse = ["cast(l_linenumber as bigint)", "shiftright(l_partkey, 10)"]
-    samples = row_index(lines, ["l_orderkey"], order, coarse, per_order, "n_lines", "sample_id", hot_rows)
+    coarse = "shiftleft(cast(l_linenumber as bigint), 32) + shiftright(l_partkey, 10)"  # part keys below 2**42
+    return row_index(lines, ["l_orderkey"], order, coarse, "sample_id")
+
+
+def arith_rollouts(spark: SparkSession, root: str) -> DataFrame:
+    """one order is a prompt and a step of its run, one line is a sample."""
+    lined = table(spark, root, "lineitem").select("l_orderkey").distinct()
+    orders = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     return (
-        samples.withColumnRenamed("l_orderkey", "o_orderkey")
-        .join(run_steps(orders, per_order), "o_orderkey")
+        samples(spark, root).withColumnRenamed("l_orderkey", "o_orderkey")
+        .join(run_steps(orders, lined), "o_orderkey")
         .selectExpr(*ROLLOUT_COLUMNS)
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spec
+from rollmill import catalog
 from rollmill.operators import advantages as A
 from rollmill.operators import ngram as L
 from rollmill.operators import selection as S
@@ -21,46 +22,50 @@ def gappy(spark):
     """Keys of very different size, integer order with gaps and negatives."""
     rng = random.Random(7)
     rows = []
-    for key, n in (("hot", 400), ("warm", 30), ("one", 1)):
+    for key, n in (("hot", 400), ("warm", 30), (None, 1)):
         for o in rng.sample(range(-900, 900), n):
             rows.append((key, o, rng.randint(-5, 5), rng.random()))
     return spark.createDataFrame(rows, "key string, o bigint, v bigint, x double").cache()
 
 
-@pytest.mark.parametrize("levels", [0, 1, 2, 3])
-def test_running_total_equals_the_window(gappy, levels):
+CUTS = [(), (3,), (3, 3), (3, 3, 3), scale.CUTS]
+
+
+@pytest.mark.parametrize("cuts", CUTS)
+def test_running_total_equals_the_window(gappy, cuts):
     w = Window.partitionBy("key").orderBy("o").rowsBetween(Window.unboundedPreceding, 0)
     want = gappy.select("key", "o", F.sum("v").over(w).alias("s"))
-    got = scale.running_total(gappy, ["key"], "o", "v", "s", bits=3, levels=levels).select("key", "o", "s")
-    assert sorted(got.collect()) == sorted(want.collect())
+    got = scale.running_total(gappy, ["key"], "o", "v", "s", cuts=cuts).select("key", "o", "s")
+    order = lambda rows: sorted(rows, key=lambda r: (r.key or "", r.o))
+    assert order(got.collect()) == order(want.collect())
 
 
-@pytest.mark.parametrize("levels", [1, 2])
-def test_dense_index_without_keys(gappy, levels):
+@pytest.mark.parametrize("cuts", CUTS[1:])
+def test_dense_index_without_keys(gappy, cuts):
     one = gappy.where("key = 'hot'")
-    got = [r.i for r in scale.dense_index(one, [], "o", "i", bits=3, levels=levels).orderBy("o").collect()]
+    got = [r.i for r in scale.dense_index(one, [], "o", "i", cuts=cuts).orderBy("o").collect()]
     assert got == list(range(400))
 
 
-@pytest.mark.parametrize("levels", [0, 1, 2, 3])
-def test_next_row_equals_lead(gappy, levels):
+@pytest.mark.parametrize("cuts", CUTS)
+def test_next_row_equals_lead(gappy, cuts):
     gappy = gappy.withColumn("v", F.when(F.col("v") > 0, F.col("v")))  # a NULL value is still the next row's value
     w = Window.partitionBy("key").orderBy("o")
     want = gappy.select("key", "o", F.lead("v").over(w).alias("next_v"), F.lead("x").over(w).alias("next_x"))
-    got = scale.next_row(gappy, ["key"], "o", ["v", "x"], bits=3, levels=levels).select("key", "o", "next_v", "next_x")
-    order = lambda rows: sorted(rows, key=lambda r: (r.key, r.o))
+    got = scale.next_row(gappy, ["key"], "o", ["v", "x"], cuts=cuts).select("key", "o", "next_v", "next_x")
+    order = lambda rows: sorted(rows, key=lambda r: (r.key or "", r.o))
     assert order(got.collect()) == order(want.collect())
 
 
-@pytest.mark.parametrize("coef", [1e-6, 0.3, 0.9, 0.999, 0.999999, 1.0])
+@pytest.mark.parametrize("coef", [0.0, 1e-250, 1e-90, 1e-6, 0.3, 0.9, 0.999, 0.999999, 1.0])
 @pytest.mark.parametrize("bits", [1, 3, 12])
 def test_linear_scan_equals_the_loop(gappy, coef, bits):
     got = scale.linear_scan(gappy, ["key"], "o", coef, "x", "y", bits=bits)
     found = {(r.key, r.o): (r.v, r.y_prev, r.y) for r in got.collect()}
     seen = 0
-    for key in ("hot", "warm", "one"):
+    for key in ("hot", "warm", None):
         y = 0.0
-        for r in gappy.where(F.col("key") == key).orderBy("o").collect():
+        for r in gappy.where(F.col("key").eqNullSafe(key)).orderBy("o").collect():
             before, y = y, coef * y + r.x
             v, y_prev, y_now = found[key, r.o]
             assert v == r.v and (y_prev, y_now) == pytest.approx((before, y), rel=1e-9, abs=1e-12)
@@ -85,18 +90,37 @@ def test_linear_scan_refuses_a_growing_recurrence(gappy):
         scale.linear_scan(gappy, ["key"], "o", 1.1, "x", "y")
 
 
-def test_hot_orders_are_numbered_alike(spark, root):
-    """With almost every order treated as hot, sample numbers do not change."""
-    cols = ["prompt_id", "step", "sample_id", "response", "lp_new", "lp_old", "lp_ref"]
-    usual = fx.arith_rollouts(spark, root).select(cols)
-    split = fx.arith_rollouts(spark, root, hot_rows=1).select(cols)
-    assert usual.exceptAll(split).count() == 0 and split.count() == usual.count()
+def test_samples_are_numbered_as_by_one_window(spark, root):
+    by = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+          "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+    got = fx.samples(spark, root)
+    want = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*by)) - 1
+    assert got.withColumn("_want", want).where("sample_id <> _want").isEmpty()
+    assert got.count() == spark.read.parquet(f"{root}/lineitem.parquet").count()
+
+
+def test_sparse_orders_fill_no_large_block(spark, conf):
+    """Orders spaced by 2**40, and NULL keys: every window, at any level, sees few rows of a key."""
+    df = spark.range(3000).selectExpr("if(id % 2 = 0, null, 'k') as key", "(id - 1500) * pow(2, 40) as o", "1D as x")
+    df = df.withColumn("o", F.col("o").cast("bigint"))
+    first = df.groupBy("key", F.shiftright("o", scale.CUTS[0])).count().agg(F.max("count")).first()[0]
+    second = df.groupBy("key", F.shiftright("o", sum(scale.CUTS))).count().agg(F.max("count")).first()[0]
+    assert first == second == 1
+    assert 64 - sum(scale.CUTS) <= 24  # what the top window can hold, whatever the orders
+    rows = scale.dense_index(df, ["key"], "o", "i").collect()
+    assert sorted((r.key or "", r.i) for r in rows) == sorted((k, i) for k in ("", "k") for i in range(1500))
 
 
-def test_few_keys_can_be_hot(spark):
-    counts = spark.range(100).select("id", F.lit(10).alias("n"))
-    assert scale.hot_keys(counts, ["id"], "n", hot_rows=10).count() == 0
-    assert scale.hot_keys(counts, ["id"], "n", hot_rows=9).count() == 100
+def test_a_null_order_is_an_error(spark):
+    df = spark.createDataFrame([("k", 1, 1.0), ("k", None, 1.0)], "key string, o bigint, x double")
+    for out in (
+        scale.running_total(df, ["key"], "o", "x", "s"),
+        scale.next_row(df, ["key"], "o", ["x"]),
+        scale.linear_scan(df, ["key"], "o", 0.5, "x", "y"),
+        scale.linear_scan(df, ["key"], "o", 0.5, "x", "y", dense=True),
+    ):
+        with pytest.raises(Exception, match="order column holds NULL"):
+            out.collect()
 
 
 def final_plan(df):
@@ -153,7 +177,7 @@ def test_top_k_limits_before_the_shuffle(spark, root):
 
 
 EAGER = {"p9_preference_scorer_bt", "p9_preference_scorer_ls"}
-BATCH = sorted(n for n in spec.queries() if not n.startswith("t") and n not in EAGER)
+BATCH = sorted(n for n in catalog.queries() if not n.startswith("t") and n not in EAGER)
 
 
 @pytest.mark.parametrize("name", BATCH)

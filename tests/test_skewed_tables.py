@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spec
 import check
@@ -45,8 +46,7 @@ def test_same_rows_as_sql(spark, con, hot_root, name):
 
 
 def test_samples_of_the_hot_order_are_numbered_in_blocks(spark, hot_root):
-    cols = ["prompt_id", "step", "sample_id", "response", "lp_new", "lp_old", "lp_ref"]
-    usual = fx.arith_rollouts(spark, hot_root).select(cols)
-    split = fx.arith_rollouts(spark, hot_root, hot_rows=100).select(cols)
-    assert usual.where("prompt_id = 5").count() > 2000
-    assert usual.exceptAll(split).count() == 0 and split.count() == usual.count()
+    lines = fx.samples(spark, hot_root).where("l_orderkey = 5")
+    n = lines.count()
+    assert n > 2000 and sorted(r.sample_id for r in lines.collect()) == list(range(n))
+    assert lines.groupBy("l_linenumber", F.shiftright("l_partkey", 10)).count().agg(F.max("count")).first()[0] < n / 2
