@@ -13,25 +13,32 @@ def events(spark, root):
     return stream.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("reward", F.col("value"))
 
 
-def t1(spark, root):
-    windows = T.reward_windows(events(spark, root), by=["event_type"])
-    out = T.drain(windows, "reward_windows")
-    for edge in ("start", "end"):
-        out = out.withColumn(edge, F.col(edge).cast("timestamp_ntz"))
-    return rounded_cols(out, ["mean_reward"])
+def windows(**how):
+    """Windows that the watermark has passed; later ones stay open, as in any stream."""
+
+    def build(spark, root):
+        out = T.drain(T.reward_windows(events(spark, root), by=["event_type"], **how), "reward_windows")
+        for edge in ("start", "end"):
+            out = out.withColumn(edge, F.col(edge).cast("timestamp_ntz"))
+        return rounded_cols(out, ["mean_reward"])
+
+    return build
 
 
 def t2(spark, root):
-    base = T.ema_baseline_stream(events(spark, root), ["event_type"], "ts", "event_id")
-    return rounded_cols(T.drain(base, "ema_baseline").drop("ts"), ["baseline"])
+    """A step is a microsecond of a run (an event type): the events of one share it."""
+    stream = events(spark, root).withColumn("step", F.unix_micros("ts"))
+    rows, _ = T.drain_batches(stream, "ema_baseline", T.ema_baseline_step(["event_type"], "step"))
+    return rounded_cols(rows, ["step_mean", "baseline", "baseline_next"])
 
 
 def t3(spark, root):
-    groups = T.group_advantage_stream(
-        events(spark, root), ["event_type", "user_id"], "ts", sample="event_id", k=4
-    )
-    out = T.drain(groups, "group_advantage").where("complete")
-    return rounded_cols(out.select("event_type", "user_id", "event_id", "adv"), ["adv"])
+    """All events: groups still short at the end of the table come with complete = false."""
+    step = T.group_advantage_step(["event_type", "user_id"], "ts", sample="event_id", wait="3650 days")
+    done, held = T.drain_batches(events(spark, root), "group_advantage", step)
+    short, _ = T.group_advantage_step(["event_type", "user_id"], "ts", sample="event_id", wait="0 days")(held, None)
+    rows = done.unionByName(short).select("event_type", "user_id", "event_id", "k", "adv", "signal", "complete")
+    return rounded_cols(rows, ["adv"])
 
 
 def t4(spark, root):
@@ -39,31 +46,48 @@ def t4(spark, root):
     return T.drain(kept, "rejection").select("event_id", "event_type", "user_id", "props")
 
 
+STATS = "count(*) as n, avg(value) as m, min(value) = max(value) as no_signal"
+COLS = f"event_type, n, {r('m')} as mean_reward, no_signal"
+MARK = "(select max(ts) - interval 10 minute from events)"
+
 ENTRIES = {
     "t1_stream_reward_windows": Entry(
-        t1,
-        f"""with w as (select date_trunc('hour', ts) as start, event_type, count(*) as n, avg(value) as m,
-        min(value) = max(value) as no_signal from events group by 1, 2)
-        select start::timestamp as start, (start + interval 1 hour)::timestamp as "end", event_type, n,
-               {r('m')} as mean_reward, no_signal
-        from w where start + interval 1 hour <= (select max(ts) - interval 10 minute from events)""",
+        windows(),
+        f"""with w as (select date_trunc('hour', ts) as start, event_type, {STATS} from events group by 1, 2)
+        select start::timestamp as start, (start + interval 1 hour)::timestamp as "end", {COLS}
+        from w where start + interval 1 hour <= {MARK}""",
+    ),
+    "t1_stream_sliding_windows": Entry(
+        windows(slide="30 minutes"),
+        f"""with s as (select time_bucket(interval 30 minute, ts) - i * interval 30 minute as start, event_type, value
+                   from events, (values (0), (1)) x(i)),
+        w as (select start, event_type, {STATS} from s group by 1, 2)
+        select start::timestamp as start, (start + interval 1 hour)::timestamp as "end", {COLS}
+        from w where start + interval 1 hour <= {MARK}""",
+    ),
+    "t1_stream_session_windows": Entry(
+        windows(gap="5 minutes"),
+        f"""with e as (select *, ts >= lag(ts) over (partition by event_type order by ts, event_id) + interval 5 minute as cut from events),
+        s as (select *, count(*) filter (cut) over (partition by event_type order by ts, event_id) as session from e),
+        w as (select event_type, min(ts) as start, max(ts) + interval 5 minute as stop, {STATS} from s group by event_type, session)
+        select start::timestamp as start, stop::timestamp as "end", {COLS} from w where stop <= {MARK}""",
     ),
     "t2_stream_ema_baseline": Entry(
         t2,
-        f"""with e as (select event_type, event_id, count(*) over (partition by event_type order by ts, event_id) as seen,
-        coalesce(list(value) over (partition by event_type order by ts, event_id
-                 rows between unbounded preceding and 1 preceding), []) as past from events)
-        select event_type, event_id, seen,
-               {r('list_reduce(list_prepend(0::double, past), lambda a, x: 0.9::double * a + 0.1::double * x)')} as baseline
-        from e""",
+        f"""with e as (select event_type, epoch_us(ts) as step, avg(value) as m from events group by all),
+        p as (select *, count(*) over w as seen, coalesce(list(m) over (w rows between unbounded preceding and 1 preceding), []) as past
+              from e window w as (partition by event_type order by step)),
+        b as (select *, list_reduce(list_prepend(0::double, past), lambda a, x: 0.9::double * a + 0.1::double * x) as base from p)
+        select event_type, step, seen, {r('m')} as step_mean, {r('base')} as baseline,
+               {r('0.9::double * base + 0.1::double * m')} as baseline_next from b""",
     ),
     "t3_stream_group_advantage": Entry(
         t3,
-        f"""with n as (select *, (row_number() over (partition by event_type, user_id order by ts, event_id) - 1) // 4 as chunk
+        f"""with n as (select *, (row_number() over (partition by event_type, user_id order by event_id) - 1) // 4 as chunk
         from events),
-        c as (select event_type, user_id, chunk, avg(value) as mu, sqrt(var_pop(value)) + 1e-6 as sigma
-              from n group by all having count(*) = 4)
-        select event_type, user_id, event_id, {r('(value - mu) / sigma')} as adv from n join c using (event_type, user_id, chunk)""",
+        c as (select event_type, user_id, chunk, count(*) as k, avg(value) as mu, var_pop(value) as v from n group by all)
+        select n.event_type, n.user_id, event_id, k, {r('(value - mu) / (sqrt(v) + 1e-6)')} as adv, v >= 1e-12 as signal, k = 4 as complete
+        from n join c on n.chunk = c.chunk and n.user_id is not distinct from c.user_id and n.event_type is not distinct from c.event_type""",
     ),
     "t4_stream_rejection_filter": Entry(
         t4,

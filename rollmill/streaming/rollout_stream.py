@@ -1,17 +1,19 @@
-"""Rollout logs arriving as streams (T1-T4). The caller owns source, sink and trigger."""
+"""Rollout logs arriving as streams (T1-T4). The caller owns source, sink and trigger.
+
+T1 and T4 are plain streaming plans. T2 and T3 run the batch operators on every
+micro-batch (`drain_batches`), so a run or group of any size is split as in a batch job.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rollmill.functions.verifiers import first_int_reward
-from rollmill.operators.advantages import SIGMA_EPS
+from rollmill.operators.advantages import SIGMA_EPS, group_stats, has_signal
+from rollmill.plans.scale import attach, dense_index, linear_scan
 from rollmill.plans.session import shared_dir
 
 
@@ -43,41 +45,53 @@ def reward_windows(
     )
 
 
-def _fields(stream: DataFrame, names: Sequence[str]) -> list[T.StructField]:
-    return [stream.schema[n] for n in names]
+#: Rows of a micro-batch and the state before it, None at first -> rows to return and the state after it.
+Step = Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]]
 
 
-def ema_baseline_stream(
-    stream: DataFrame, run: Sequence[str], order: str, row_id: str, reward: str = "reward", alpha: float = 0.9
-) -> DataFrame:
-    """The run's baseline before every step, carried across micro-batches.
+def ema_baseline_step(run: Sequence[str], order: str, reward: str = "reward", alpha: float = 0.9) -> Step:
+    """Per step, its mean reward and the run's baseline before and after it, as A7 has them.
 
-    One row per step, arriving in `order` across batches (ties by `row_id`);
-    within a batch any order will do. State is one double and one count per
-    run, however long the run; a task holds one run's rows of one batch, so
-    the source's rate limit bounds its memory.
+    State: one row per run with its last step, baseline and number of steps.
+    `order` is an integer. Steps arrive whole and in order: one at or before its run's last step is an error,
+    since later baselines have been reported already.
     """
     run = list(run)
-    out = T.StructType(
-        _fields(stream, [*run, order, row_id])
-        + [T.StructField("baseline", T.DoubleType()), T.StructField("seen", T.LongType())]
-    )
 
-    def update(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        b, n = state.get if state.exists else (0.0, 0)
-        rows = pd.concat(list(batches)).sort_values([order, row_id])
-        path = pd.Series([b, *rows[reward]], dtype=float).ewm(alpha=1 - alpha, adjust=False).mean().to_numpy()
-        state.update((float(path[-1]), int(n + len(rows))))
-        rows = rows[[*run, order, row_id]].assign(baseline=path[:-1], seen=range(n + 1, n + len(rows) + 1))
-        yield rows
+    def step(batch: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        means = batch.groupBy(*run, order).agg(F.avg(reward).alias("step_mean"))
+        facts = means.groupBy(*run).agg(F.min(order).alias("_first"), F.max(order).alias("_end"), F.count(F.lit(1)).alias("_n"))
+        if state is None:
+            facts = facts.selectExpr("*", "0D as _start", "0L as _seen")
+        else:
+            known = state.withColumnsRenamed({"last": "_last", "baseline": "_start", "seen": "_seen"})
+            late = "case when _first <= _last then raise_error('a step came after a later step of its run') else _first end"
+            facts = attach(facts, known, run).withColumns(
+                {"_first": F.expr(late), "_start": F.expr("coalesce(_start, 0D)"), "_seen": F.expr("coalesce(_seen, 0L)")}
+            )
+        # the run's baseline enters with its first new step, which the scan then carries on
+        gain = f"{1.0 - alpha!r}D * step_mean + case when {order} = _first then {alpha!r}D * _start else 0D end"
+        steps = attach(means, facts, run).withColumn("_gain", F.expr(gain))
+        steps = dense_index(steps, run, order, "_at")
+        scanned = linear_scan(steps, run, "_at", alpha, "_gain", "baseline_next", dense=True).selectExpr(
+            *run,
+            order,
+            "step_mean",
+            "case when _at = 0 then _start else baseline_next_prev end as baseline",
+            "baseline_next",
+            "_seen + _at + 1 as seen",
+            f"{order} = _end as _ends",
+        )
+        ends = scanned.where("_ends").selectExpr(*run, f"{order} as last", "baseline_next as baseline", "seen")
+        if state is not None:
+            moved = ends.select(*run, F.lit(True).alias("_moved"))
+            ends = ends.unionByName(attach(state, moved, run).where("_moved is null").drop("_moved"))
+        return scanned.drop("_ends"), ends
 
-    return stream.select(*run, order, row_id, reward).groupBy(*run).applyInPandasWithState(
-        update, out, "b double, n bigint", "append", GroupStateTimeout.NoTimeout
-    )
+    return step
 
 
-def group_advantage_stream(
-    stream: DataFrame,
+def group_advantage_step(
     keys: Sequence[str],
     time: str,
     sample: str = "sample_id",
@@ -85,75 +99,44 @@ def group_advantage_stream(
     k: int = 4,
     kind: str = "grpo",
     wait: str = "1 hour",
-    late: str = "10 minutes",
-) -> DataFrame:
-    """Advantages as soon as k samples of a group have arrived.
+) -> Step:
+    """Advantages as soon as k samples of a group have arrived, in order of the integer `sample`.
 
-    A group that stays short is emitted when the watermark passes its last
-    event by `wait`, with complete = false. At most k - 1 samples per group
-    are ever buffered; further samples of a finished group start a new one.
+    State: the samples of groups that are still short, fewer than k a group. They come out
+    with complete = false once an event `wait` later than the group's last one is seen; samples that come
+    after that, or after the k-th, start a new group. A group without any time is not held. `signal` tells the groups that A4 (grpo) or A6 (rloo)
+    keep; without it adv is 0 or next to it.
     """
     if kind not in ("grpo", "rloo"):
         raise ValueError(f"kind is 'grpo' or 'rloo', not {kind!r}")
-    keys = list(keys)
-    wait_ms = int(pd.Timedelta(wait).total_seconds() * 1000)
-    cols = [sample, reward, "_ms"]
-    key_fields = _fields(stream, keys)
-    out = T.StructType(
-        key_fields
-        + _fields(stream, [sample, reward])
-        + [
-            T.StructField("k", T.LongType()),
-            T.StructField("adv", T.DoubleType()),
-            T.StructField("complete", T.BooleanType()),
-        ]
-    )
-    names = out.fieldNames()
-
-    def emit(key: tuple, group: pd.DataFrame, complete: bool) -> pd.DataFrame:
-        r = group[reward].to_numpy(dtype=float)
-        n = len(r)
-        if kind == "grpo":
-            adv = (r - r.mean()) / (r.std() + SIGMA_EPS)
-        elif n > 1:
-            adv = r - (r.sum() - r) / (n - 1)
-        else:
-            adv = r * 0.0
-        done = group[[sample, reward]].assign(k=n, adv=adv, complete=complete)
-        for name, value in zip(keys, key, strict=True):
-            done[name] = value
-        return done[names]
-
-    def update(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = (
-            pd.DataFrame(dict(zip(cols, state.get, strict=True))) if state.exists else pd.DataFrame(columns=cols)
+    chunk = [*keys, "_chunk"]
+    if kind == "grpo":
+        adv = f"({reward} - mu) / (sqrt(var) + {SIGMA_EPS!r}D)"
+    else:
+        adv = f"coalesce({reward} - (r_sum - {reward}) / nullif(k - 1, 0), 0D)"
+
+    def step(batch: DataFrame, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        rows = batch.select(*keys, time, sample, reward)
+        if state is not None:
+            rows = state.unionByName(rows)
+        rows = dense_index(rows, keys, sample, "_at").withColumn("_chunk", F.expr(f"_at div {k}"))
+        stats = attach(
+            group_stats(rows, chunk, reward).withColumn("signal", has_signal("var" if kind == "grpo" else "equal")),
+            rows.groupBy(*chunk).agg(F.max(time).alias("_latest")),
+            chunk,
         )
-        if state.hasTimedOut:
-            state.remove()
-            if len(held):
-                yield emit(key, held, False)
-            return
-        fresh = pd.concat([b[cols] for b in batches]).sort_values(["_ms", sample])
-        rows = pd.concat([held, fresh]) if len(held) else fresh
-        full = len(rows) // k * k
-        for at in range(0, full, k):
-            yield emit(key, rows.iloc[at : at + k], True)
-        rest = rows.iloc[full:]
-        if len(rest):
-            state.update(tuple(rest[c].tolist() for c in cols))
-            state.setTimeoutTimestamp(max(int(rest["_ms"].max()), state.getCurrentWatermarkMs()) + wait_ms)
-        elif state.exists:
-            state.remove()
-
-    sample_type = stream.schema[sample].dataType.simpleString()
-    held_schema = f"ids array<{sample_type}>, rewards array<double>, ms array<bigint>"
-    return (
-        stream.withWatermark(time, late)
-        .withColumn("_ms", F.unix_millis(time))
-        .select(*keys, time, sample, reward, "_ms")
-        .groupBy(*keys)
-        .applyInPandasWithState(update, out, held_schema, "append", GroupStateTimeout.EventTimeTimeout)
-    )
+        now = rows.agg(F.max(time)).scalar()
+        stats = stats.select(
+            *chunk, "k", "mu", "var", "r_sum", "signal",
+            (F.col("k") == k).alias("complete"),
+            F.coalesce(F.col("_latest") + F.expr(f"interval {wait}") <= now, F.lit(True)).alias("_over"),
+        )
+        judged = attach(rows, stats, chunk).withColumn("adv", F.expr(adv))
+        held = judged.where("not complete and not _over").select(*keys, time, sample, reward)
+        done = judged.where("complete or _over")
+        return done.select(*keys, sample, reward, "k", "adv", "signal", "complete"), held
+
+    return step
 
 
 def rejection_stream(
@@ -193,3 +176,34 @@ def drain(stream: DataFrame, name: str) -> DataFrame:
     )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{home}/rows")
+
+
+def drain_batches(stream: DataFrame, name: str, step: Step) -> tuple[DataFrame, DataFrame]:
+    """Process everything available batch by batch; the returned rows, and the state after the last batch.
+
+    Rows and state of a batch go to folders of the batch's number in the shared folder, and the state it
+    starts from is read from the number before: a batch that is run again writes the same once more.
+    """
+    spark = stream.sparkSession
+    home = shared_dir(spark, name)
+    schemas = {}
+
+    def run(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        state = session.read.schema(schemas["state"]).parquet(f"{home}/state/{number - 1}") if number else None
+        rows, after = step(batch, state)
+        schemas.update(rows=rows.schema, state=after.schema, last=number)
+        rows.write.mode("overwrite").parquet(f"{home}/rows/{number}")
+        after.write.mode("overwrite").parquet(f"{home}/state/{number}")
+
+    query = (
+        stream.writeStream.foreachBatch(run)
+        .option("checkpointLocation", f"{home}/log")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    if not schemas:  # a source without files runs no batch
+        return step(spark.createDataFrame([], stream.schema), None)
+    rows = spark.read.schema(schemas["rows"]).parquet(*[f"{home}/rows/{n}" for n in range(schemas["last"] + 1)])
+    return rows, spark.read.schema(schemas["state"]).parquet(f"{home}/state/{schemas['last']}")

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from rollmill.catalog import streams
 from rollmill.operators import advantages as A
 from rollmill.streaming import rollout_stream as T
 
@@ -50,36 +51,63 @@ def test_session_and_sliding_windows(spark, tmp_path):
 
 
 def test_running_baseline_equals_the_batch_scan(spark, tmp_path):
-    rows = [(i, "ab"[i % 2], at(i), (i * 37 % 11) / 10) for i in range(60)]
-    stream = stream_of(spark, tmp_path, [rows[:7], rows[7:31], rows[31:]], EVENTS)
-    got = T.drain(T.ema_baseline_stream(stream, ["run"], "ts", "id"), "t").collect()
-    batch = spark.createDataFrame(rows, EVENTS).withColumn("step", F.col("id"))
-    want = {r.step: r.baseline for r in A.ema_baseline(batch, ["run"]).collect()}
-    assert {r.id: r.baseline for r in got} == pytest.approx(want)
-    assert max(r.seen for r in got) == 30
+    """Several rewards a step, a NULL run, runs that start late or skip a batch."""
+    run = lambda i: [None, "a", "b"][i % 3] if i < 40 else "a"
+    rows = [(i, run(i // 2), at(i // 2), (i * 37 % 11) / 10) for i in range(60)]
+    stream = stream_of(spark, tmp_path, [rows[:8], rows[8:32], rows[32:]], EVENTS)
+    stream = stream.withColumn("step", F.unix_micros("ts"))
+    got, state = T.drain_batches(stream, "t", T.ema_baseline_step(["run"], "step"))
+    batch = spark.createDataFrame(rows, EVENTS).withColumn("step", F.unix_micros("ts"))
+    want = {(r.run, r.step): (r.baseline, r.baseline_next) for r in A.ema_baseline(batch, ["run"]).collect()}
+    got = got.collect()
+    assert len(got) == len(want) == 30
+    for r in got:
+        assert (r.baseline, r.baseline_next) == pytest.approx(want[r.run, r.step], abs=1e-12)
+    assert {(r.run, r.seen) for r in state.collect()} == {(k, sum(r.run == k for r in got)) for k in (None, "a", "b")}
+
+
+def test_steps_out_of_order_are_an_error(spark, tmp_path):
+    rows = [(1, "a", at(1), 1.0), (2, "a", at(0), 1.0)]
+    stream = stream_of(spark, tmp_path, [rows[:1], rows[1:]], EVENTS).withColumn("step", F.unix_micros("ts"))
+    with pytest.raises(Exception, match="after a later step"):
+        T.drain_batches(stream, "t", T.ema_baseline_step(["run"], "step"))
 
 
 GROUPS = "run string, prompt_id bigint, sample_id bigint, ts timestamp, reward double"
 
 
 def test_group_advantages_equal_the_batch_and_short_groups_flush(spark, tmp_path):
-    full = [("r", 1, i, at(i), float(i % 2)) for i in range(4)] + [("r", 2, i, at(i), float(i == 0)) for i in range(4)]
+    full = [("r", 1, i, at(i), float(i % 2)) for i in range(4)] + [(None, 2, i, at(i), float(i == 0)) for i in range(4)]
+    full += [("r", 4, i, at(i), 1.0) for i in range(4)]  # no signal
     short = [("r", 3, i, at(i), float(i)) for i in range(2)]
-    batches = [full[:3] + short[:1], full[3:6], full[6:] + short[1:], [("r", 9, 0, at(600), 1.0)], [("r", 9, 1, at(601), 1.0)]]
+    batches = [full[:3] + short[:1], full[3:6], full[6:] + short[1:], [("r", 9, 0, at(600), 1.0)]]
     stream = stream_of(spark, tmp_path, batches, GROUPS)
     for kind, batch_fn in (("grpo", A.adv_grpo), ("rloo", A.adv_rloo)):
-        got = T.drain(T.group_advantage_stream(stream, ["run", "prompt_id"], "ts", k=4, kind=kind), "t").collect()
-        adv = {(r.prompt_id, r.sample_id): r.adv for r in got if r.complete}
-        want = batch_fn(spark.createDataFrame(full, GROUPS), ["prompt_id"]).collect()
-        assert adv == pytest.approx({(r.prompt_id, r.sample_id): r.adv for r in want})
-        partial = [(r.prompt_id, r.k) for r in got if not r.complete]
-        assert partial == [(3, 2), (3, 2)]
+        step = T.group_advantage_step(["run", "prompt_id"], "ts", k=4, kind=kind)
+        done, held = T.drain_batches(stream, "t", step)
+        got = done.collect()
+        adv = {(r.run, r.prompt_id, r.sample_id): r.adv for r in got if r.complete and r.signal and (kind == "grpo" or r.adv)}
+        want = batch_fn(spark.createDataFrame(full, GROUPS), ["run", "prompt_id"]).collect()
+        assert adv == pytest.approx({(r.run, r.prompt_id, r.sample_id): r.adv for r in want})
+        assert [(r.signal, r.complete, r.adv) for r in got if r.prompt_id == 4] == [(False, True, 0.0)] * 4
+        assert [(r.prompt_id, r.k) for r in got if not r.complete] == [(3, 2), (3, 2)]
+        assert [r.prompt_id for r in held.collect()] == [9]
 
 
 def test_oversized_groups_are_emitted_in_groups_of_k(spark, tmp_path):
     rows = [("r", 1, i, at(i), float(i % 3 == 0)) for i in range(11)]
-    out = T.drain(T.group_advantage_stream(stream_of(spark, tmp_path, [rows], GROUPS), ["prompt_id"], "ts", k=4), "t")
-    assert sorted(r.sample_id for r in out.where("complete").collect()) == list(range(8))
+    stream = stream_of(spark, tmp_path, [rows], GROUPS)
+    done, held = T.drain_batches(stream, "t", T.group_advantage_step(["prompt_id"], "ts", k=4))
+    assert sorted(r.sample_id for r in done.where("complete").collect()) == list(range(8))
+    assert sorted(r.sample_id for r in held.collect()) == [8, 9, 10]
+
+
+@pytest.mark.parametrize("name", sorted(streams.ENTRIES))
+def test_queries_read_folder_tables(spark, root, tmp_path, name):
+    """A table of three files, as a cluster writes it, gives the rows of the single file."""
+    spark.read.parquet(f"{root}/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    one, three = (streams.ENTRIES[name].build(spark, str(r)) for r in (root, tmp_path))
+    assert one.exceptAll(three).isEmpty() and one.count() == three.count()
 
 
 def test_verified_rows_arrive_once(spark, tmp_path):
