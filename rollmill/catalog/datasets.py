@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from rollmill.catalog.entries import SCORED_PAIRS, SFT_TURNS, VERIFIED, Entry, r, rounded_cols
 from rollmill.operators import datasets as D
 from rollmill.sources import fixtures as fx
-from rollmill.sources.tables import arrays_to_long, export_rows, table
+from rollmill.plans.session import shared_dir
+from rollmill.sources.tables import arrays_to_long, read_log, table, write_dataset
 
 
 def prompts(spark, root):
@@ -66,8 +67,10 @@ def s9(spark, root):
 
 
 def s10(spark, root):
-    unpaired = D.pairs_to_unpaired(fx.scored_pairs(spark, root), ("run_id", "prompt_id"))
-    return export_rows(unpaired, "unpaired", ("run_id", "prompt_id"))
+    """Written as JSON, a folder per run, and read again."""
+    home = shared_dir(spark, "unpaired")
+    write_dataset(D.pairs_to_unpaired(fx.scored_pairs(spark, root), ("run_id", "prompt_id")), "unpaired", home, by=("run_id",))
+    return read_log(spark, home, "prompt string, completion string, label boolean, run_id string", "json")
 
 
 def s11(spark, root):
@@ -136,7 +139,7 @@ ENTRIES = {
     ),
     "s10_write_trl": Entry(
         s10,
-        f"with {SCORED_PAIRS}, {UNPAIRED} select run_id, prompt_id, prompt, completion, label = 1 as label from u",
+        f"with {SCORED_PAIRS}, {UNPAIRED} select run_id, prompt, completion, label = 1 as label from u",
     ),
     "s11_arrays_to_long": Entry(
         s11,

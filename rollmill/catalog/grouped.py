@@ -52,12 +52,10 @@ def v5(spark, root):
 
 
 def outcomes(spark, root):
-    """External pass/fail results on the same samples: the line's status."""
-    lines = table(spark, root, "lineitem")
+    """External pass/fail results on the same samples: the line's status; every seventh supplier reports none."""
+    lines = fx.samples(spark, root).where("l_suppkey % 7 <> 0")
     return lines.select(
-        F.col("l_orderkey").alias("prompt_id"),
-        (F.col("l_linenumber").cast("bigint") - 1).alias("sample_id"),
-        (F.col("l_linestatus") == "F").alias("passed"),
+        F.col("l_orderkey").alias("prompt_id"), "sample_id", (F.col("l_linestatus") == "F").alias("passed")
     )
 
 
@@ -129,6 +127,10 @@ def a10(spark, root):
     return report.withColumn("skipped_so_far", F.col("skipped_so_far").cast("bigint"))
 
 
+def a10_rows(spark, root):
+    return A.drop_no_signal(fx.verified_rollouts(spark, root), "all01").select(*IDS)
+
+
 def trajectories(spark, root):
     """Prompt = trajectory, sample = time step, logged log-prob = value estimate."""
     steps = fx.verified_rollouts(spark, root).withColumnRenamed("lp_new", "value")
@@ -178,7 +180,7 @@ def o8(spark, root):
 
 
 def o9(spark, root):
-    report = O.ratio_report(fx.arith_rollouts(spark, root), seq_eps=0.01, token_eps=(0.03, 0.03))
+    report = O.ratio_report(fx.arith_rollouts(spark, root), seq_eps=0.01, plain_eps=(0.03, 0.03))
     return rounded_cols(report, [c for c in report.columns if c not in ("run_id", "step", "n_rows")])
 
 
@@ -277,8 +279,11 @@ ga as (select a.prompt_id, a.sample_id, a.lp_new, a.lp_old, a.lp_ref,
 )
 
 N_WORDS = r"len(list_filter(string_split_regex(lower(response), '\s+'), lambda t: t <> ''))"
-OUTCOMES = """oc as (select l_orderkey as prompt_id, l_linenumber::bigint - 1 as sample_id,
-       min(case when l_linestatus = 'F' then 1::double else 0::double end) as tool from lineitem group by all),
+OUTCOMES = """ol as (select l_orderkey as prompt_id, l_suppkey, cast(row_number() over (partition by l_orderkey
+       order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+       l_linestatus, l_shipdate) - 1 as bigint) as sample_id,
+       case when l_linestatus = 'F' then 1::double else 0::double end as tool from lineitem),
+oc as (select prompt_id, sample_id, tool from ol where l_suppkey % 7 <> 0),
 vo as (select v.*, coalesce(oc.tool, 0) as tool from v left join oc using (prompt_id, sample_id))"""
 CHARGED = f"(reward - 0.5::double * greatest({N_WORDS} - 2, 0) / 2)"
 LCPO = (
@@ -307,7 +312,7 @@ def o4_sql():
 
 def o9_sql():
     parts = []
-    for name, x, lo, hi in (("token", RHO, 0.97, 1.03), ("seq", SEQ, 0.99, 1.01)):
+    for name, x, lo, hi in (("plain", RHO, 0.97, 1.03), ("seq", SEQ, 0.99, 1.01)):
         parts += [f"{r(f'{f}({x})')} as {name}_{n}" for f, n in (("avg", "mean"), ("min", "min"), ("max", "max"))]
         share = f"avg(case when abs({x} - {clip(x, lo, hi)}) > 1e-9 then 1 else 0 end)"
         parts.append(f"{r(share)} as {name}_clipped")
@@ -343,6 +348,9 @@ ENTRIES = {
         f"{r('var')} as var, {r('sigma')} as sigma, {r('r_min')} as r_min, {r('r_max')} as r_max from s",
     ),
     "a2_drop_no_signal": Entry(a2, f"with {STATS} select {ROW} from g where {MIXED}"),
+    "a10_kept_rows": Entry(
+        a10_rows, f"with {STATS} select {ROW} from g where not (r_min = r_max and r_min in (0, 1))"
+    ),
     "a2_signal_modes": Entry(
         a2_modes,
         f"""with {STATS} select run_id, step, prompt_id, {MIXED} as keep_equal, var >= 1e-12 as keep_var,

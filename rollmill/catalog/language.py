@@ -12,7 +12,9 @@ from rollmill.operators import monitor as M
 from rollmill.operators import ngram as L
 from rollmill.operators import objectives as O
 from rollmill.operators.advantages import adv_grpo
+from rollmill.plans.session import shared_dir
 from rollmill.sources import fixtures as fx
+from rollmill.sources.tables import arrays_to_long, read_log
 
 TURN = ("conv_id", "turn")
 
@@ -103,6 +105,44 @@ def o5(spark, root):
     return rounded_cols(rows.select("sample_id", "n_overlap", "n_clipped", "max_weight", "loss"), ["max_weight", "loss"])
 
 
+def written_log(toks, name, lp, *ids):
+    """One model's tokens as a log: a row per sample with its array, written and read again."""
+    spark = toks.sparkSession
+    home = shared_dir(spark, name)
+    # an array is as long as its text
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("pos", lp))), lambda t: t[lp])
+    toks.groupBy(*ids).agg(ordered.alias("lp")).write.parquet(home)
+    schema = ", ".join(f"{i} bigint" for i in ids) + ", lp array<double>"
+    return arrays_to_long(read_log(spark, home, schema), ids, {"lp": lp})
+
+
+def o5_two_logs(spark, root):
+    """The old policy's log was kept for a sample's first 40 tokens only: the overlap counts."""
+    toks = L.token_logp(lm(spark, root, "policy", "old"), fx.doc_rollouts(spark, root), ["sample_id"], prompt=None)
+    new = written_log(toks, "policy_log", "lp_policy", "sample_id")
+    old = written_log(toks.where("pos < 40"), "old_log", "lp_old", "sample_id")
+    adv = doc_advantages(spark, root).select("sample_id", "adv")
+    rows = O.cispo_loss(O.align_tokens(new, old), adv, lp="lp_policy", lp_old="lp_old")
+    return rounded_cols(rows.select("sample_id", "n_overlap", "n_clipped", "max_weight", "loss"), ["max_weight", "loss"])
+
+
+def o6_two_logs(spark, root):
+    """The teacher saw a rollout's first 12 tokens only."""
+    toks = L.token_logp(lm(spark, root, "ref", "teacher"), fx.sft_turns(spark, root), TURN)
+    student = written_log(toks, "student_log", "lp_ref", *TURN)
+    teacher = written_log(toks.where("pos < 12"), "teacher_log", "lp_teacher", *TURN)
+    rows = O.opd_reverse_kl(O.align_tokens(student, teacher, TURN), TURN, "lp_ref", "lp_teacher")
+    return rounded_cols(rows, ["mean_reverse_kl", "loss"])
+
+
+def o9_tokens(spark, root):
+    toks = L.token_logp(
+        lm(spark, root, "policy", "old"), fx.doc_rollouts(spark, root), ["sample_id", "lang"], prompt=None
+    )
+    report = O.token_ratio_report(toks, ["sample_id"], ["lang"], "lp_policy", "lp_old")
+    return rounded_cols(report, [c for c in report.columns if c not in ("lang", "n_rows", "n_tok")], 5)
+
+
 def o6(spark, root):
     rollouts = fx.sft_turns(spark, root).where(~is_blank(F.col("response")))
     toks = L.token_logp(lm(spark, root, "ref", "teacher"), rollouts, TURN)
@@ -151,6 +191,8 @@ def doc_tokens(*models, entropy=False):
     return f"with {DOC_ROLLOUTS}, {lm_sql(models)}, {toks}"
 
 
+PER_TURN = "from sft_turns left join tk using (conv_id, turn) group by conv_id, turn"
+
 DOC_ADV = """ds as (select prompt_id, avg(reward) as mu, var_pop(reward) as var from doc_rollouts group by prompt_id),
 da as (select sample_id, (reward - mu) / (sqrt(var) + 1e-6) as adv from doc_rollouts join ds using (prompt_id)
        where var >= 1e-12)"""
@@ -178,13 +220,13 @@ ENTRIES = {
     ),
     "l3_seq_logp": Entry(
         l3,
-        f"{turns('policy', 'ref')} select conv_id, turn, {r('sum(lp_policy)', 4)} as lp_policy, "
-        f"{r('sum(lp_ref)', 4)} as lp_ref from tk group by conv_id, turn",
+        f"{turns('policy', 'ref')} select conv_id, turn, {r('coalesce(sum(lp_policy), 0)', 4)} as lp_policy, "
+        f"{r('coalesce(sum(lp_ref), 0)', 4)} as lp_ref {PER_TURN}",
     ),
     "l4_seq_logp_with_lengths": Entry(
         l4,
-        f"{turns('policy')} select conv_id, turn, greatest(count(*), 1)::bigint as n_tok, "
-        f"{r('sum(lp_policy)', 4)} as sum_lp, {r('avg(lp_policy)')} as mean_lp from tk group by conv_id, turn",
+        f"{turns('policy')} select conv_id, turn, greatest(count(token), 1)::bigint as n_tok, "
+        f"{r('coalesce(sum(lp_policy), 0)', 4)} as sum_lp, {r('coalesce(avg(lp_policy), 0)')} as mean_lp {PER_TURN}",
     ),
     "l5_token_entropy": Entry(
         l5,
@@ -192,19 +234,20 @@ ENTRIES = {
     ),
     "l6_sft_loss": Entry(
         l6,
-        f"""{turns('policy')}, sl as (select conv_id, turn, sum(lp_policy) as s, avg(lp_policy) as m from tk group by 1, 2)
+        f"""{turns('policy')}, sl as (select conv_id, turn, coalesce(sum(lp_policy), 0) as s, coalesce(avg(lp_policy), 0) as m {PER_TURN})
         select turn, count(*) as n, {r('avg(-s / 20)', 4)} as sft_loss, {r('avg(-s / 5)', 4)} as rft_loss,
                {r('avg(-m)')} as mean_nll from sl group by turn""",
     ),
     "l7_log_ratio": Entry(
         l7,
-        f"{turns('policy', 'ref')} select conv_id, turn, {r('sum(lp_policy) - sum(lp_ref)', 4)} as log_ratio "
-        "from tk group by conv_id, turn",
+        f"{turns('policy', 'ref')} select conv_id, turn, {r('coalesce(sum(lp_policy) - sum(lp_ref), 0)', 4)} as log_ratio "
+        f"{PER_TURN}",
     ),
     "l8_perplexity_by": Entry(
         l8,
-        f"{doc_tokens('policy')} select lang, count(*)::bigint as tokens, "
-        f"{r('exp(-sum(lp_policy) / count(*))', 4)} as perplexity from tk group by lang",
+        f"{doc_tokens('policy')} select d.lang, count(token)::bigint as tokens, "
+        f"{r('exp(-sum(lp_policy) / nullif(count(token), 0))', 4)} as perplexity "
+        "from doc_rollouts d left join tk using (sample_id) group by d.lang",
     ),
     "v3_rule_judge": Entry(
         v3,
@@ -236,6 +279,30 @@ ENTRIES = {
         {r('-avg(lp_teacher - lp_ref)')} as mean_reverse_kl,
         {r('-sum((lp_teacher - lp_ref) * lp_ref) / (5.0::double * count(*))')} as loss from tk group by conv_id, turn""",
     ),
+    "o5_cispo_two_logs": Entry(
+        o5_two_logs,
+        f"""{doc_tokens('policy', 'old')}, {DOC_ADV},
+        ts as (select sample_id, count(*) as n, sum({W} * lp_policy) as wl, max({W}) as mw,
+                      count(*) filter (exp(lp_policy - lp_old) - 1.3 > 1e-9) as nc from tk where pos < 40 group by sample_id)
+        select sample_id, n as n_overlap, nc as n_clipped, {r('mw')} as max_weight, {r('-adv * wl / (5.0::double * n)')} as loss
+        from ts join da using (sample_id)""",
+    ),
+    "o6_opd_two_logs": Entry(
+        o6_two_logs,
+        f"""{turns('ref', 'teacher')} select conv_id, turn, count(*) as n_overlap,
+        {r('-avg(lp_teacher - lp_ref)')} as mean_reverse_kl,
+        {r('-sum((lp_teacher - lp_ref) * lp_ref) / (5.0::double * count(*))')} as loss from tk where pos < 12 group by conv_id, turn""",
+    ),
+    "o9_token_ratio_report": Entry(
+        o9_tokens,
+        f"""{doc_tokens('policy', 'old')}, x as (select *, exp(lp_policy - lp_old) as rho from tk),
+        ts as (select sample_id, lang, count(*) as n, exp(sum(lp_policy - lp_old) / count(*)) as seq, sum(rho) as s, min(rho) as lo,
+                      max(rho) as hi, count(*) filter (rho - 1.28 > 1e-9 or 0.8 - rho > 1e-9) as cut from x group by sample_id, lang)
+        select lang, count(*) as n_rows, sum(n)::bigint as n_tok, {r('sum(s) / sum(n)', 5)} as token_mean, {r('min(lo)', 5)} as token_min,
+               {r('max(hi)', 5)} as token_max, {r('sum(cut) / sum(n)', 5)} as token_clipped, {r('avg(seq)', 5)} as seq_mean,
+               {r('min(seq)', 5)} as seq_min, {r('max(seq)', 5)} as seq_max,
+               {r('avg(case when seq - 1.1 > 1e-9 or 0.9 - seq > 1e-9 then 1 else 0 end)', 5)} as seq_clipped from ts group by lang""",
+    ),
     "o7_entropy_bonus_loss": Entry(
         o7,
         f"""{doc_tokens('policy', entropy=True)}, {DOC_ADV},

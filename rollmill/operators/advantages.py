@@ -193,8 +193,7 @@ def gae(
     """
     steps = steps.select(*keys, time, reward, value, *keep)
     backward = steps.withColumn("_back", -F.col(time))
-    scanned = linear_scan(backward, keys, "_back", gamma * lam, reward, "_of_r", dense=dense)
-    scanned = linear_scan(scanned, keys, "_back", gamma * lam, value, "_of_v", dense=dense)
+    scanned = linear_scan(backward, keys, "_back", gamma * lam, (reward, value), ("_of_r", "_of_v"), dense=dense)
     adv = F.expr(f"_of_r - {value} + {gamma * (1.0 - lam)!r}D * _of_v_prev")
     found = scanned.withColumn("adv", adv).drop("_back", "_of_r", "_of_r_prev", "_of_v", "_of_v_prev")
     return found.withColumn("returns", F.col("adv") + F.col(value))

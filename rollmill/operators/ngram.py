@@ -172,8 +172,8 @@ def token_logp(
 
 
 def summarise_tokens(tokens: DataFrame, ids: Sequence[str], models: Sequence[str], entropy: bool = False) -> DataFrame:
-    """L4: sum, mean and length per sample; an empty answer has length 1 and sum 0."""
-    aggs = [F.greatest(F.count("token"), F.lit(1)).alias("n_tok")]
+    """L4: sum, mean and length per sample; an empty answer has length 1, sum 0 and 0 tokens."""
+    aggs = [F.greatest(F.count("token"), F.lit(1)).alias("n_tok"), F.count("token").alias("tokens")]
     for m in models:
         aggs.append(F.coalesce(F.sum(f"lp_{m}"), F.lit(0.0)).alias(f"sum_lp_{m}"))
         if entropy:
@@ -205,10 +205,10 @@ def seq_logp(
     return full.select(*ids, *[F.col(f"sum_lp_{m}").alias(f"lp_{m}") for m in lm.models])
 
 
-def perplexity_by(scored: DataFrame, by: Sequence[str], sum_lp: str, n_tok: str = "n_tok") -> DataFrame:
-    """Exp of the mean negative log-prob per token."""
+def perplexity_by(scored: DataFrame, by: Sequence[str], sum_lp: str, tokens: str = "tokens") -> DataFrame:
+    """Exp of the mean negative log-prob per token; NULL if there is no token."""
     return scored.groupBy(*by).agg(
-        F.sum(n_tok).alias("tokens"), F.exp(-F.sum(sum_lp) / F.sum(n_tok)).alias("perplexity")
+        F.sum(tokens).alias("tokens"), F.exp(-F.sum(sum_lp) / F.nullif(F.sum(tokens), F.lit(0))).alias("perplexity")
     )
 
 

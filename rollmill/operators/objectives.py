@@ -88,15 +88,15 @@ def ratio_report(
     lp: str = "lp_new",
     lp_old: str = "lp_old",
     n_tok: str = "n_tok",
-    token_eps: tuple[float, float] = (0.2, 0.28),
+    plain_eps: tuple[float, float] = (0.2, 0.28),
     seq_eps: float = 0.10,
 ) -> DataFrame:
-    """Plain and length-normalised importance ratios of a step, side by side."""
+    """O9 over summed logs: a sequence's plain and length-normalised importance ratios, side by side."""
     plain = token_ratio(F.col(lp), F.col(lp_old))
     normed = seq_ratio(F.col(lp), F.col(lp_old), F.col(n_tok))
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     for name, ratio, lo, hi in (
-        ("token", plain, 1 - token_eps[0], 1 + token_eps[1]),
+        ("plain", plain, 1 - plain_eps[0], 1 + plain_eps[1]),
         ("seq", normed, 1 - seq_eps, 1 + seq_eps),
     ):
         aggs += [
@@ -106,3 +106,41 @@ def ratio_report(
             F.avg(is_clipped(ratio, lo, hi).cast("double")).alias(f"{name}_clipped"),
         ]
     return rows.groupBy(*by).agg(*aggs)
+
+
+def token_ratio_report(
+    tokens: DataFrame,
+    ids: Sequence[str],
+    by: Sequence[str],
+    lp: str = "lp_new",
+    lp_old: str = "lp_old",
+    token_eps: tuple[float, float] = (0.2, 0.28),
+    seq_eps: float = 0.10,
+) -> DataFrame:
+    """O9 over a token log: ratios token by token next to one length-normalised ratio per sample.
+
+    Tokens are summed per sample first, so a slice of any size meets as one row per sample.
+    """
+    ratio = token_ratio(F.col(lp), F.col(lp_old))
+    sums = tokens.groupBy(*ids, *by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(lp).alias("_lp"),
+        F.sum(lp_old).alias("_old"),
+        F.sum(ratio).alias("_sum"),
+        F.min(ratio).alias("_min"),
+        F.max(ratio).alias("_max"),
+        F.count_if(is_clipped(ratio, 1 - token_eps[0], 1 + token_eps[1])).alias("_cut"),
+    )
+    seq = seq_ratio(F.col("_lp"), F.col("_old"), F.col("n"))
+    return sums.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("n").alias("n_tok"),
+        (F.sum("_sum") / F.sum("n")).alias("token_mean"),
+        F.min("_min").alias("token_min"),
+        F.max("_max").alias("token_max"),
+        (F.sum("_cut") / F.sum("n")).alias("token_clipped"),
+        F.avg(seq).alias("seq_mean"),
+        F.min(seq).alias("seq_min"),
+        F.max(seq).alias("seq_max"),
+        F.avg(is_clipped(seq, 1 - seq_eps, 1 + seq_eps).cast("double")).alias("seq_clipped"),
+    )

@@ -157,29 +157,31 @@ def linear_scan(
     keys: Sequence[str],
     order: str,
     coef: float,
-    term: str,
-    out: str,
+    term: str | Sequence[str],
+    out: str | Sequence[str],
     bits: int = SCAN_BITS,
     dense: bool = False,
     cuts: Sequence[int] = CUTS,
 ) -> DataFrame:
     """x_t = coef * x_(t-1) + term_t per key in integer `order`, x before the first row = 0.
 
-    Adds `out` (x_t) and `out`_prev (x_(t-1)). 0 <= coef <= 1. `dense` promises
+    Adds `out` (x_t) and `out`_prev (x_(t-1)); several terms share one pass. 0 <= coef <= 1. `dense` promises
     that `order` holds consecutive integers per key, from any start. Terms above 1e100 may overflow.
     """
     if not 0.0 <= coef <= 1.0:
         raise ValueError(f"coef must lie between 0 and 1, not {coef}")
-    columns = [*df.columns, f"{out}_prev", out]
+    pairs = [(term, out)] if isinstance(term, str) else list(zip(term, out, strict=True))
+    columns = [*df.columns, *[c for _, o in pairs for c in (f"{o}_prev", o)]]
     if coef == 1.0:
-        total = running_total(df, keys, order, term, out, cuts)
-        return total.withColumn(f"{out}_prev", F.expr(f"{out} - {term}")).select(*columns)
+        for t, o in pairs:
+            df = running_total(df, keys, order, t, o, cuts).withColumn(f"{o}_prev", F.expr(f"{o} - {t}"))
+        return df.select(*columns)
     df = df.withColumn("_p", F.col(order).cast("bigint")) if dense else dense_index(df, keys, order, "_p", cuts)
     packed, by = _packed(df, keys)
-    return _unpacked(_scan(packed, by, "_p", coef, term, out, bits), columns, keys)
+    return _unpacked(_scan(packed, by, "_p", coef, pairs, bits), columns, keys)
 
 
-def _scan(df: DataFrame, keys: list[str], at: str, coef: float, term: str, out: str, bits: int) -> DataFrame:
+def _scan(df: DataFrame, keys: list[str], at: str, coef: float, pairs: list[tuple[str, str]], bits: int) -> DataFrame:
     """`linear_scan` over consecutive positions `at`.
 
     A block of L rows needs one number from outside, the x it starts from;
@@ -196,22 +198,23 @@ def _scan(df: DataFrame, keys: list[str], at: str, coef: float, term: str, out:
     c = f"{coef!r}D"
     blocked = df.selectExpr("*", f"{block_of(at, bits)} as _b", f"{at} & {last} as _i")
     # only full blocks have a successor, hence the fixed exponent
-    ends = blocked.groupBy(*keys, F.expr("_b + 1 as _e")).agg(F.expr(f"sum({term} * pow({c}, {last} - _i)) as _t"))
+    sums = [F.expr(f"sum({term} * pow({c}, {last} - _i)) as _t{n}") for n, (term, _) in enumerate(pairs)]
+    ends = blocked.groupBy(*keys, F.expr("_b + 1 as _e")).agg(*sums)
     if span < 40.0:
-        carry = _scan(ends, keys, "_e", q, "_t", "_x", bits=SCAN_BITS)
+        carry = _scan(ends, keys, "_e", q, [(f"_t{n}", f"_x{n}") for n in range(len(pairs))], SCAN_BITS)
     else:
         reach = math.ceil(650.0 / span) if coef else 1
         # in two factors, either of which stays a double
-        share = f"_t * pow({q!r}D, _n div 2) * pow({q!r}D, _n - _n div 2)"
-        later = ends.selectExpr(*keys, "_e", "_t", f"explode(sequence(0, {max(reach, 1) - 1})) as _n")
-        carry = later.groupBy(*keys, F.expr("_e + _n as _e")).agg(F.expr(f"sum({share}) as _x"))
-    carry = carry.selectExpr(*keys, "_e as _b", "_x as _in")
-    scaled = f"sum({term} * pow({c}, -_i)) {_over([*keys, '_b'], [at], '1 preceding')}"
-    before = f"case when _i = 0 then 0D else pow({c}, _i - 1) * coalesce(_s, 0D) end + pow({c}, _i) * coalesce(_in, 0D)"
-    return (
-        blocked.withColumn("_s", F.expr(scaled))
-        .join(carry, [*keys, "_b"], "left")
-        .withColumn(f"{out}_prev", F.expr(before))
-        .withColumn(out, F.expr(f"{c} * {out}_prev + {term}"))
-        .drop("_b", "_i", "_s", "_in")
-    )
+        weight = f"pow({q!r}D, _n div 2) * pow({q!r}D, _n - _n div 2)"
+        later = ends.selectExpr("*", f"explode(sequence(0, {max(reach, 1) - 1})) as _n")
+        shares = [F.expr(f"sum(_t{n} * {weight}) as _x{n}") for n in range(len(pairs))]
+        carry = later.groupBy(*keys, F.expr("_e + _n as _e")).agg(*shares)
+    carry = carry.selectExpr(*keys, "_e as _b", *[f"_x{n} as _in{n}" for n in range(len(pairs))])
+    window = _over([*keys, "_b"], [at], "1 preceding")
+    inside = {f"_s{n}": F.expr(f"sum({term} * pow({c}, -_i)) {window}") for n, (term, _) in enumerate(pairs)}
+    joined = blocked.withColumns(inside).join(carry, [*keys, "_b"], "left")
+    for n, (term, out) in enumerate(pairs):
+        own = f"case when _i = 0 then 0D else pow({c}, _i - 1) * coalesce(_s{n}, 0D) end"
+        joined = joined.withColumn(f"{out}_prev", F.expr(f"{own} + pow({c}, _i) * coalesce(_in{n}, 0D)"))
+        joined = joined.withColumn(out, F.expr(f"{c} * {out}_prev + {term}")).drop(f"_s{n}", f"_in{n}")
+    return joined.drop("_b", "_i")

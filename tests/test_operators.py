@@ -331,6 +331,29 @@ def test_scorer_learns_which_word_wins(spark, kind):
     assert scored[0] > 0 > scored[99]
 
 
+def test_perplexity_counts_no_token_for_an_empty_answer(spark):
+    docs = spark.createDataFrame([(1, "a b a b"), (2, ""), (3, "a b"), (4, None)], "id bigint, response string")
+    lm = L.fit_ngram_lm(docs, "response")
+    scored = L.seq_logp_with_lengths(lm, docs, ["id"], prompt=None).withColumn("full", F.col("tokens") > 0)
+    both = {r.full: r for r in L.perplexity_by(scored, ["full"], f"sum_lp_{lm.models[0]}").collect()}
+    assert both[False].tokens == 0 and both[False].perplexity is None
+    every = L.perplexity_by(scored.withColumn("g", F.lit(1)), ["g"], f"sum_lp_{lm.models[0]}").first()
+    assert every.perplexity == pytest.approx(both[True].perplexity) and every.tokens == 6
+
+
+@pytest.mark.parametrize("alpha", [0.0, 0.5, 1.0])
+def test_running_baseline_over_null_runs_and_sparse_steps(spark, alpha):
+    rows = [(run, (i * 7 % 50 - 25) * 2**40, float(i % 3)) for run in (None, "a") for i in range(50)]
+    df = spark.createDataFrame(rows, "run_id string, step bigint, reward double")
+    got = {(r.run_id, r.step): (r.baseline, r.baseline_next) for r in A.ema_baseline(df, alpha=alpha).collect()}
+    assert len(got) == 100
+    for run in (None, "a"):
+        b = 0.0
+        for _, step, x in sorted(r for r in rows if r[0] == run):
+            before, b = b, alpha * b + (1 - alpha) * x
+            assert got[run, step] == pytest.approx((before, b), abs=1e-12)
+
+
 # --- monitors -------------------------------------------------------------------
 
 
