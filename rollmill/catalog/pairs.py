@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from rollmill.catalog.entries import (
@@ -19,14 +21,14 @@ from rollmill.catalog.entries import (
 )
 from rollmill.catalog.language import lm
 from rollmill.functions import losses as C
-from rollmill.functions.numerics import rounded
+from rollmill.functions.numerics import neg_log_sigmoid, rounded
 from rollmill.operators import ngram as L
 from rollmill.operators import preference as P
 from rollmill.operators.selection import spin_pairs
+from rollmill.plans.session import shared_dir
 from rollmill.sources import fixtures as fx
 
 
-
 def lps():
     return [F.col(c) for c in P.PAIR_LPS]
 
@@ -101,15 +103,32 @@ def p8(spark, root):
     return rounded_cols(P.preference_report(pairs, ["run_id", "slice"]), REPORT, 5)
 
 
+def fitted_scorer(spark, root, kind):
+    """Pairs scored by a scorer that has seen four prompts in five; held_out: the others. The pairs are written once."""
+    pairs = fx.scored_pairs(spark, root).select("prompt_id", "chosen", "rejected")
+    path = shared_dir(spark, "pairs")
+    pairs.withColumn("held_out", F.expr("pmod(prompt_id, 5) = 0")).write.parquet(path)
+    pairs = spark.read.schema("prompt_id bigint, chosen string, rejected string, held_out boolean").parquet(path)
+    return P.score_pairs(P.fit_preference_scorer(pairs.where("not held_out"), kind), pairs)
+
+
 def p9(kind):
     def build(spark, root):
-        pairs = fx.scored_pairs(spark, root).select("prompt_id", "chosen", "rejected")
-        model = P.fit_preference_scorer(pairs, kind)
-        return P.score_pairs(model, pairs).select("prompt_id", "margin", "correct")
+        return fitted_scorer(spark, root, kind).select("prompt_id", "held_out", "margin", "correct")
 
     return build
 
 
+def p9_report(spark, root):
+    """Pairs per split, and whether the pairs learned from are told apart better than by a coin."""
+    scored = fitted_scorer(spark, root, "bt").withColumn("loss", neg_log_sigmoid(F.col("margin")))
+    return scored.agg(
+        F.count_if(~F.col("held_out")).alias("n_fit"),
+        F.count_if("held_out").alias("n_held_out"),
+        (F.avg(F.expr("if(held_out, null, loss)")) < math.log(2)).alias("fit_beats_coin"),
+    )
+
+
 def p1_spin(spark, root):
     """Self-play: the gold answer against a generation, opponent = reference model."""
     pairs = spin_pairs(fx.sft_turns(spark, root), fx.spin_generations(spark, root), ("conv_id", "turn"))
@@ -211,4 +230,9 @@ ENTRIES = {
     ),
     "p9_preference_scorer_bt": Entry(p9("bt")),
     "p9_preference_scorer_ls": Entry(p9("ls")),
+    "p9_scorer_report": Entry(
+        p9_report,
+        f"with {SCORED_PAIRS} select count(*) filter (prompt_id % 5 <> 0) as n_fit, "
+        "count(*) filter (prompt_id % 5 = 0) as n_held_out, true as fit_beats_coin from scored_pairs",
+    ),
 }

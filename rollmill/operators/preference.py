@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,8 @@ from rollmill.functions.numerics import words
 from rollmill.plans.scale import attach
 
 PAIR_LPS = ("lp_c", "lp_r", "lpref_c", "lpref_r")
+#: Hash slots of a scorer's words. A fit holds a few vectors of this length in the driver and in each task.
+SLOTS = 1 << 18
 
 
 def dpo_metrics(pairs: DataFrame, beta: float = 0.1) -> DataFrame:
@@ -82,44 +84,49 @@ def preference_report(
 
 
 def pair_features(pairs: DataFrame, dim: int) -> DataFrame:
-    """Hashed word counts of chosen less those of rejected, as `x`."""
-    tf = {"chosen": "_vc", "rejected": "_vr"}
-    for text, vec in tf.items():
-        pairs = pairs.withColumn("_t", words(F.col(text)))
-        pairs = HashingTF(numFeatures=dim, inputCol="_t", outputCol=vec).transform(pairs).drop("_t")
-    diff = F.zip_with(vector_to_array("_vc"), vector_to_array("_vr"), lambda a, b: a - b)
-    return pairs.withColumn("x", diff).drop(*tf.values())
+    """Hashed word counts of both answers, each word marked with its side, as sparse `x`; with the sides changed, as `mirror`."""
 
+    def marked(text: str, sign: str):
+        return F.transform(words(F.coalesce(F.col(text), F.lit(""))), lambda w: F.concat(F.lit(sign), w))
 
-def fit_preference_scorer(pairs: DataFrame, kind: str = "bt", beta: float = 0.1, dim: int = 256):
-    """A linear reward model from pairs.
+    for out, (first, second) in {"x": ("chosen", "rejected"), "mirror": ("rejected", "chosen")}.items():
+        pairs = pairs.withColumn("_t", F.concat(marked(first, "+"), marked(second, "-")))
+        pairs = HashingTF(numFeatures=dim, inputCol="_t", outputCol=out).transform(pairs).drop("_t")
+    return pairs
+
+
+def fit_preference_scorer(pairs: DataFrame, kind: str = "bt", beta: float = 0.1, dim: int = SLOTS):
+    """A linear reward model from pairs, over `dim` hash slots.
 
     'bt' maximises the Bradley-Terry likelihood (DPO's loss for a linear
     scorer); 'ls' regresses the margin on IPO's target. Every pair also
     enters mirrored, so both classes exist and no intercept is needed.
+    NULL answers are empty. No iteration sees the texts again: Spark caches their sparse counts.
     """
     if kind not in ("bt", "ls"):
         raise ValueError(f"kind is 'bt' or 'ls', not {kind!r}")
     goal = 1.0 if kind == "bt" else ipo_target(beta)
     mirrored_goal = 0.0 if kind == "bt" else -goal
-    x = F.col("x")
     both = F.array(
-        F.struct(x.alias("x"), F.lit(goal).alias("label")),
-        F.struct(F.transform(x, lambda v: -v).alias("x"), F.lit(mirrored_goal).alias("label")),
+        F.struct(F.col("x").alias("features"), F.lit(goal).alias("label")),
+        F.struct(F.col("mirror").alias("features"), F.lit(mirrored_goal).alias("label")),
     )
     rows = pair_features(pairs, dim).select(F.inline(both))
-    rows = rows.select(array_to_vector("x").alias("features"), "label")
     model = LogisticRegression if kind == "bt" else LinearRegression
     return model(fitIntercept=False, standardization=False, regParam=1e-3, maxIter=50).fit(rows)
 
 
-def score_pairs(model, pairs: DataFrame, dim: int = 256) -> DataFrame:
-    """Margin of chosen over rejected under a fitted scorer, and whether it is positive."""
-    weights = F.lit([float(w) for w in model.coefficients.toArray()])
-    dot = F.aggregate(F.zip_with("x", weights, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
-    return (
-        pair_features(pairs, dim)
-        .withColumn("margin", dot)
-        .drop("x")
-        .withColumn("correct", (F.col("margin") > 0).cast("bigint"))
-    )
+def score_pairs(model, pairs: DataFrame, dim: int = SLOTS) -> DataFrame:
+    """Margin of chosen over rejected under a fitted scorer, and whether it is positive.
+
+    Half the difference between a pair and its mirror: changed sides change the sign and nothing else.
+    """
+    rows = pair_features(pairs, dim)
+    for features, out in (("x", "_m"), ("mirror", "_w")):
+        rows = model.transform(rows, {model.featuresCol: features})
+        if isinstance(model, LogisticRegressionModel):
+            rows = rows.withColumn(out, vector_to_array("rawPrediction")[1]).drop("rawPrediction", "probability", "prediction")
+        else:
+            rows = rows.withColumnRenamed("prediction", out)
+    margin = (F.col("_m") - F.col("_w")) / 2
+    return rows.select(*pairs.columns, margin.alias("margin"), (margin > 0).cast("bigint").alias("correct"))

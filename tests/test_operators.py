@@ -329,6 +329,11 @@ def test_scorer_learns_which_word_wins(spark, kind):
     model = P.fit_preference_scorer(pairs, kind)
     scored = {r.prompt_id: r.margin for r in P.score_pairs(model, pairs).collect()}
     assert scored[0] > 0 > scored[99]
+    changed = pairs.selectExpr("prompt_id", "rejected as chosen", "chosen as rejected").union(
+        spark.createDataFrame([(100, None, "")], pairs.schema)
+    )
+    turned = {r.prompt_id: r.margin for r in P.score_pairs(model, changed).collect()}
+    assert turned[0] == pytest.approx(-scored[0]) and turned[100] == 0
 
 
 def test_perplexity_counts_no_token_for_an_empty_answer(spark):
