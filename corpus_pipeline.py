@@ -11,7 +11,7 @@ from rollmill.llm.common import keyed, read, rejoin, written
 from rollmill.llm.decontaminate import contamination
 from rollmill.llm.langid import identify
 from rollmill.llm.line_dedup import dedup_lines
-from rollmill.llm.simhash import near_duplicates
+from rollmill.llm.overlap import copies
 
 #: A document stays if its language holds at least this mean probability; four languages alike would give 0.25.
 LEAST_SCORE = 0.3
@@ -31,8 +31,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup: of each component the smallest id stays, of rows repeated in full one."""
-    found = near_duplicates(docs)
+    """Near-dedup by SimHash and by overlap of five-word shingles: of each component the smallest id stays, of rows repeated
+    in full one."""
+    found = copies(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")).alias("first")
     chosen = found.groupBy("root").agg(first).select("first.doc_id", "first.row_key")
     return rejoin(keyed(docs, rows=True), chosen, "left_semi").select("row.*").dropDuplicates(["doc_id", "text"])

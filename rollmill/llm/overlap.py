@@ -1,0 +1,189 @@
+"""Near copies by exact overlap of shingle sets: a prefix-filtered join, every pair that can reach the bound decided."""
+
+from __future__ import annotations
+
+import gc
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from rollmill.llm.common import arrow_schema, keyed, map_texts, rejoin, small, texts, written
+from rollmill.llm.decontaminate import bounded
+from rollmill.llm.graph import components
+from rollmill.llm.simhash import near_duplicates, shingle_hash_bytes
+from rollmill.plans.scale import attach
+
+WIDTH = 5
+# Jaccard similarity of 4/5 or more, in integers: 9 * common >= 4 * (size + size).
+COMMON, SIZES = 9, 4
+#: Shingles are ordered by how often their slot of 2**SLOT_BITS is met. Any order gives the same result; rare first is cheap.
+SLOT_BITS = 22
+SLICES = 256
+#: First one member of an entry meets all others, then STEP times as many, until all have met.
+STEP = 8
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """Distinct 64-bit hashes of the runs of WIDTH words, in order; a shorter text is one shingle."""
+    return np.unique(np.frombuffer(b"".join(shingle_hash_bytes(text, WIDTH)), ">i8").astype(np.int64))
+
+
+def set_id(hashes: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(hashes.tobytes()) - (1 << 63)
+
+
+def slots(hashes: np.ndarray) -> np.ndarray:
+    return hashes & ((1 << SLOT_BITS) - 1)
+
+
+def slot_counts(docs: DataFrame) -> np.ndarray:
+    """How many documents' sets meet each slot; tables of bounded size, added up slice by slice."""
+    schema = arrow_schema(docs.sparkSession, "slice int, n binary")
+
+    def tallied(batches):
+        total, met = np.zeros(1 << SLOT_BITS, np.uint32), False
+        for b in small(batches):
+            for text in b.column(0).to_pylist():
+                np.add.at(total, slots(shingle_set(text)), 1)
+                met = True
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for i, part in enumerate(np.split(total, SLICES) if met else []):
+            yield pa.RecordBatch.from_pydict({"slice": [i], "n": [pack(part.tobytes())]}, schema=schema)
+
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        total, unpack = 0, zstandard.ZstdDecompressor().decompress
+        for data in pdf["n"]:
+            total = total + np.frombuffer(unpack(data), np.uint32).astype(np.int64)
+        total = np.minimum(total, np.iinfo(np.uint32).max).astype(np.uint32)
+        return pd.DataFrame({"slice": pdf["slice"].iloc[:1].to_numpy(), "n": [total.tobytes()]})
+
+    parts = docs.select("text").mapInArrow(tallied, "slice int, n binary").groupBy("slice")
+    out = np.zeros((SLICES, (1 << SLOT_BITS) // SLICES), np.uint32)
+    for r in parts.applyInPandas(added, "slice int, n binary").collect():
+        out[r["slice"]] = np.frombuffer(bytes(r["n"]), np.uint32)
+    return out.ravel()
+
+
+def signatures(docs: DataFrame) -> DataFrame:
+    """doc_id, row_key (hash of id and text), sid (hash of the set), n (its size), prefix (its rarest fifth and one more)."""
+    counts = docs.sparkSession.sparkContext.broadcast(slot_counts(docs))
+
+    def prefix(hashes: np.ndarray) -> np.ndarray:
+        order = np.lexsort((hashes, counts.value[slots(hashes)]))
+        return hashes[order[: len(hashes) // 5 + 1]]
+
+    def work(batches):
+        for ids, found in batches:
+            sets = [shingle_set(t) for t in found]
+            yield {"row": ids, "sid": list(map(set_id, sets)), "n": list(map(len, sets)), "prefix": list(map(prefix, sets))}
+
+    rows = docs.select(F.struct("doc_id", F.xxhash64("doc_id", "text").alias("row_key")).alias("doc_id"), "text")
+    out = map_texts(rows, work, "row struct<doc_id:bigint,row_key:bigint>, sid bigint, n int, prefix array<bigint>")
+    return out.select("row.doc_id", "row.row_key", "sid", "n", "prefix")
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """sid and hashes of the documents `wanted` (doc_id, row_key)."""
+
+    def work(batches):
+        for _, found in batches:
+            sets = [shingle_set(t) for t in found]
+            yield {"sid": list(map(set_id, sets)), "hashes": sets}
+
+    rows = rejoin(keyed(docs), bounded(wanted), "left_semi").select("doc_id", F.col("row.text").alias("text"))
+    return map_texts(rows, work, "sid bigint, hashes array<bigint>").groupBy("sid").agg(F.first("hashes").alias("hashes"))
+
+
+def with_counts(entries: DataFrame) -> DataFrame:
+    """Entries of shingles that several sets have, with their number m.
+
+    As `attach`, a second key keeps the join's inputs plain shuffles; it is not a column, as this is the largest shuffle.
+    """
+    shared = entries.groupBy(F.col("h").alias("rh")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    return entries.join(shared, F.expr("h = rh and xxhash64(h) = xxhash64(rh)")).drop("rh")
+
+
+def release(spark) -> None:
+    """Spark deletes the files of finished shuffles once the driver's collector finds their plans; this makes it look."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def unsettled(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries whose members are not all of one component, with each member's root."""
+    known = attach(entries.drop("root"), labels.toDF("sid", "root"), ["sid"])
+    known = known.withColumn("root", F.coalesce("root", "sid"))
+    split = known.groupBy("h").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return attach(known, split.select("h"), ["h"], "inner")
+
+
+def candidates(entries: DataFrame, low: int, high: int) -> DataFrame:
+    """Pairs a, b of different components that meet in an entry, a's place in it being in [low, high) of its m members.
+
+    Places are the set hashes scaled to m. The first shingle that two sets share lies in both prefixes; what
+    follows it bounds what they can have in common.
+    """
+    place = (F.col("sid") / 2.0**64 + 0.5) * F.col("m")
+    heads = entries.where((place >= low) & (place < high)).select(
+        "h", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra")
+    )
+    others = entries.select("h", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"))
+    can = F.expr(f"{COMMON} * least(na - pa, nb - pb) >= {SIZES} * (na + nb)")
+    met = heads.join(others, (heads.h == others.h) & F.expr("a < b and ra != rb") & can)
+    return met.select("a", "b").distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return both.where(common * COMMON >= (F.size("sa") + F.size("sb")) * SIZES).select("a", "b")
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Columns doc_id, row_key, root (bigint, one per group of near copies); one row per input row.
+
+    Near copies are connected by texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, or
+    whose fingerprints `near_duplicates` links. Words are lower-cased (A-Z) and split at white space; a text with fewer than
+    five is one shingle, texts without words are copies of each other. Other columns are not read; empty tables give no rows.
+
+    1. Each set's rarest fifth and one more go into entries by shingle: two sets within the bound share
+       one at least, whatever the order, so no pair is missed. Equal sets are one node.
+    2. In each entry the members with the smallest hashes meet the others, 1, 8, 64, ... of them, until all have;
+       pairs already connected are passed over, entries of one component closed. A group of copies so settles
+       in the first steps, without all its pairs.
+    3. The complete sets of each pair are compared.
+    """
+    spark, base = docs.sparkSession, texts(docs, id_col, text_col)
+    alike = written(near_duplicates(base).select("doc_id", "row_key", F.col("root").alias("print")).distinct(), "prints")
+    release(spark)
+    marks = written(signatures(base), "signatures")
+    nodes = marks.groupBy("sid").agg(F.first(F.struct("doc_id", "row_key", "n", "prefix")).alias("x")).select("sid", "x.*")
+    every = nodes.where("n > 0").select("sid", "n", F.posexplode("prefix").alias("pos", "h"))
+    entries = written(with_counts(every), "entries")
+    release(spark)
+    wanted = attach(nodes.select("sid", "doc_id", "row_key"), entries.select("sid").distinct(), ["sid"], "left_semi")
+    sets = written(whole_sets(base, written(wanted.select("doc_id", "row_key"), "wanted")), "sets")
+    release(spark)
+
+    named = rejoin(marks.select("doc_id", "row_key", "sid"), alike).select("print", "sid").distinct()
+    least = named.groupBy("print").agg(F.min("sid").alias("low"))
+    edges = written(attach(named, least, ["print"]).where("low < sid").select(F.col("low").alias("a"), F.col("sid").alias("b")), "near")
+    labels, low, high = components(edges), 0, 1
+    while True:
+        entries = written(unsettled(entries, labels), "entries")
+        most = entries.agg(F.max("m")).first()[0]
+        if most is None or low > most:
+            break
+        more = written(verified(candidates(entries, low, high), sets), "near")
+        if not more.isEmpty():
+            edges = edges.union(more)
+            labels = components(edges)
+        low, high = high, high * STEP
+        release(spark)
+    rooted = attach(marks.select("doc_id", "row_key", "sid"), labels.toDF("sid", "root"), ["sid"])
+    return rooted.select("doc_id", "row_key", F.coalesce("root", "sid").alias("root"))
