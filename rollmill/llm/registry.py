@@ -18,9 +18,12 @@ from rollmill.llm.line_dedup import dedup_lines
 from rollmill.llm.mtree import top_k
 from rollmill.llm.pii import find_personal_data
 from rollmill.llm.credentials import find_secrets
+from rollmill.llm.runs import find_runs, rotated, run_digests
 from rollmill.llm.sharding import shard_by_bytes
 from rollmill.llm.simhash import near_duplicates
 from rollmill.llm.sql import ORACLE_SQL
+from rollmill.llm.trie import shared_start_trie
+from rollmill.llm.urls import RULES, filter_urls
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -97,6 +100,19 @@ def op10_personal_data(spark: SparkSession, root: str) -> DataFrame:
     return found.withColumn("base_sha256", sha256(F.col("base"))).drop("base")
 
 
+def op11_periodic_runs(spark: SparkSession, root: str) -> DataFrame:
+    return run_digests(find_runs(read(spark, root, "documents"), rewrite=rotated))
+
+
+def op12_prefix_trie(spark: SparkSession, root: str) -> DataFrame:
+    return shared_start_trie(read(spark, root, "conversations"))
+
+
+def op13_url_filter(spark: SparkSession, root: str) -> DataFrame:
+    found = filter_urls(read(spark, root, "pages"), RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -110,5 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_line_dedup,
         op10_personal_data,
+        op11_periodic_runs,
+        op12_prefix_trie,
+        op13_url_filter,
     )
 } | {"pipeline": corpus_pipeline.run}

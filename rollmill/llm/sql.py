@@ -68,8 +68,40 @@ with {lines_sql()}
 select doc_id, cast(n_lines as bigint) as n_lines, n_dropped, sha256(text) as kept_sha256 from kept
 """
 
+# steps over the digits' bytes: a byte goes in, then eight shifts
+CRC32 = """xor(list_reduce(flatten(list_transform(string_split(cast({} as varchar), ''), lambda d: [ascii(d)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+  lambda acc, s: case when s >= 0 then xor(acc, s) when acc & 1 = 1 then xor(acc >> 1, 3988292384) else acc >> 1 end, 4294967295::bigint), 4294967295::bigint)"""
+
+PREFIX_TRIE = f"""
+with o as (
+  select conv_id, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} as x,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as pos
+  from conversations where conv_id is not null),
+c as (select conv_id, {CRC32.format('conv_id')} % 6 as h from (select distinct conv_id from o) x),
+s as (
+  select c.conv_id, 0 as own, pos, x from c join o on o.conv_id = c.conv_id - c.conv_id % 100 and pos < h
+  union all select c.conv_id, 1, pos, x from c join o on o.conv_id = c.conv_id and pos >= h),
+q as (
+  select c.conv_id, coalesce(any_value(l.l), []) as q
+  from c left join (select conv_id, list(x order by own, pos) as l from s group by conv_id) l on l.conv_id = c.conv_id group by c.conv_id),
+p as (select conv_id, d, len(q) as n, q[1:d] as p from (select conv_id, q, unnest(range(0, len(q) + 1)) as d from q) y),
+nodes as (
+  select p, d, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * coalesce(length(p[-1].t), 0) as saved,
+         coalesce(string_agg(conv_id, ',' order by conv_id) filter (d = n), '') as ends
+  from p group by p, d),
+kids as (select p[1:d - 1] as p, count(*) as n_children from nodes where d > 0 group by all),
+own as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join kids on kids.p = nodes.p),
+totals as (
+  select p[1:k] as p, sum(saved) as saved, sum(case when n_children = 0 then 1 else 0 end) as n_leaves
+  from (select p, saved, n_children, unnest(range(0, d + 1)) as k from own) z group by all)
+select own.conv_id, own.d as depth, up.conv_id as parent_conv_id, own.n_convs, n_children, cast(n_leaves as bigint) as n_leaves,
+       cast(totals.saved as bigint) as saved_tokens, sha256(own.ends) as ends_sha256
+from own join totals on totals.p = own.p left join nodes up on own.d > 0 and up.p = own.p[1:own.d - 1]
+"""
+
 ORACLE_SQL = {
     "op2_mtree": TOP_K,
     "op6_decontaminate": DECONTAMINATE,
     "op9_line_dedup": LINE_DEDUP,
+    "op12_prefix_trie": PREFIX_TRIE,
 }
