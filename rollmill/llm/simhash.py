@@ -14,8 +14,9 @@ from rollmill.llm.graph import components
 from rollmill.plans.scale import attach
 
 SEED = 42
-SEGMENTS = 4
-SEGMENT_BITS = 16
+BITS = 64
+#: Two bits spoil two of three parts at most: three segments, and three parts of what lies beside each of them.
+PARTS = 3
 CHUNK = 1 << 16
 
 
@@ -57,20 +58,42 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     return marked.select("row.doc_id", "row.row_key", "fp")
 
 
+def table_masks() -> list[int]:
+    """The bits of the nine tables' keys: a segment and a part of the other bits, as signed 64-bit integers."""
+    masks = []
+    for segment in np.array_split(np.arange(BITS), PARTS):
+        for part in np.array_split(np.setdiff1d(np.arange(BITS), segment), PARTS):
+            masks.append(int(np.bitwise_or.reduce(np.uint64(1) << np.concatenate([segment, part]).astype(np.uint64)).astype(np.int64)))
+    return masks
+
+
 def links(prints: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all of `prints` (distinct fp bigint) with 2 or fewer differing bits, and nothing else.
 
-    Multi-index hashing: in each of the four 16-bit segments a fingerprint enumerates the Hamming ball of radius 1
-    and enters the table under every value found, the other segments unchanged. Two fingerprints differ
-    in 2 bits or fewer exactly if they meet: one flips the first differing bit, the other the second,
-    in whichever segments these lie. A table entry so holds 65 fingerprints at most, however
-    many near copies there are, where entries by segment alone would hold, and
-    pair, a whole group of them. Within an entry each fingerprint is linked with the smallest; the
+    Multi-index hashing: two fingerprints within 2 bits agree in one of three segments, and in a third of the other bits:
+    the ball to enumerate in a segment has radius 2 div 3 = 0, one value, and every fingerprint has one row
+    in each of nine tables, keyed by 35 or 36 of its bits. A bucket of two is its own pair. Fuller ones belong to families of near
+    copies, where all pairs of a bucket would be too many: `ball_links` connects their members. The
     complete distance of every link is verified.
     """
-    flips = ", ".join(
-        f"transform(sequence(0, {SEGMENT_BITS - 1}), i -> fp ^ shiftleft(1L, {s * SEGMENT_BITS} + i))" for s in range(SEGMENTS)
-    )
+    spark = prints.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = prints.select("fp").repartition(tasks, "fp")
+    keys = ", ".join(f"named_struct('t', {i}, 'key', fp & {m}L)" for i, m in enumerate(table_masks()))
+    tables = dealt.select("fp", F.inline(F.expr(f"array({keys})")))
+    buckets = tables.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
+    buckets = written(buckets, "buckets")
+    pairs = buckets.where((F.col("n") == 2) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)).select("a", "b")
+    full = attach(tables, buckets.where("n > 2").select("t", "key"), ["t", "key"], "left_semi").select("fp").distinct()
+    return pairs.union(ball_links(full.repartition(tasks, "fp")))
+
+
+def ball_links(prints: DataFrame) -> DataFrame:
+    """`links` by balls of radius 1 over all bits: two fingerprints within 2 bits share an entry, as one flips the first
+    differing bit, the other the second. An entry holds 65 fingerprints at most, whatever the size of the family, and all are
+    within 2 bits of each other; each is linked with the smallest.
+    """
+    flips = f"transform(sequence(0, {BITS - 1}), i -> fp ^ shiftleft(1L, i))"
     table = prints.select("fp", F.explode(F.expr(f"concat(array(fp), {flips})")).alias("entry"))
     heads = table.groupBy("entry").agg(F.min("fp").alias("a"), F.max("fp").alias("last"))
     met = table.join(heads.where("a < last").drop("last"), "entry").where("a != fp")
