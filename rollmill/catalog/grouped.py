@@ -24,7 +24,7 @@ from rollmill.operators import objectives as O
 from rollmill.operators import rewards as R
 from rollmill.operators import selection as S
 from rollmill.sources import fixtures as fx
-from rollmill.sources.tables import table
+from rollmill.sources.layout import Grouped
 
 IDS = ("run_id", "step", "prompt_id", "sample_id")
 PRINCIPLES = [(1, "不知道|不清楚"), (2, "^ *$")]
@@ -81,7 +81,7 @@ def a1(spark, root):
 
 
 def a2(spark, root):
-    return A.drop_no_signal(fx.verified_rollouts(spark, root), "equal").select(*IDS)
+    return A.drop_no_signal(fx.grouped_rollouts(spark, root), "equal").select(*IDS)
 
 
 def a2_modes(spark, root):
@@ -90,7 +90,12 @@ def a2_modes(spark, root):
 
 
 def advantage(fn):
-    return lambda spark, root: rows(fn(fx.verified_rollouts(spark, root)), "adv")
+    return lambda spark, root: rows(fn(fx.grouped_rollouts(spark, root)), "adv")
+
+
+def a4_stored(spark, root):
+    """A4 over rollouts stored by group: no row moves."""
+    return rows(A.adv_grpo(fx.grouped_rollouts(spark, root, stored=True)), "adv")
 
 
 def doc_advantage(fn):
@@ -112,14 +117,17 @@ def a8(spark, root):
 
 def charged(spark, root):
     """F1 with the length-charged reward of V2 and its parts."""
-    target = 2
-    return fx.verified_rollouts(spark, root).withColumnRenamed("reward", "correct").withColumn(
-        "reward", V.length_reward(F.col("response"), F.col("gold"), target)
-    )
+    return with_charge(fx.verified_rollouts(spark, root))
+
+
+def with_charge(rollouts, target=2):
+    charge = V.length_reward(F.col("response"), F.col("gold"), target)
+    return rollouts.withColumnRenamed("reward", "correct").withColumn("reward", charge)
 
 
 def a9(spark, root):
-    return rows(A.adv_lcpo(charged(spark, root)), "adv")
+    groups = fx.grouped_rollouts(spark, root)
+    return rows(A.adv_lcpo(Grouped(with_charge(groups.rows), groups.keys, groups.hot)), "adv")
 
 
 def a10(spark, root):
@@ -128,12 +136,12 @@ def a10(spark, root):
 
 
 def a10_rows(spark, root):
-    return A.drop_no_signal(fx.verified_rollouts(spark, root), "all01").select(*IDS)
+    return A.drop_no_signal(fx.grouped_rollouts(spark, root), "all01").select(*IDS)
 
 
 def trajectories(spark, root):
     """Prompt = trajectory, sample = time step, logged log-prob = value estimate."""
-    steps = fx.verified_rollouts(spark, root).withColumnRenamed("lp_new", "value")
+    steps = fx.grouped_rollouts(spark, root, stored=True).rows.withColumnRenamed("lp_new", "value")
     return A.gae(steps, ["prompt_id"], "sample_id", gamma=0.99, lam=0.95, keep=("lp_old", "lp_ref"), dense=True)
 
 
@@ -146,25 +154,25 @@ def a11(spark, root):
 
 
 def o1(spark, root):
-    adv = A.adv_mean(fx.verified_rollouts(spark, root))
+    adv = A.adv_mean(fx.grouped_rollouts(spark, root))
     return rounded_cols(O.step_loss(adv, C.pg_loss(F.col("adv"), F.col("lp_new"))), ["loss"])
 
 
 def o2(spark, root):
-    adv = A.adv_grpo(fx.verified_rollouts(spark, root))
+    adv = A.adv_grpo(fx.grouped_rollouts(spark, root))
     loss = C.grpo_loss(F.col("adv"), F.col("lp_new"), F.col("lp_ref"))
     out = O.step_loss(adv, loss, log_ratio=F.avg(C.log_ratio(F.col("lp_new"), F.col("lp_ref"))))
     return rounded_cols(out, ["loss", "log_ratio"], 5)
 
 
 def o3(spark, root):
-    adv = A.with_group_stats(fx.verified_rollouts(spark, root), mode="all01")
+    adv = A.with_group_stats(fx.grouped_rollouts(spark, root), mode="all01")
     adv = adv.withColumn("adv", A.centred() / F.col("sigma"))
     return rows(adv.withColumn("loss", C.dapo_loss(F.col("adv"), F.col("lp_new"), F.col("lp_old"))), "loss")
 
 
 def o4(spark, root):
-    adv = A.adv_grpo(fx.verified_rollouts(spark, root))
+    adv = A.adv_grpo(fx.grouped_rollouts(spark, root))
     cols = (F.col("lp_new"), F.col("lp_old"), F.col("n_tok"))
     clipped = C.is_clipped(C.seq_ratio(*cols), 0.99, 1.01)
     out = O.step_loss(adv, C.gspo_loss(F.col("adv"), *cols, eps=0.01), clipped=F.count_if(clipped))
@@ -216,8 +224,9 @@ def d4(spark, root):
 
 
 def d5(spark, root):
-    judged = fx.arith_rollouts(spark, root).withColumn("score", V.rule_judge(F.col("response"), ("是", "ok"), 4, 80))
-    return S.best_worst_pairs(judged, "score", A.KEYS, judge="rule")
+    groups = fx.grouped_rollouts(spark, root)
+    judged = groups.rows.withColumn("score", V.rule_judge(F.col("response"), ("是", "ok"), 4, 80))
+    return S.best_worst_pairs(Grouped(judged, groups.keys, groups.hot), "score", A.KEYS, judge="rule")
 
 
 def d6(spark, root):
@@ -236,7 +245,7 @@ def d8(spark, root):
 
 
 def d9(spark, root):
-    return S.mine_hard_pairs(fx.verified_rollouts(spark, root)).select(*A.KEYS, "chosen", "rejected")
+    return S.mine_hard_pairs(fx.grouped_rollouts(spark, root)).select(*A.KEYS, "chosen", "rejected")
 
 
 # --- the same in SQL ------------------------------------------------------------
@@ -358,6 +367,7 @@ ENTRIES = {
     ),
     "a3_adv_mean": Entry(advantage(A.adv_mean), adv_sql(CENTRED, f"{MIXED} and {CENTRED} <> 0")),
     "a4_adv_grpo": Entry(advantage(A.adv_grpo), adv_sql(ZSCORE, "var >= 1e-12")),
+    "a4_adv_grpo_stored": Entry(a4_stored, adv_sql(ZSCORE, "var >= 1e-12")),
     "a5_adv_dr_grpo": Entry(advantage(A.adv_dr_grpo), adv_sql(CENTRED, MIXED)),
     "a6_adv_rloo": Entry(advantage(A.adv_rloo), adv_sql(LOO, f"{MIXED} and {LOO} <> 0")),
     "a3_adv_mean_docs": Entry(doc_advantage(A.adv_mean), doc_sql(CENTRED, f"{MIXED} and {CENTRED} <> 0")),

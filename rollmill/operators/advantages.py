@@ -2,7 +2,8 @@
 
 A group is the set of samples of one prompt at one step. Its statistics are
 built by partial aggregation and joined back, so a group of any size is
-reduced on the map side and its rows are never gathered in one task.
+reduced on the map side and its rows are never gathered in one task. Rows that are
+known to lie by group (`Grouped`) take them from windows, hot groups by partial aggregation still.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from rollmill.functions.numerics import clip
 from rollmill.plans.scale import attach, linear_scan, running_total
+from rollmill.plans.session import written
+from rollmill.sources.layout import Grouped
 
 KEYS = ("run_id", "step", "prompt_id")
 
@@ -23,22 +26,28 @@ ZERO_VAR = 1e-12
 ZERO_ADV = 1e-9
 
 
-def group_stats(rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
-    """A1: one row per group; variance over the population."""
+def group_facts(reward: str = "reward") -> dict[str, Column]:
+    """The aggregates of A1; variance over the population."""
     r = F.col(reward)
-    return (
-        rollouts.groupBy(*keys)
-        .agg(
-            F.count(r).alias("k"),
-            F.sum(r).alias("r_sum"),
-            F.avg(r).alias("mu"),
-            F.var_pop(r).alias("var"),
-            F.min(r).alias("r_min"),
-            F.max(r).alias("r_max"),
-            F.count_if(r == 1.0).alias("n_correct"),
-        )
-        .withColumn("sigma", F.sqrt("var") + F.lit(SIGMA_EPS))
-    )
+    return {
+        "k": F.count(r),
+        "r_sum": F.sum(r),
+        "mu": F.avg(r),
+        "var": F.var_pop(r),
+        "r_min": F.min(r),
+        "r_max": F.max(r),
+        "n_correct": F.count_if(r == 1.0),
+    }
+
+
+def group_stats(rollouts: DataFrame | Grouped, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
+    """A1: one row per group."""
+    rows = rollouts.rows if isinstance(rollouts, Grouped) else rollouts
+    return with_sigma(rows.groupBy(*keys).agg(*[c.alias(n) for n, c in group_facts(reward).items()]))
+
+
+def with_sigma(stats: DataFrame) -> DataFrame:
+    return stats.withColumn("sigma", F.sqrt("var") + F.lit(SIGMA_EPS))
 
 
 def has_signal(mode: str) -> Column:
@@ -60,17 +69,28 @@ def has_signal(mode: str) -> Column:
 
 
 def with_group_stats(
-    rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "reward", mode: str | None = None
+    rollouts: DataFrame | Grouped, keys: Sequence[str] = KEYS, reward: str = "reward", mode: str | None = None
 ) -> DataFrame:
-    """Rows with their group's statistics; `mode` drops groups without signal before the join."""
+    """Rows with their group's statistics; `mode` drops groups without signal.
+
+    Grouped rows take them from a window over what lies together anyway; of other tables the statistics are aggregated
+    and joined back, groups without signal being dropped before the join.
+    """
+    if isinstance(rollouts, Grouped):
+        found = with_sigma(rollouts.with_facts(group_facts(reward)))
+        return found if mode is None else found.where(has_signal(mode))
     stats = group_stats(rollouts, keys, reward)
     if mode is None:
         return attach(rollouts, stats, keys)
     return attach(rollouts, stats.where(has_signal(mode)), keys, "inner")
 
 
-def drop_no_signal(rollouts: DataFrame, mode: str = "equal", keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
+def drop_no_signal(
+    rollouts: DataFrame | Grouped, mode: str = "equal", keys: Sequence[str] = KEYS, reward: str = "reward"
+) -> DataFrame:
     """A2: the rows of groups with signal."""
+    if isinstance(rollouts, Grouped):
+        return with_group_stats(rollouts, keys, reward, mode).drop(*group_facts(reward), "sigma")
     kept = group_stats(rollouts, keys, reward).where(has_signal(mode)).select(*keys)
     return attach(rollouts, kept, keys, "inner")
 
@@ -79,22 +99,22 @@ def centred(reward: str = "reward") -> Column:
     return F.col(reward) - F.col("mu")
 
 
-def adv_mean(rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
+def adv_mean(rollouts: DataFrame | Grouped, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
     """A3: reward less the group mean; rows with no advantage are dropped."""
     return with_group_stats(rollouts, keys, reward, "equal").withColumn("adv", centred(reward)).where("adv != 0")
 
 
-def adv_grpo(rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
+def adv_grpo(rollouts: DataFrame | Grouped, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
     """A4: z-score within the group."""
     return with_group_stats(rollouts, keys, reward, "var").withColumn("adv", centred(reward) / F.col("sigma"))
 
 
-def adv_dr_grpo(rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
+def adv_dr_grpo(rollouts: DataFrame | Grouped, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
     """A5: reward less the group mean, without the deviation; zero rows stay."""
     return with_group_stats(rollouts, keys, reward, "equal").withColumn("adv", centred(reward))
 
 
-def adv_rloo(rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
+def adv_rloo(rollouts: DataFrame | Grouped, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
     """Reward less the mean of the other samples."""
     others = (F.col("r_sum") - F.col(reward)) / F.nullif(F.col("k") - 1, F.lit(0))
     return with_group_stats(rollouts, keys, reward, "equal").withColumn("adv", F.col(reward) - others).where("adv != 0")
@@ -110,9 +130,9 @@ def ema_baseline(
 ) -> DataFrame:
     """Per step, the running baseline before (`baseline`) and after (`baseline_next`) that step.
 
-    `dense` promises that every run's steps are consecutive integers.
+    `dense` promises that every run's steps are consecutive integers. The steps' means are written, as several levels read them.
     """
-    means = rollouts.groupBy(*run, order).agg(F.avg(reward).alias("step_mean"))
+    means = written(rollouts.groupBy(*run, order).agg(F.avg(reward).alias("step_mean")), "steps")
     gains = means.withColumn("_gain", F.lit(1.0 - alpha) * F.col("step_mean"))
     scanned = linear_scan(gains, run, order, alpha, "_gain", "baseline_next", dense=dense)
     return scanned.withColumnRenamed("baseline_next_prev", "baseline").drop("_gain")
@@ -142,7 +162,7 @@ def adv_reinforce_pp(
     )
 
 
-def adv_lcpo(rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
+def adv_lcpo(rollouts: DataFrame | Grouped, keys: Sequence[str] = KEYS, reward: str = "reward") -> DataFrame:
     """Length-charged reward less the group mean; near-zero rows are dropped."""
     return (
         with_group_stats(rollouts, keys, reward, "tol")
@@ -165,7 +185,7 @@ def skip_report(
         .groupBy(*run, order)
         .agg(F.count(F.lit(1)).alias("groups"), F.count_if(~has_signal(mode)).alias("skipped"))
     )
-    return running_total(per_step, run, order, "skipped", "skipped_so_far")
+    return running_total(written(per_step, "steps"), run, order, "skipped", "skipped_so_far")
 
 
 def dynamic_sampling(rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "reward") -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,8 @@ from rollmill.functions.numerics import is_blank
 from rollmill.operators.ngram import fit_ngram_lm, seq_logp_with_lengths
 from rollmill.operators.rewards import constitution_check
 from rollmill.plans.scale import running_total
+from rollmill.plans.session import written
+from rollmill.sources.layout import Grouped, grouped
 
 KEYS = ("run_id", "step", "prompt_id")
 
@@ -30,7 +32,7 @@ def rejection_report(
     per_step = rollouts.groupBy(*run, order).agg(
         F.count(F.lit(1)).alias("sampled"), F.count_if(F.col(reward) == 1.0).alias("kept")
     )
-    return running_total(per_step, run, order, "kept", "kept_so_far")
+    return running_total(written(per_step, "steps"), run, order, "kept", "kept_so_far")
 
 
 def top_k_per_prompt(
@@ -88,29 +90,32 @@ def star_refit(
 
 
 def best_worst(
-    rollouts: DataFrame,
+    rollouts: DataFrame | Grouped,
     score: str,
     keys: Sequence[str] = ("prompt_id",),
     payload: Sequence[str] = ("response",),
     tie: str = "sample_id",
 ) -> DataFrame:
-    """Structs `best` (first of the highest scores) and `worst` (last of the lowest) per group."""
-    rank = F.struct(F.col(score), -F.col(tie))
-    row = F.struct(tie, *payload)
-    return (
-        rollouts.where(F.col(score).isNotNull())
-        .groupBy(*keys)
-        .agg(
-            F.max_by(row, rank).alias("best"),
-            F.min_by(row, rank).alias("worst"),
-            F.max(score).alias("best_score"),
-            F.min(score).alias("worst_score"),
-        )
+    """Structs `best` (first of the highest scores) and `worst` (last of the lowest) per group.
+
+    Both are ends of one order, so one sort of each group's rows finds them, with their payload; hot groups are
+    reduced slice by slice. NULL scores take no part.
+    """
+    groups = rollouts if isinstance(rollouts, Grouped) else grouped(rollouts, keys)
+    scored = Grouped(groups.rows.where(F.col(score).isNotNull()), tuple(keys), groups.hot)
+    columns = [tie, *[c for c in dict.fromkeys((score, *payload)) if c != tie]]
+    found = scored.ends([F.col(score).desc(), F.col(tie).asc()], columns)
+    return found.select(
+        *keys,
+        F.col("first").alias("best"),
+        F.col("last").alias("worst"),
+        F.col("first")[score].alias("best_score"),
+        F.col("last")[score].alias("worst_score"),
     )
 
 
 def best_worst_pairs(
-    rollouts: DataFrame,
+    rollouts: DataFrame | Grouped,
     score: str,
     keys: Sequence[str] = ("prompt_id",),
     text: str = "response",
@@ -162,7 +167,9 @@ def distill_set(rollouts: DataFrame, teacher: Column, reward: str = "reward") ->
     return rejection_sample(rollouts.where(teacher), reward)
 
 
-def mine_hard_pairs(rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "reward", text: str = "response") -> DataFrame:
+def mine_hard_pairs(
+    rollouts: DataFrame | Grouped, keys: Sequence[str] = KEYS, reward: str = "reward", text: str = "response"
+) -> DataFrame:
     """A right and a wrong answer from every group that has both."""
     pairs = best_worst_pairs(rollouts, reward, keys, text)
     return pairs.where((F.col("best_score") == 1.0) & (F.col("worst_score") < 1.0)).drop("tied")

@@ -2,6 +2,7 @@
 
 * `attach` puts per-key facts back on rows through a join whose hot
   partitions AQE can split.
+* `hot_hashes` names the few keys that own most rows, by a sketch of bounded size; `row_index` cuts only those into blocks.
 * `running_total`, `dense_index`, `row_index`, `next_row` and `linear_scan`
   replace ordered windows over a whole key: the key is cut into blocks of
   bounded size, each block is one small window, and only one row per block
@@ -22,6 +23,10 @@ from pyspark.sql import functions as F
 #: or, one row per block, 2**24 numbers: whatever the span and spacing of the orders.
 CUTS = (16, 24)
 SCAN_BITS = 12
+#: A key is hot from HOT_ROWS rows on. HOT_KEYS of them are named at most, out of TRACKED that a sketch follows.
+HOT_ROWS = 1 << 16
+HOT_KEYS = 1 << 10
+TRACKED = 1 << 16
 
 
 def block_of(order: str, bits: int) -> str:
@@ -92,18 +97,40 @@ def dense_index(df: DataFrame, keys: Sequence[str], order: str, out: str, cuts:
     return counted.withColumn(out, F.expr(f"cast({out} - 1 as bigint)")).drop("_one")
 
 
-def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], coarse: str, out: str) -> DataFrame:
+def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> list[int]:
+    """`xxhash64` of the keys that own more than `hot_rows` rows, the HOT_KEYS largest at most.
+
+    One pass over the key columns into a sketch per task, whatever the number of keys. A key that a sketch
+    misses owns less than about 1/TRACKED of all rows: plans may rely on this list for speed, never for their results.
+    """
+    top = F.expr(f"approx_top_k(xxhash64({', '.join(keys)}), {HOT_KEYS}, {TRACKED})")
+    found = df.agg(top.alias("top")).first().top
+    return [x["item"] for x in found or [] if x["count"] > hot_rows]
+
+
+def row_index(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], coarse: str, out: str, hot: Sequence[int] | None = None
+) -> DataFrame:
     """0-based row_number per key over arbitrary `order` columns.
 
-    `coarse` rounds the leading order columns down to one integer. Rows of a key that share it are
-    numbered by themselves, after the rows of lower numbers, which a running total counts.
+    A key's rows are numbered in one window. Those of hot keys, if there are any, are cut by `coarse`, which rounds the
+    leading order columns down to one integer: rows that share it are numbered by themselves, after the rows of lower
+    numbers, which a running total counts. Without keys all rows are cut. `hot` has the `hot_hashes` of the
+    keys, if they are known already.
     """
     packed, by = _packed(df, keys)
-    tagged = packed.withColumn("_part", F.expr(coarse))
-    counts = tagged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    if by and hot is None:
+        hot = hot_hashes(df, keys)
+    if by and not hot:
+        plain = packed.withColumn(out, F.expr(f"cast(row_number() {_over(by, order)} - 1 as bigint)"))
+        return _unpacked(plain, [*df.columns, out], keys)
+    is_hot = F.xxhash64(*[F.col("_key")[k] for k in keys]).isin(list(hot)) if by else F.lit(True)
+    tagged = packed.withColumn("_part", F.when(is_hot, F.expr(coarse)))
+    counts = tagged.where(is_hot).groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _total(counts, by, "_part", "_n", "_off", CUTS).selectExpr(*by, "_part", "_off - _n as _off")
     local = tagged.withColumn(out, F.expr(f"row_number() {_over([*by, '_part'], order)}"))
-    numbered = local.join(offsets, [*by, "_part"]).withColumn(out, F.expr(f"cast({out} - 1 + _off as bigint)"))
+    numbered = local.join(offsets, [*by, "_part"], "left")
+    numbered = numbered.withColumn(out, F.expr(f"cast({out} - 1 + coalesce(_off, 0) as bigint)"))
     return _unpacked(numbered, [*df.columns, out], keys)
 
 

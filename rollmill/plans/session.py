@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, app: str = "rollmill", **conf: str) -> SparkSession:
@@ -39,3 +39,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a table in the shared folder, for plans that read it more than once; later readers survive lost executors."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from rollmill.functions.verifiers import first_int_reward
 from rollmill.operators.datasets import adjacent_turns
 from rollmill.operators.selection import best_worst
-from rollmill.plans.scale import dense_index, next_row, row_index
+from rollmill.plans.scale import dense_index, hot_hashes, next_row, row_index
+from rollmill.plans.session import written
+from rollmill.sources.layout import Grouped, grouped, store_grouped
 from rollmill.sources.tables import spread, table
 
 RUN_KEYS = ("run_id", "step", "prompt_id")
@@ -37,12 +39,16 @@ ROLLOUT_COLUMNS = (
 
 
 def run_steps(orders: DataFrame, lined: DataFrame) -> DataFrame:
-    """Orders with lines, numbered within their priority."""
-    used = orders.join(lined, orders.o_orderkey == lined.l_orderkey, "left_semi")
+    """Orders with lines, numbered within their priority; which orders have lines is written, as three levels of blocks read it."""
+    used = written(orders.join(lined, orders.o_orderkey == lined.l_orderkey, "left_semi"), "orders")
     return dense_index(used, ["o_orderpriority"], "o_orderkey", "step")
 
 
-def samples(spark: SparkSession, root: str) -> DataFrame:
+def hot_orders(spark: SparkSession, root: str) -> list[int]:
+    return hot_hashes(table(spark, root, "lineitem").where("l_orderkey is not null"), ["l_orderkey"])
+
+
+def samples(spark: SparkSession, root: str, hot: list[int] | None = None) -> DataFrame:
     """Lines with `sample_id`, their number within their order."""
     lines = table(spark, root, "lineitem").where("l_orderkey is not null")
     order = (
@@ -50,29 +56,36 @@ def samples(spark: SparkSession, root: str) -> DataFrame:
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
     coarse = "shiftleft(cast(l_linenumber as bigint), 32) + shiftright(l_partkey, 10)"  # part keys below 2**42
-    return row_index(lines, ["l_orderkey"], order, coarse, "sample_id")
+    return row_index(lines, ["l_orderkey"], order, coarse, "sample_id", hot)
 
 
-def arith_rollouts(spark: SparkSession, root: str) -> DataFrame:
+def arith_rollouts(spark: SparkSession, root: str, hot: list[int] | None = None) -> DataFrame:
     """one order is a prompt and a step of its run, one line is a sample."""
     lined = table(spark, root, "lineitem").select("l_orderkey").distinct()
     orders = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     return (
-        samples(spark, root).withColumnRenamed("l_orderkey", "o_orderkey")
+        samples(spark, root, hot).withColumnRenamed("l_orderkey", "o_orderkey")
         .join(run_steps(orders, lined), "o_orderkey")
         .selectExpr(*ROLLOUT_COLUMNS)
     )
 
 
-def verified_rollouts(spark: SparkSession, root: str) -> DataFrame:
+def verified_rollouts(spark: SparkSession, root: str, hot: list[int] | None = None) -> DataFrame:
     """F1 with the verifier's reward."""
-    return arith_rollouts(spark, root).withColumn("reward", first_int_reward(F.col("response"), F.col("gold")))
+    return arith_rollouts(spark, root, hot).withColumn("reward", first_int_reward(F.col("response"), F.col("gold")))
+
+
+def grouped_rollouts(spark: SparkSession, root: str, stored: bool = False) -> Grouped:
+    """F1 with the verifier's reward, by group; `stored` writes it first. A group is an order: hot ones show in its lines."""
+    hot = hot_orders(spark, root)
+    groups = grouped(verified_rollouts(spark, root, hot), RUN_KEYS, ["prompt_id"], hot)
+    return store_grouped(groups) if stored else groups
 
 
 def scored_pairs(spark: SparkSession, root: str) -> DataFrame:
     """first correct against last wrong sample of every mixed group."""
     pairs = best_worst(
-        verified_rollouts(spark, root),
+        grouped_rollouts(spark, root),
         "reward",
         RUN_KEYS,
         ("prompt", "response", "lp_new", "lp_ref", "n_tok"),
