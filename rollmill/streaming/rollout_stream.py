@@ -6,10 +6,13 @@ micro-batch (`drain_batches`), so a run or group of any size is split as in a ba
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rollmill.functions.verifiers import first_int_reward
 from rollmill.operators.advantages import SIGMA_EPS, group_stats, has_signal
@@ -178,23 +181,35 @@ def drain(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{home}/rows")
 
 
-def drain_batches(stream: DataFrame, name: str, step: Step) -> tuple[DataFrame, DataFrame]:
-    """Process everything available batch by batch; the returned rows, and the state after the last batch.
+def drain_batches(stream: DataFrame, name: str, step: Step, home: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Process everything available batch by batch; the returned rows of all batches, and the state after the last.
 
-    Rows and state of a batch go to folders of the batch's number in the shared folder, and the state it
-    starts from is read from the number before: a batch that is run again writes the same once more.
+    `home` is a folder that executors share (default: a new one in the shared folder). Started again with the same one, by
+    another session too, the stream goes on after the last batch that was finished: Spark's log there knows what was read, and
+
+    * rows of batch n lie in rows/batch_number=n;
+    * state after batch n lies in state/0 or state/1, by turns, so that the state before a batch outlives it and no older one is kept;
+    * batches/batch_number=n, written last, has the schemas of both.
+
+    A batch that is run again writes the same once more.
     """
     spark = stream.sparkSession
-    home = shared_dir(spark, name)
+    home = (home or shared_dir(spark, name)).rstrip("/")
     schemas = {}
 
+    def state_after(session: SparkSession, number: int) -> DataFrame:
+        return session.read.schema(schemas["state"]).parquet(f"{home}/state/{number % 2}")
+
     def run(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        state = session.read.schema(schemas["state"]).parquet(f"{home}/state/{number - 1}") if number else None
-        rows, after = step(batch, state)
+        if number and not schemas:
+            schemas.update(finished(session, home, number - 1))
+        rows, after = step(batch, state_after(session, number - 1) if number else None)
+        rows.write.mode("overwrite").parquet(f"{home}/rows/batch_number={number}")
+        after.write.mode("overwrite").parquet(f"{home}/state/{number % 2}")
+        marker = [(rows.schema.json(), after.schema.json())]
+        session.createDataFrame(marker, MARKER).coalesce(1).write.mode("overwrite").json(f"{home}/batches/batch_number={number}")
         schemas.update(rows=rows.schema, state=after.schema, last=number)
-        rows.write.mode("overwrite").parquet(f"{home}/rows/{number}")
-        after.write.mode("overwrite").parquet(f"{home}/state/{number}")
 
     query = (
         stream.writeStream.foreachBatch(run)
@@ -203,7 +218,29 @@ def drain_batches(stream: DataFrame, name: str, step: Step) -> tuple[DataFrame,
         .start()
     )
     query.awaitTermination()
+    schemas = schemas or finished(spark, home)
     if not schemas:  # a source without files runs no batch
         return step(spark.createDataFrame([], stream.schema), None)
-    rows = spark.read.schema(schemas["rows"]).parquet(*[f"{home}/rows/{n}" for n in range(schemas["last"] + 1)])
-    return rows, spark.read.schema(schemas["state"]).parquet(f"{home}/state/{schemas['last']}")
+    read = spark.read.schema(StructType([*schemas["rows"], StructField("batch_number", LongType())]))
+    rows = read.parquet(f"{home}/rows").where(F.col("batch_number") <= schemas["last"]).drop("batch_number")
+    return rows, state_after(spark, schemas["last"])
+
+
+MARKER = "rows string, state string"
+
+
+def finished(spark: SparkSession, home: str, number: int | None = None) -> dict:
+    """Schemas (`rows`, `state`) and number (`last`) of batch `number`, or of the last one; empty if there is none."""
+    try:
+        found = spark.read.schema(f"{MARKER}, batch_number bigint").json(f"{home}/batches")
+        wanted = F.lit(True) if number is None else F.col("batch_number") == number
+        last = found.where(wanted).orderBy(F.desc("batch_number")).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    if last is None:
+        if number is not None:
+            raise ValueError(f"the log in {home} is at batch {number + 1}, but batch {number} left no state there")
+        return {}
+    return {"last": last.batch_number} | {k: StructType.fromJson(json.loads(last[k])) for k in ("rows", "state")}

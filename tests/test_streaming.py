@@ -94,6 +94,53 @@ def test_group_advantages_equal_the_batch_and_short_groups_flush(spark, tmp_path
         assert [r.prompt_id for r in held.collect()] == [9]
 
 
+class Stopped(Exception):
+    pass
+
+
+def test_a_restart_goes_on_where_the_last_session_stopped(spark, tmp_path):
+    """A session ends between batches, another one dies inside a batch, a third finishes: rows and state of one run."""
+    rows = [("r", g, i, at(10 * g + i), float((g * i) % 3)) for g in range(6) for i in range(3 + g % 3)]
+    parts = [rows[:5], rows[5:11], rows[11:16], rows[16:]]
+    step = T.group_advantage_step(["run", "prompt_id"], "ts", k=4, wait="20 minutes")
+    whole, left = T.drain_batches(stream_of(spark, tmp_path / "whole", parts, GROUPS), "t", step)
+    home = str(tmp_path / "home")
+
+    T.drain_batches(stream_of(spark, tmp_path / "part", parts[:2], GROUPS), "t", step, home)
+
+    def dies(batch, state):
+        out, after = step(batch, state)
+        return out, after.withColumn("reward", F.raise_error(F.lit("lost")).cast("double"))
+
+    second = spark.newSession()
+    for i, some in enumerate(parts[2:]):
+        second.createDataFrame(some, GROUPS).coalesce(1).write.parquet(f"{tmp_path}/part/b{2 + i}")
+    with pytest.raises(Exception, match="lost"):
+        T.drain_batches(stream_of(second, tmp_path / "part", [], GROUPS), "t", dies, home)
+
+    third = spark.newSession()
+    got, held = T.drain_batches(stream_of(third, tmp_path / "part", [], GROUPS), "t", step, home)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(got) == key(whole) and key(held) == key(left)
+    again, held = T.drain_batches(stream_of(spark.newSession(), tmp_path / "part", [], GROUPS), "t", step, home)  # nothing new
+    assert key(again) == key(whole) and key(held) == key(left)
+    assert len(list((tmp_path / "home" / "state").iterdir())) == 2  # older states are gone
+
+
+def test_a_baseline_goes_on_after_a_restart(spark, tmp_path):
+    rows = [(i, "ab"[i % 2], at(i), (i * 37 % 11) / 10) for i in range(30)]
+    step = T.ema_baseline_step(["run"], "step")
+    home = str(tmp_path / "home")
+    for n in (10, 20, 30):
+        spark.createDataFrame(rows[n - 10 : n], EVENTS).coalesce(1).write.parquet(f"{tmp_path}/in/b{n}")
+        stream = stream_of(spark.newSession(), tmp_path / "in", [], EVENTS)
+        got, _ = T.drain_batches(stream.withColumn("step", F.unix_micros("ts")), "t", step, home)
+    batch = spark.createDataFrame(rows, EVENTS).withColumn("step", F.unix_micros("ts"))
+    want = {(r.run, r.step): (r.baseline, r.baseline_next) for r in A.ema_baseline(batch, ["run"]).collect()}
+    found = {(r.run, r.step): (r.baseline, r.baseline_next) for r in got.collect()}
+    assert found.keys() == want.keys() and all(found[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+
 def test_oversized_groups_are_emitted_in_groups_of_k(spark, tmp_path):
     rows = [("r", 1, i, at(i), float(i % 3 == 0)) for i in range(11)]
     stream = stream_of(spark, tmp_path, [rows], GROUPS)
