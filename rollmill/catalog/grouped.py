@@ -23,6 +23,7 @@ from rollmill.operators import advantages as A
 from rollmill.operators import objectives as O
 from rollmill.operators import rewards as R
 from rollmill.operators import selection as S
+from rollmill.plans.session import written
 from rollmill.sources import fixtures as fx
 from rollmill.sources.layout import Grouped
 
@@ -219,7 +220,8 @@ def d3(spark, root):
 
 
 def d4(spark, root):
-    scored = S.star_refit(rounds(spark, root), IDS)
+    rows_of_rounds = rounds(spark, root).select(*IDS, "round", "prompt", "response", "reward")
+    scored = S.star_refit(written(rows_of_rounds, "rounds"), IDS)
     return rounded_cols(scored, ["sum_lp"])
 
 

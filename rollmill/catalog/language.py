@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rollmill.catalog.entries import DOC_ROLLOUTS, SFT_TURNS, Entry, clip, lm_sql, r, rounded_cols, tokens_sql
+from rollmill.catalog.entries import DOC_ROLLOUTS, SFT_TURNS, Entry, clip, lm_sql, r, rounded_cols, tokens_sql, words_sql
 from rollmill.functions.losses import log_ratio, sft_loss
 from rollmill.functions.numerics import is_blank, rounded
 from rollmill.functions.verifiers import rule_judge, signature_hit
@@ -14,7 +14,7 @@ from rollmill.operators import objectives as O
 from rollmill.operators.advantages import adv_grpo
 from rollmill.plans.session import shared_dir
 from rollmill.sources import fixtures as fx
-from rollmill.sources.tables import arrays_to_long, read_log
+from rollmill.sources.tables import read_log
 
 TURN = ("conv_id", "turn")
 
@@ -106,33 +106,41 @@ def o5(spark, root):
 
 
 def written_log(toks, name, lp, *ids):
-    """One model's tokens as a log: a row per sample with its array, written and read again."""
+    """One model's tokens as a log: a row per sample with its array `lp`, written and read again."""
     spark = toks.sparkSession
     home = shared_dir(spark, name)
     # an array is as long as its text
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("pos", lp))), lambda t: t[lp])
-    toks.groupBy(*ids).agg(ordered.alias("lp")).write.parquet(home)
-    schema = ", ".join(f"{i} bigint" for i in ids) + ", lp array<double>"
-    return arrays_to_long(read_log(spark, home, schema), ids, {"lp": lp})
+    toks.groupBy(*ids).agg(ordered.alias(lp)).write.parquet(home)
+    return read_log(spark, home, ", ".join(f"{i} bigint" for i in ids) + f", {lp} array<double>")
+
+
+#: What the second log of a sample lacks: the last of several lines. The lengths come from the texts.
+LAST_LINE = r"\n[^\n]*\z"
+
+
+def two_logs(models, samples, ids, prompt, first, second):
+    """Logs of both models over the same samples, the second without each text's last line."""
+    short = samples.withColumn("response", F.regexp_replace("response", LAST_LINE, ""))
+    logs = [
+        written_log(L.token_logp(models, rows, ids, prompt=prompt), f"{lp}_log", lp, *ids) for rows, lp in ((samples, first), (short, second))
+    ]
+    return O.zip_logs(*logs, first, second, ids)
 
 
 def o5_two_logs(spark, root):
-    """The old policy's log was kept for a sample's first 40 tokens only: the overlap counts."""
-    toks = L.token_logp(lm(spark, root, "policy", "old"), fx.doc_rollouts(spark, root), ["sample_id"], prompt=None)
-    new = written_log(toks, "policy_log", "lp_policy", "sample_id")
-    old = written_log(toks.where("pos < 40"), "old_log", "lp_old", "sample_id")
+    """The old policy's log is shorter where a text has several lines."""
+    docs = fx.doc_rollouts(spark, root).select("sample_id", "response")
+    toks = two_logs(lm(spark, root, "policy", "old"), docs, ["sample_id"], None, "lp_policy", "lp_old")
     adv = doc_advantages(spark, root).select("sample_id", "adv")
-    rows = O.cispo_loss(O.align_tokens(new, old), adv, lp="lp_policy", lp_old="lp_old")
+    rows = O.cispo_loss(toks, adv, lp="lp_policy", lp_old="lp_old")
     return rounded_cols(rows.select("sample_id", "n_overlap", "n_clipped", "max_weight", "loss"), ["max_weight", "loss"])
 
 
 def o6_two_logs(spark, root):
-    """The teacher saw a rollout's first 12 tokens only."""
-    toks = L.token_logp(lm(spark, root, "ref", "teacher"), fx.sft_turns(spark, root), TURN)
-    student = written_log(toks, "student_log", "lp_ref", *TURN)
-    teacher = written_log(toks.where("pos < 12"), "teacher_log", "lp_teacher", *TURN)
-    rows = O.opd_reverse_kl(O.align_tokens(student, teacher, TURN), TURN, "lp_ref", "lp_teacher")
-    return rounded_cols(rows, ["mean_reverse_kl", "loss"])
+    """The teacher's log is shorter where an answer has several lines."""
+    toks = two_logs(lm(spark, root, "ref", "teacher"), fx.sft_turns(spark, root), TURN, "prompt", "lp_ref", "lp_teacher")
+    return rounded_cols(O.opd_reverse_kl(toks, TURN, "lp_ref", "lp_teacher"), ["mean_reverse_kl", "loss"])
 
 
 def o9_tokens(spark, root):
@@ -191,6 +199,13 @@ def doc_tokens(*models, entropy=False):
     return f"with {DOC_ROLLOUTS}, {lm_sql(models)}, {toks}"
 
 
+def both_logs(source, ids):
+    """CTE tb: the tokens of tk that the shorter log has too."""
+    short = f"regexp_replace(response, '{LAST_LINE}', '')"
+    return f"""sh as (select {ids}, len({words_sql(short)}) as m from {source}),
+        tb as (select tk.* from tk join sh using ({ids}) where pos < m)"""
+
+
 PER_TURN = "from sft_turns left join tk using (conv_id, turn) group by conv_id, turn"
 
 DOC_ADV = """ds as (select prompt_id, avg(reward) as mu, var_pop(reward) as var from doc_rollouts group by prompt_id),
@@ -281,17 +296,17 @@ ENTRIES = {
     ),
     "o5_cispo_two_logs": Entry(
         o5_two_logs,
-        f"""{doc_tokens('policy', 'old')}, {DOC_ADV},
+        f"""{doc_tokens('policy', 'old')}, {DOC_ADV}, {both_logs('doc_rollouts', 'sample_id')},
         ts as (select sample_id, count(*) as n, sum({W} * lp_policy) as wl, max({W}) as mw,
-                      count(*) filter (exp(lp_policy - lp_old) - 1.3 > 1e-9) as nc from tk where pos < 40 group by sample_id)
+                      count(*) filter (exp(lp_policy - lp_old) - 1.3 > 1e-9) as nc from tb group by sample_id)
         select sample_id, n as n_overlap, nc as n_clipped, {r('mw')} as max_weight, {r('-adv * wl / (5.0::double * n)')} as loss
         from ts join da using (sample_id)""",
     ),
     "o6_opd_two_logs": Entry(
         o6_two_logs,
-        f"""{turns('ref', 'teacher')} select conv_id, turn, count(*) as n_overlap,
+        f"""{turns('ref', 'teacher')}, {both_logs('sft_turns', 'conv_id, turn')} select conv_id, turn, count(*) as n_overlap,
         {r('-avg(lp_teacher - lp_ref)')} as mean_reverse_kl,
-        {r('-sum((lp_teacher - lp_ref) * lp_ref) / (5.0::double * count(*))')} as loss from tk where pos < 12 group by conv_id, turn""",
+        {r('-sum((lp_teacher - lp_ref) * lp_ref) / (5.0::double * count(*))')} as loss from tb group by conv_id, turn""",
     ),
     "o9_token_ratio_report": Entry(
         o9_tokens,

@@ -146,6 +146,14 @@ def score_ngrams(lm: NgramLM, needed: DataFrame, entropy: bool = False) -> DataF
     return attach(counts, contexts, ["ctx"]).select("ctx", "w", *_per_model(lm, sizes, entropy))
 
 
+def token_rows(samples: DataFrame, ids: Sequence[str], answer: str, prompt: str | None, n: int) -> DataFrame:
+    """(ids, pos, ctx, w) of the answer's words; one row with NULLs for an empty answer."""
+    arrays = _context_and_words(samples, answer, prompt, n).select(*ids, _zipped().alias("_z"))
+    return arrays.select(*ids, F.posexplode_outer("_z").alias("pos", "_t")).select(
+        *ids, F.col("pos").cast("bigint").alias("pos"), F.col("_t.ctx").alias("ctx"), F.col("_t.w").alias("w")
+    )
+
+
 def token_logp(
     lm: NgramLM,
     samples: DataFrame,
@@ -160,10 +168,7 @@ def token_logp(
     Every distinct n-gram is looked up once; the token table itself moves in
     a single shuffle. `keep_empty` keeps one NULL token for an empty answer.
     """
-    arrays = _context_and_words(samples, answer, prompt, lm.n).select(*ids, _zipped().alias("_z"))
-    tokens = arrays.select(*ids, F.posexplode_outer("_z").alias("pos", "_t")).select(
-        *ids, F.col("pos").cast("bigint").alias("pos"), F.col("_t.ctx").alias("ctx"), F.col("_t.w").alias("w")
-    )
+    tokens = token_rows(samples, ids, answer, prompt, lm.n)
     if not keep_empty:
         tokens = tokens.where("w is not null")
     needed = tokens.where("w is not null").select("ctx", "w").distinct()

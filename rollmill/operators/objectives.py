@@ -29,6 +29,21 @@ def align_tokens(a: DataFrame, b: DataFrame, ids: Sequence[str] = ("sample_id",)
     return a.join(b, [*ids, pos])
 
 
+def zip_logs(
+    a: DataFrame, b: DataFrame, lp_a: str, lp_b: str, ids: Sequence[str] = ("sample_id",), pos: str = "pos"
+) -> DataFrame:
+    """Two logs with one array per sample (`lp_a` in `a`, `lp_b` in `b`) as tokens, over the positions both have.
+
+    The logs meet once, sample by sample, and are cut to the shorter array inside the row; tokens are never joined.
+    A sample that either log lacks, or has no array for, gives no tokens.
+    """
+    met = a.select(*ids, lp_a).join(b.select(*ids, lp_b), list(ids))
+    both = F.least(F.size(lp_a), F.size(lp_b))
+    zipped = F.arrays_zip(*[F.slice(c, F.lit(1), both).alias(c) for c in (lp_a, lp_b)])
+    cells = met.where(both > 0).select(*ids, F.posexplode(zipped).alias(pos, "_z"))
+    return cells.select(*ids, F.col(pos).cast("bigint").alias(pos), *[F.col("_z")[c].alias(c) for c in (lp_a, lp_b)])
+
+
 def cispo_loss(
     tokens: DataFrame,
     advantages: DataFrame,

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollmill.functions.numerics import is_blank
-from rollmill.operators.ngram import fit_ngram_lm, seq_logp_with_lengths
+from rollmill.operators.ngram import token_rows
 from rollmill.operators.rewards import constitution_check
-from rollmill.plans.scale import running_total
+from rollmill.plans.scale import attach, running_total
 from rollmill.plans.session import written
 from rollmill.sources.layout import Grouped, grouped
 
@@ -75,18 +75,28 @@ def star_refit(
 ) -> DataFrame:
     """Fit on what round r kept, score round r + 1.
 
-    A count model of a round depends on that round's rows alone, so all
-    rounds are fitted in one pass, one count column each, and every sample is
-    scored by its predecessor round: no driver loop, no lineage to cut.
-    The number of rounds is taken from the table.
+    The round is a key: of n-grams, contexts and vocabulary sizes, so that any number of rounds is fitted and scored in
+    one pass, whatever their numbers. Columns ids, round, n_tok, sum_lp. A sample is returned if the table has rows of the round before its
+    own; one that kept nothing knows the unknown word alone, of probability 1. NULL rounds take no part.
     """
-    rounds = int(rollouts.agg(F.max(round_col).alias("last")).first().last or 0) + 1
-    fits = {f"r{r}": (F.col(round_col) == r) & (F.col(reward) == 1.0) for r in range(rounds - 1)}
-    lm = fit_ngram_lm(rollouts, answer, fits, n, add_k, prompt=prompt)
-    later = rollouts.where(F.col(round_col).between(1, rounds - 1))
-    scored = seq_logp_with_lengths(lm, later, [*ids, round_col], answer, prompt)
-    lp = F.coalesce(*[F.when(F.col(round_col) == r + 1, F.col(f"sum_lp_r{r}")) for r in range(rounds - 1)])
-    return scored.select(*ids, round_col, "n_tok", lp.alias("sum_lp"))
+    known = rollouts.where(F.col(round_col).isNotNull()).withColumn("_fit", F.col(round_col).cast("bigint"))
+    words = token_rows(known.where(F.col(reward) == 1.0), ["_fit"], answer, prompt, n).where("w is not null")
+    ngrams = words.groupBy("_fit", "ctx", "w").agg(F.count(F.lit(1)).alias("_n"))
+    contexts = ngrams.groupBy("_fit", "ctx").agg(F.sum("_n").alias("_all"))
+    sizes = ngrams.groupBy("_fit", "w").agg(F.lit(1).alias("_one")).groupBy("_fit").agg((F.count("_one") + 1).alias("_v"))
+    # rounds that kept nothing have no size of their own
+    rounds = attach(known.select("_fit").distinct(), sizes, ["_fit"]).select("_fit", F.coalesce("_v", F.lit(1)).alias("_v"))
+
+    later = known.withColumn("_fit", F.col("_fit") - 1)
+    tokens = attach(token_rows(later, [*ids, round_col, "_fit"], answer, prompt, n), rounds, ["_fit"], "inner")
+    needed = tokens.where("w is not null").select("_fit", "_v", "ctx", "w").distinct()
+    counts = attach(attach(needed, ngrams, ["_fit", "ctx", "w"]), contexts, ["_fit", "ctx"])
+    k = f"{float(add_k)!r}D"
+    scored = counts.selectExpr("_fit", "ctx", "w", f"ln((coalesce(_n, 0) + {k}) / (coalesce(_all, 0) + {k} * _v)) as _lp")
+    met = attach(tokens, scored, ["_fit", "ctx", "w"])
+    return met.groupBy(*ids, round_col).agg(
+        F.greatest(F.count("w"), F.lit(1)).alias("n_tok"), F.coalesce(F.sum("_lp"), F.lit(0.0)).alias("sum_lp")
+    )
 
 
 def best_worst(

@@ -411,3 +411,30 @@ def test_null_is_a_group_like_any_other(spark):
     rows = [(run, 1, 1, i, float(i)) for run in (None, "x") for i in range(2)]
     df = spark.createDataFrame(rows, "run_id string, step bigint, prompt_id bigint, sample_id bigint, reward double")
     assert adv_grpo(df).count() == 4
+
+
+def test_logs_are_zipped_to_the_shorter(spark):
+    a = spark.createDataFrame([(1, [-1.0, -2.0, -3.0]), (2, [-1.0]), (3, None), (4, []), (5, [-1.0])], "sample_id bigint, x array<double>")
+    b = spark.createDataFrame([(1, [-4.0, -5.0]), (2, [-6.0, -7.0]), (3, [-1.0]), (4, [-1.0])], "sample_id bigint, y array<double>")
+    out = O.zip_logs(a, b, "x", "y")
+    assert sorted(map(tuple, out.collect())) == [(1, 0, -1.0, -4.0), (1, 1, -2.0, -5.0), (2, 0, -1.0, -6.0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_star_refit_over_many_rounds(spark):
+    """500 rounds are rows, not columns; each scores the next, NULL rounds and gaps in the numbers included."""
+    import math
+
+    rows = [(10 * i + j, i, "p", f"w{i % 7} w{j}", 1.0 if j else 0.0) for i in range(500) for j in range(2)]
+    rows += [(-1, None, "p", "w0", 1.0), (9000, 700, "p", "w0", 1.0), (-2, -3, "p", "w1", 0.0), (-3, -2, "p", "w1 w1", 1.0), (9100, 1, "p", "", 1.0)]
+    df = spark.createDataFrame(rows, "sample_id bigint, round int, prompt string, response string, reward double")
+    out = S.star_refit(df, ["sample_id"])
+    got = {r.sample_id: r for r in out.collect()}
+    assert len(out.columns) == 4 and len(got) == 499 * 2 + 2
+    assert not {-1, -2, 9000} & set(got)
+    assert (got[-3].n_tok, got[-3].sum_lp) == (2, 0.0)  # its round before kept nothing
+    assert (got[9100].n_tok, got[9100].sum_lp) == (1, 0.0)  # empty answer
+    # round 9 scored by round 8, which kept "w1 w1": contexts p and w1, vocabulary of one word and the unknown one
+    seen, fresh = math.log((0 + 0.5) / (1 + 0.5 * 2)), math.log((0 + 0.5) / (0 + 0.5 * 2))
+    assert got[91].sum_lp == pytest.approx(seen + fresh)
+    assert got[80].sum_lp == pytest.approx(math.log(0.5 / (1 + 0.5 * 3)) + math.log(0.5 / (0 + 0.5 * 3)))
