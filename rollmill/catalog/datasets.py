@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rollmill.catalog.entries import SCORED_PAIRS, SFT_TURNS, VERIFIED, Entry, r, rounded_cols
+from rollmill.functions.numerics import rounded
 from rollmill.operators import datasets as D
 from rollmill.sources import fixtures as fx
 from rollmill.plans.session import shared_dir
-from rollmill.sources.tables import arrays_to_long, read_log, table, write_dataset
+from rollmill.sources.tables import arrays_to_long, quarantine_log, read_log, table, write_dataset
 
 
 def prompts(spark, root):
@@ -78,6 +79,28 @@ def s11(spark, root):
     return rounded_cols(rows.withColumn("lp", F.col("lp").cast("double")), ["lp"])
 
 
+def s11_quarantine(spark, root):
+    """A token log with broken lines, written from the vectors and read again: good samples, and per defect what was set apart."""
+    e = table(spark, root, "embeddings").select(F.col("vec_id").alias("sample_id"), F.col("embedding").cast("array<double>").alias("lp"))
+    last = F.col("sample_id") % 10
+    shorter = F.when(last == 5, F.slice("lp", 1, F.greatest(F.size("lp") - 1, F.lit(0)))).otherwise(F.col("lp"))
+    whole = F.to_json(F.struct("sample_id", "lp", shorter.alias("entropy")))
+    as_text = F.to_json(F.struct(F.concat(F.lit("no "), "sample_id").alias("sample_id"), "lp", F.col("lp").alias("entropy")))
+    line = F.when(last == 3, F.expr("left(_line, length(_line) - 2)")).when(last == 7, as_text).otherwise(F.col("_line"))
+    path = shared_dir(spark, "log")
+    e.withColumn("_line", whole).select(line.alias("value")).write.text(path)
+    schema = "sample_id bigint, lp array<double>, entropy array<double>"
+    good, bad = quarantine_log(spark, path, shared_dir(spark, "checked"), schema, ["lp", "entropy"])
+    total = F.aggregate("lp", F.lit(0.0), lambda a, x: a + x)
+    kept = good.select(
+        F.lit("none").alias("defect"), "sample_id", F.lit(1).cast("bigint").alias("n_rows"),
+        F.size("lp").cast("bigint").alias("n_values"), rounded(total, 4).alias("lp_sum"),
+    )
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("sample_id", "bigint"), ("n_values", "bigint"), ("lp_sum", "double"))]
+    apart = bad.groupBy("defect").agg(F.count(F.lit(1)).alias("n_rows")).select("defect", "n_rows", *none)
+    return kept.unionByName(apart)
+
+
 PROMPTS = """prompts as (
 select o_orderkey as prompt_id, concat((o_orderkey % 10)::varchar, '+', (o_custkey % 10)::varchar, '=?') as prompt,
        (o_orderkey % 10 + o_custkey % 10)::bigint as gold from orders)"""
@@ -146,4 +169,14 @@ ENTRIES = {
         f"""with e as (select vec_id, (generate_subscripts(embedding, 1) - 1)::bigint as pos, unnest(embedding) as x
         from embeddings) select vec_id, pos, {r('x')} as lp from e""",
     ),
+    "s11_quarantine": Entry(
+        s11_quarantine,
+        f"""select 'none' as defect, vec_id as sample_id, 1::bigint as n_rows, len(embedding)::bigint as n_values,
+               {r('coalesce(list_sum(embedding::double[]), 0)', 4)} as lp_sum
+        from embeddings where vec_id % 10 not in (3, 5, 7)
+        union all
+        select defect, null, count(*), null, null
+        from (select case when vec_id % 10 = 5 then 'ragged' else 'malformed' end as defect
+              from embeddings where vec_id % 10 in (3, 5, 7)) group by defect""",
+    ),
 }

@@ -25,7 +25,7 @@ from rollmill.functions.numerics import neg_log_sigmoid, rounded
 from rollmill.operators import ngram as L
 from rollmill.operators import preference as P
 from rollmill.operators.selection import spin_pairs
-from rollmill.plans.session import shared_dir
+from rollmill.plans.session import shared_dir, written
 from rollmill.sources import fixtures as fx
 
 
@@ -103,6 +103,29 @@ def p8(spark, root):
     return rounded_cols(P.preference_report(pairs, ["run_id", "slice"]), REPORT, 5)
 
 
+def p8_rollup(spark, root):
+    """The report per run and slice, per run, and over all pairs."""
+    pairs = fx.scored_pairs(spark, root).withColumn("slice", F.col("step") % 10)
+    return rounded_cols(P.preference_rollup(pairs, ["run_id", "slice"]), REPORT, 5)
+
+
+def margin_features():
+    """How far the policy prefers the chosen answer against its reference, and how much longer that is."""
+    return {"lp_gap": C.pair_margin(*lps()), "length_gap": (F.col("n_c") - F.col("n_r")).cast("double")}
+
+
+def p9(kind):
+    def build(spark, root):
+        """Pairs scored by a certified fit on four prompts in five. The pairs are written once."""
+        pairs = fx.scored_pairs(spark, root).select("prompt_id", *P.PAIR_LPS, "n_c", "n_r")
+        pairs = written(pairs.withColumn("held_out", F.expr("pmod(prompt_id, 5) = 0")), "pairs")
+        scorer = P.fit_margin_scorer(pairs.where("not held_out"), margin_features(), kind)
+        margin = scorer.margin(margin_features())
+        return pairs.select("prompt_id", "held_out", rounded(margin).alias("margin"), (margin > 0).cast("bigint").alias("correct"))
+
+    return build
+
+
 def fitted_scorer(spark, root, kind):
     """Pairs scored by a scorer that has seen four prompts in five; held_out: the others. The pairs are written once."""
     pairs = fx.scored_pairs(spark, root).select("prompt_id", "chosen", "rejected")
@@ -112,7 +135,7 @@ def fitted_scorer(spark, root, kind):
     return P.score_pairs(P.fit_preference_scorer(pairs.where("not held_out"), kind), pairs)
 
 
-def p9(kind):
+def p9_words(kind):
     def build(spark, root):
         return fitted_scorer(spark, root, kind).select("prompt_id", "held_out", "margin", "correct")
 
@@ -170,10 +193,47 @@ ABOVE = f"(case when {MC} - {MR} > 0.56::double then 1 else 0 end)"
 RIGHT = f"(case when {MARGIN} > 0 then 1 else 0 end)"
 
 
+REPORT_SQL = r_as(
+    {
+        n: f"avg({e})"
+        for n, e in zip(
+            REPORT,
+            (DPO, MARGIN, RIGHT, IPO, f"{MARGIN} - 5", SFT, ODDS, f"{SFT} + {ODDS}", SIMPO, f"{MC} - {MR}", ABOVE),
+            strict=True,
+        )
+    },
+    5,
+)
+
+
 def pair_sql(**cols):
     return f"with {SCORED_PAIRS} select prompt_id, {r_as(cols)} from scored_pairs"
 
 
+def newton_sql(kind: str, steps: int) -> str:
+    """The two weights by Newton steps, one CTE each; a step solves two equations."""
+    steps_sql = [
+        f"""f as materialized (select prompt_id, prompt_id % 5 = 0 as held_out, {MARGIN}::double as a, (n_c - n_r)::double as b
+        from scored_pairs), w0 as (select 0::double as u, 0::double as v)"""
+    ]
+    z = "(u * a + v * b)"
+    slope = f"-{sigmoid(f'-{z}')}" if kind == "bt" else f"({z} - 5)"
+    bend = f"{sigmoid(z)} * {sigmoid(f'-{z}')}" if kind == "bt" else "1"
+    for i in range(steps):
+        steps_sql.append(
+            f"""w{i + 1} as materialized (select u - (hbb * ga - hab * gb) / (haa * hbb - hab * hab) as u,
+            v - (haa * gb - hab * ga) / (haa * hbb - hab * hab) as v
+            from (select any_value(u) as u, any_value(v) as v, avg({slope} * a) + 0.001 * any_value(u) as ga,
+                         avg({slope} * b) + 0.001 * any_value(v) as gb, avg({bend} * a * a) + 0.001 as haa,
+                         avg({bend} * a * b) as hab, avg({bend} * b * b) + 0.001 as hbb
+                  from f, w{i} where not held_out))"""
+        )
+    return (
+        f"with {SCORED_PAIRS}, {', '.join(steps_sql)} select prompt_id, held_out, {r(z)} as margin, "
+        f"({z} > 0)::bigint as correct from f, w{steps}"
+    )
+
+
 ENTRIES = {
     "p1_dpo_loss": Entry(p1, pair_sql(loss=DPO)),
     "p1_spin_dpo": Entry(
@@ -214,22 +274,18 @@ ENTRIES = {
     "p7_simpo_loss": Entry(p7, pair_sql(loss=SIMPO, above=ABOVE)),
     "p8_preference_report": Entry(
         p8,
-        f"with {SCORED_PAIRS} select run_id, step % 10 as slice, count(*) as n_pairs, "
-        + r_as(
-            {
-                n: f"avg({e})"
-                for n, e in zip(
-                    REPORT,
-                    (DPO, MARGIN, RIGHT, IPO, f"{MARGIN} - 5", SFT, ODDS, f"{SFT} + {ODDS}", SIMPO, f"{MC} - {MR}", ABOVE),
-                    strict=True,
-                )
-            },
-            5,
-        )
-        + " from scored_pairs group by run_id, step % 10",
+        f"with {SCORED_PAIRS} select run_id, step % 10 as slice, count(*) as n_pairs, {REPORT_SQL} "
+        "from scored_pairs group by run_id, step % 10",
+    ),
+    "p8_preference_rollup": Entry(
+        p8_rollup,
+        f"""with {SCORED_PAIRS} select grouping(run_id, slice)::bigint as level, run_id, slice, count(*) as n_pairs, {REPORT_SQL}
+        from (select *, step % 10 as slice from scored_pairs) group by rollup (run_id, slice)""",
     ),
-    "p9_preference_scorer_bt": Entry(p9("bt")),
-    "p9_preference_scorer_ls": Entry(p9("ls")),
+    "p9_preference_scorer_bt": Entry(p9("bt"), newton_sql("bt", 14)),
+    "p9_preference_scorer_ls": Entry(p9("ls"), newton_sql("ls", 2)),
+    "p9_word_scorer_bt": Entry(p9_words("bt")),
+    "p9_word_scorer_ls": Entry(p9_words("ls")),
     "p9_scorer_report": Entry(
         p9_report,
         f"with {SCORED_PAIRS} select count(*) filter (prompt_id % 5 <> 0) as n_fit, "

@@ -60,6 +60,31 @@ def read_log(spark: SparkSession, path: str, schema: str = ROLLOUT_SCHEMA, fmt:
     return spark.read.schema(schema).format(fmt).load(path)
 
 
+def checked_log(spark: SparkSession, path: str, schema: str, aligned: Sequence[str] = ()) -> DataFrame:
+    """JSON log rows with `raw` (the line, if it could not be read in full) and `defect`.
+
+    'malformed': no JSON, or a value of another type than the schema's (the other values of the row are kept). 'ragged': the array columns
+    `aligned` differ in length, or only some are NULL. 'none': a good row. Blank lines are no rows; columns that the schema does not name are not read.
+    """
+    rows = spark.read.schema(f"{schema}, raw string").option("columnNameOfCorruptRecord", "raw").json(path)
+    sizes = [F.coalesce(F.size(a), F.lit(-1)) for a in aligned]
+    ragged = F.greatest(*sizes) != F.least(*sizes) if len(sizes) > 1 else F.lit(False)
+    return rows.withColumn("defect", F.when(F.col("raw").isNotNull(), "malformed").when(ragged, "ragged").otherwise("none"))
+
+
+def quarantine_log(
+    spark: SparkSession, path: str, home: str, schema: str, aligned: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Good rows of a JSON log, and the rows set apart with their `defect`.
+
+    The log is parsed once and written to `home`, a folder per defect, so that either side reads its own files alone.
+    """
+    checked = checked_log(spark, path, schema, aligned)
+    checked.write.partitionBy("defect").parquet(home)
+    both = spark.read.schema(checked.schema).parquet(home)
+    return both.where("defect = 'none'").drop("raw", "defect"), both.where("defect != 'none'")
+
+
 def arrays_to_long(df: DataFrame, ids: Sequence[str], arrays: Mapping[str, str], pos: str = "pos") -> DataFrame:
     """One row per position of parallel array columns (`arrays`: array column -> value name).
 

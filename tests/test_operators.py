@@ -438,3 +438,64 @@ def test_star_refit_over_many_rounds(spark):
     seen, fresh = math.log((0 + 0.5) / (1 + 0.5 * 2)), math.log((0 + 0.5) / (0 + 0.5 * 2))
     assert got[91].sum_lp == pytest.approx(seen + fresh)
     assert got[80].sum_lp == pytest.approx(math.log(0.5 / (1 + 0.5 * 3)) + math.log(0.5 / (0 + 0.5 * 3)))
+
+
+@pytest.mark.parametrize("kind", ["bt", "ls"])
+def test_margin_scorer_is_at_the_optimum(spark, kind):
+    """The gradient, taken by differences of the loss written out in numpy, is zero at the fitted weights; NULL features take no part."""
+    import numpy as np
+
+    rows = [(float((i * 37) % 11) - 3, float((i * 53) % 7) - 4) for i in range(300)] + [(None, 1.0), (500.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    scorer = P.fit_margin_scorer(df, {"a": F.col("a"), "b": F.col("b")}, kind)
+    x, w = np.array(rows[:300]), np.array([scorer.weights["a"], scorer.weights["b"]])
+
+    def loss(w):
+        z = x @ w
+        return (np.log1p(np.exp(-z)) if kind == "bt" else (z - 5) ** 2 / 2).mean() + 5e-4 * w @ w
+
+    for k in range(2):
+        step = np.eye(2)[k] * 1e-5
+        assert abs(loss(w + step) - loss(w - step)) / 2e-5 < 1e-7
+    assert scorer.gradient_norm <= 1e-9 and (kind == "bt" or scorer.steps == 1)
+    empty = P.fit_margin_scorer(df.limit(0), {"a": F.col("a")}, kind)
+    assert empty.weights == {"a": 0.0}
+
+
+def test_margin_scorer_refuses_what_did_not_converge(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,)], "a double")
+    with pytest.raises(ArithmeticError):
+        P.fit_margin_scorer(df, {"a": F.col("a")}, "bt", most_steps=1)
+    with pytest.raises(ValueError):
+        P.fit_margin_scorer(df, {"a": F.col("a")}, "other")
+
+
+def test_rollup_weighs_slices_by_their_pairs(spark):
+    rows = [("a", 1, -1.0), ("a", 1, -3.0), ("a", 2, -5.0), ("b", 1, None), (None, 1, -7.0)]
+    df = spark.createDataFrame(rows, "run_id string, slice int, lp_c double").selectExpr(
+        "*", "-1d as lp_r", "0d as lpref_c", "0d as lpref_r", "1 as n_c", "1 as n_r"
+    )
+    out = {(r.level, r.run_id, r.slice): r for r in P.preference_rollup(df, ["run_id", "slice"]).collect()}
+    assert len(out) == 4 + 3 + 1
+    assert (out[1, "a", None].n_pairs, out[1, "a", None].margin) == (3, -2.0)
+    assert out[1, "b", None].margin is None and out[0, None, 1].margin == out[1, None, None].margin == -6.0
+    assert (out[3, None, None].n_pairs, out[3, None, None].margin) == (5, -3.0)
+
+
+def test_broken_log_lines_are_set_apart(spark, tmp_path):
+    lines = [
+        '{"sample_id": 1, "lp": [1.0, 2.0], "entropy": [3.0, 4.0], "more": 1}',
+        '{"sample_id": 2, "lp": [1.0], "entropy": [3.0, 4.0]}',
+        '{"sample_id": 3, "lp": [1.0]}',
+        '{"sample_id": 4, "lp": [1.0',
+        '{"sample_id": "x", "lp": [1.0], "entropy": [2.0]}',
+        "",
+        '{"sample_id": 5}',
+        '{"sample_id": 6, "lp": [], "entropy": []}',
+    ]
+    (tmp_path / "log.json").write_text("\n".join(lines))
+    schema = "sample_id bigint, lp array<double>, entropy array<double>"
+    good, bad = T.quarantine_log(spark, str(tmp_path / "log.json"), str(tmp_path / "out"), schema, ["lp", "entropy"])
+    assert good.columns == ["sample_id", "lp", "entropy"] and {r.sample_id for r in good.collect()} == {1, 5, 6}
+    found = {(r.defect, r.sample_id, r.raw) for r in bad.collect()}
+    assert found == {("ragged", 2, None), ("ragged", 3, None), ("malformed", None, lines[3]), ("malformed", None, lines[4])}

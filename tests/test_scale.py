@@ -176,7 +176,7 @@ def test_top_k_limits_before_the_shuffle(spark, root):
     assert re.search(r"Exchange[^\n]*\n[^\n]*WindowGroupLimit[^\n]*Partial", plan)
 
 
-EAGER = {"p9_preference_scorer_bt", "p9_preference_scorer_ls", "p9_scorer_report"}
+EAGER = {"p9_word_scorer_bt", "p9_word_scorer_ls", "p9_scorer_report"}
 BATCH = sorted(n for n in catalog.queries() if not n.startswith("t") and n not in EAGER)
 
 
