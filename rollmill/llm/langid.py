@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollmill.llm.common import hash_sample, map_texts, named, texts
+from rollmill.llm.common import map_texts, named, texts
 
 PAD = 256
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """A letter of any script; number signs such as a half or a circled one are none."""
+    return any(map(str.isalpha, text))
 
 
 def softsign(x: np.ndarray) -> np.ndarray:
@@ -23,9 +26,8 @@ def softsign(x: np.ndarray) -> np.ndarray:
 class Settings:
     """Bounds of the training sample, and the network's shape."""
 
-    docs_read: int = 40_000  # documents from which the sample is taken
-    languages: int = 64  # the most frequent ones are learned
-    docs: int = 800  # labelled documents per language
+    docs: int = 800  # labelled documents per language, of every language
+    most: int = 200_000  # documents in all: fewer per language where languages are many, one at least
     pieces: int = 3  # texts are sampled at so many places
     length: int = 96  # code points of a piece
     window: int = 64  # bytes after which the state starts anew
@@ -194,22 +196,25 @@ class Model:
     window: int
 
     def predict(self, batch: list[str | None], rows: int = 1024) -> tuple[list[str], list[float]]:
-        """The language with the highest mean log-probability over all positions, and its mean probability."""
-        data = [t.encode() if t is not None and LETTER.search(t) else b"" for t in batch]
+        """The likeliest language after pooling all positions, and its pooled probability.
+
+        The pool is the geometric mean of the positions' distributions, normalised, so that the score is the highest one.
+        """
+        data = [t.encode() if t is not None and has_letter(t) else b"" for t in batch]
         if self.network is None:
             return ["und"] * len(data), [0.0] * len(data)
         codes, counts = windows(data, self.window)
-        pooled = np.zeros((2, len(data), len(self.names)))
+        pooled = np.zeros((len(data), len(self.names)))
         owner = np.repeat(np.arange(len(data)), counts)
         for at in range(0, len(codes), rows):
             some = codes[at : at + rows]
             logp = self.network.log_probabilities(self.network.read(some))
             real = (some != PAD).T[:, None, :]
-            for k, x in enumerate((logp, np.exp(logp))):
-                np.add.at(pooled[k], owner[at : at + rows], (x * real).sum(axis=0, dtype=np.float64).T)
-        length = np.maximum(1, [len(x) for x in data])[:, None]
-        best = (pooled[0] / length).argmax(axis=1)
-        score = (pooled[1] / length)[np.arange(len(data)), best].clip(0, 1)
+            np.add.at(pooled, owner[at : at + rows], (logp * real).sum(axis=0, dtype=np.float64).T)
+        pooled /= np.maximum(1, [len(x) for x in data])[:, None]
+        pooled = np.exp(pooled - pooled.max(axis=1, keepdims=True))
+        best = pooled.argmax(axis=1)
+        score = (pooled.max(axis=1) / pooled.sum(axis=1)).clip(0, 1)
         return (
             [self.names[b] if x else "und" for b, x in zip(best, data, strict=True)],
             [round(float(s), 6) if x else 0.0 for s, x in zip(score, data, strict=True)],
@@ -221,20 +226,32 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def sample(docs: DataFrame, s: Settings, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, str]]:
-    """(text piece, language) from at most languages * docs documents, chosen by the hash of their id."""
+    """(text piece, language) from at most `docs` documents of every language, chosen by the hash of their id.
+
+    Languages are counted first, so that a scan keeps about twice as many rows of each as are wanted, all of a rare one; only
+    those are cut into pieces, shuffled and ranked. The driver holds the languages' names, as the network does.
+    """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    rows = hash_sample(rows, s.docs_read)
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(s.languages).select("lang")
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if len(counts) > s.most:
+        raise ValueError(f"{len(counts)} languages, more than {s.most} documents to learn from")
+    docs_each = max(1, min(s.docs, s.most // max(1, len(counts))))
+    wanted = 2 * max(docs_each, 50)  # of so many drawn by hash, enough are left whatever the hash does
+    crowded = {lang: wanted / n for lang, n in counts.items() if n > wanted}
+    if crowded:
+        share = F.create_map(*[F.lit(x) for pair in sorted(crowded.items()) for x in pair])[F.col("lang")]
+        drawn = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
+        rows = rows.where(F.coalesce(drawn < share, F.lit(True)))
     place = [
         F.substring("text", F.pmod(F.xxhash64(F.lit(i), "doc_id"), F.greatest(F.char_length("text") - s.length, F.lit(1))).cast("int") + 1, F.lit(s.length))
         for i in range(s.pieces)
     ]
-    cut = rows.join(common, "lang").select("lang", "doc_id", F.array(*place).alias("pieces"))
+    cut = rows.select("lang", "doc_id", F.array(*place).alias("pieces"))
     cut = cut.withColumn("rank", F.expr("row_number() over (partition by lang order by xxhash64(doc_id), doc_id, pieces)"))
-    found = cut.where(F.col("rank") <= s.docs).select("lang", F.explode("pieces").alias("piece"))
-    return sorted((r.piece, r.lang) for r in found.collect() if LETTER.search(r.piece))
+    found = cut.where(F.col("rank") <= docs_each).select("lang", F.explode("pieces").alias("piece"))
+    return sorted((r.piece, r.lang) for r in found.collect() if has_letter(r.piece))
 
 
 def train(examples: list[tuple[str, str]], s: Settings) -> Model:
@@ -263,8 +280,8 @@ def identify(
     """Columns doc_id, held_out, lang_pred, score (with `rows`, also row: the input row); one row per input row.
 
     Fits a network on a bounded sample of labelled pieces (see Settings) of documents that are not held out, then reads
-    every byte of every text in windows; each position is labelled, the document's score is the
-    mean probability of its language over all positions.
+    every byte of every text in windows; each position is labelled, the document takes the language with the highest
+    geometric mean over all positions, and its share of all languages' as score.
 
     NULL texts and texts without a letter are 'und' with score 0, and so is everything if no label
     is there to learn from. NULL ids are neither held out nor learned from. Ties go to the

@@ -351,3 +351,51 @@ def test_pipeline_stages(spark, docs, root):
     for r in last:
         if len([k for k in kept if k == str(r.doc_id)]) == 1:
             assert r.decoded_sha256 == hashlib.sha256(texts[str(r.doc_id)].encode()).hexdigest()
+
+
+def test_automata_keep_the_places_of_a_format_apart(spark):
+    """Labelled credentials of the table: a fifth is held back and found again by format, other lengths and letters are not."""
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    kinds, ordinary = credentials.examples(table.select("doc_id", "text"), 400, 1500, 20_000)
+    assert len(ordinary) == 1500 and all(len(s) == 40 for s in kinds["hex"])
+    scorer = credentials.fit({k: [s for i, s in enumerate(v) if i % 5] for k, v in kinds.items()}, ordinary)
+    assert len(scorer.kinds["hex"].states) > 40 and len(scorer.kinds["assign"].states) > 40
+    for k in ("hex", "assign"):
+        left_out = kinds[k][::5]
+        assert sum(map(scorer.is_credential, left_out)) >= 0.95 * len(left_out)
+    rng = np.random.default_rng(5)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    for letters, n in (("0123456789abcdef", 20), ("0123456789abcdef", 32), ("0123456789abcdef", 64), ("0123456789ABCDEF", 32), ("0123456789", 16)):
+        assert sum(scorer.is_credential(draw(letters, n)) for _ in range(200)) <= 2
+
+
+def test_an_unlabelled_credential_becomes_a_format_span(spark):
+    rng = np.random.default_rng(6)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    made = lambda: "ghx_" + draw("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 12)
+    words = lambda: " ".join(draw("etaoinshrdlu", int(rng.integers(4, 14))) for _ in range(12))
+    rows = [(i, f"{words()} token={made()} {words()}") for i in range(150)]
+    alone = made()
+    rows += [(500, f"see {alone} here"), (501, f"see {alone[:9]} and {alone}{alone} here"), (502, words()), (503, None)]
+    out = {r.doc_id: r for r in credentials.find_secrets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out[500].spans == f"format:4:{4 + len(alone)}" and out[500].base == ""
+    assert [out[i].spans for i in (501, 502, 503)] == ["", "", ""]
+
+
+def test_number_signs_are_no_letters(spark):
+    model = langid.train([("some english text", "en"), ("ein deutscher Satz", "de")], langid.Settings(steps=3))
+    lang, score = model.predict(["\u00bd \u00b2", "12 \u2460", "1_2", "", None, "\u00bd a"])
+    assert lang[:5] == ["und"] * 5 and score[:5] == [0.0] * 5 and lang[5] in ("de", "en") and 0.5 <= score[5] <= 1
+
+
+def test_rare_languages_are_learned(spark):
+    """Five documents among 50,000 are all read; the others are thinned to the bound."""
+    rare = "(id % 10000 = 7)"
+    docs = spark.range(50_000).selectExpr(
+        "id as doc_id", f"if({rare}, 'καλημέρα κόσμε', 'good morning world') as text", f"if({rare}, 'el', 'en') as lang"
+    )
+    s = langid.Settings(docs=100, pieces=1)
+    found = langid.sample(docs, s, "doc_id", "text", "lang")
+    free = docs.where("pmod(crc32(cast(cast(doc_id as string) as binary)), 5) != 0").groupBy("lang").count().collect()
+    assert {r.lang: min(100, r["count"]) for r in free} == {k: sum(x == k for _, x in found) for k in ("el", "en")}
+    assert 0 < sum(x == "el" for _, x in found) <= 5
