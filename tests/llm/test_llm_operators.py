@@ -399,3 +399,18 @@ def test_rare_languages_are_learned(spark):
     free = docs.where("pmod(crc32(cast(cast(doc_id as string) as binary)), 5) != 0").groupBy("lang").count().collect()
     assert {r.lang: min(100, r["count"]) for r in free} == {k: sum(x == k for _, x in found) for k in ("el", "en")}
     assert 0 < sum(x == "el" for _, x in found) <= 5
+
+
+def test_bpe_query_equals_tiktoken_on_the_whole_table(spark, root):
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = bpe.read_ranks(f.read())
+    theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    out = {r.doc_id: r for r in registry.QUERIES["op8_byte_bpe"](spark, root).collect()}
+    rows = spark.read.parquet(f"{root}/documents.parquet").select("doc_id", "text").collect()
+    assert len(out) == len(rows)
+    for r in rows:
+        ids = theirs.encode_ordinary(r.text or "")
+        got = out[r.doc_id]
+        assert got.n_tokens == len(ids)
+        assert got.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert got.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest()
