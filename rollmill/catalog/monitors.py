@@ -43,16 +43,22 @@ def m2(spark, root):
 
 
 def m3(spark, root):
-    report = M.step_report(fx.verified_rollouts(spark, root)).select("run_id", "step", "mu")
+    report = M.step_report(fx.grouped_rollouts(spark, root)).select("run_id", "step", "mu")
     return rounded_cols(M.log_rows(report, 8), ["mu"])
 
 
 def m6(spark, root):
-    return rounded_cols(M.step_report(fx.verified_rollouts(spark, root)), ["mu", "sigma", "r_min", "r_max"])
+    return rounded_cols(M.step_report(fx.grouped_rollouts(spark, root)), ["mu", "sigma", "r_min", "r_max"])
+
+
+def m6_rewards(spark, root):
+    """Every group's rewards in the order of its samples."""
+    pages = M.reward_pages(fx.verified_rollouts(spark, root))
+    return pages.withColumn("rewards", F.array_join(F.transform("rewards", lambda r: r.cast("int").cast("string")), ","))
 
 
 def m6_history(spark, root):
-    report = M.step_report(fx.verified_rollouts(spark, root))
+    report = M.step_report(fx.grouped_rollouts(spark, root))
     return rounded_cols(M.metric_history(report, ["run_id", "step"], ["mu", "sigma", "kept", "skipped"]), ["value"])
 
 
@@ -104,6 +110,11 @@ ENTRIES = {
                any_value(kept) as kept, any_value(skipped) as skipped
         from v join e on e.run_id = v.run_id and e.step = v.step group by v.run_id, v.step""",
     ),
+    "m6_reward_pages": Entry(
+        m6_rewards,
+        f"""with {VERIFIED} select run_id, step, prompt_id, (sample_id // 1024)::bigint as page,
+        string_agg(reward::int, ',' order by sample_id) as rewards from v group by 1, 2, 3, 4""",
+    ),
     "m6_metric_history": Entry(
         m6_history,
         f"""with {STATS}, e as (select run_id, step, avg(reward) as mu, stddev_pop(reward) as sigma,

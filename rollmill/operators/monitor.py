@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollmill.operators.advantages import KEYS, group_stats, has_signal
+from rollmill.operators.advantages import KEYS, group_facts, group_stats, has_signal
 from rollmill.plans.scale import attach
+from rollmill.sources.layout import PART, Grouped
 
 
 def accuracy(rows: DataFrame, by: Sequence[str] = ("phase",), reward: str = "reward") -> DataFrame:
@@ -62,32 +63,45 @@ def arm_compare(
 
 
 def step_report(
-    rollouts: DataFrame,
+    rollouts: DataFrame | Grouped,
     keys: Sequence[str] = KEYS,
     by: Sequence[str] = ("run_id", "step"),
     reward: str = "reward",
     mode: str = "var",
 ) -> DataFrame:
-    """M6: what a training step prints: samples, rewards, kept and skipped groups.
+    """M6: what a training step prints: samples, rewards, kept and skipped groups; `by` is among `keys`.
 
-    Rewards come as mean, deviation, range and count of correct ones; the
-    single rewards are rows of the rollouts themselves.
+    Rewards come as mean, deviation, range and count of correct ones; `reward_pages` lists them. Grouped rows are read once:
+    each knows its group's statistics and counts as its share of the group.
     """
-    stats = group_stats(rollouts, keys, reward)
-    n = F.sum("k")
-    mean = F.sum("r_sum") / n
+    r = F.col(reward)
+    facts = [
+        F.count(r).alias("samples"),
+        F.count_if(r == 1.0).alias("n_correct"),
+        F.avg(r).alias("mu"),
+        F.min(r).alias("r_min"),
+        F.max(r).alias("r_max"),
+    ]
     # straight from the rewards: mean squares less squared means would cancel
-    spread = rollouts.groupBy(*by).agg(F.stddev_pop(reward).alias("sigma"))
-    report = stats.groupBy(*by).agg(
-        n.alias("samples"),
-        F.sum("n_correct").alias("n_correct"),
-        mean.alias("mu"),
-        F.min("r_min").alias("r_min"),
-        F.max("r_max").alias("r_max"),
-        F.count_if(has_signal(mode)).alias("kept"),
-        F.count_if(~has_signal(mode)).alias("skipped"),
-    )
-    return attach(report, spread, by)
+    spread = F.stddev_pop(r).alias("sigma")
+    names = {"kept": has_signal(mode), "skipped": ~has_signal(mode)}
+    if isinstance(rollouts, Grouped):
+        # facts keep apart from the rows' own columns that share a name
+        rows = Grouped(rollouts.rows.select(*keys, r, PART), rollouts.keys, rollouts.hot).with_facts(group_facts(reward))
+        groups = [F.round(F.sum(F.when(r.isNotNull() & met, 1 / F.col("k")).otherwise(0.0))).cast("bigint").alias(n) for n, met in names.items()]
+        return rows.groupBy(*by).agg(*facts, *groups, spread)
+    stats = group_stats(rollouts, keys, reward).groupBy(*by).agg(*[F.count_if(met).alias(n) for n, met in names.items()])
+    return attach(rollouts.groupBy(*by).agg(*facts, spread), stats, by)
+
+
+def reward_pages(
+    rollouts: DataFrame, keys: Sequence[str] = KEYS, reward: str = "reward", position: str = "sample_id", size: int = 1024
+) -> DataFrame:
+    """M6: the rewards themselves: keys, page, rewards. `position` counts a group's samples, each page holds `size` of them at
+    most, in order, so that no list grows with its group."""
+    page = F.floor(F.col(position) / F.lit(size)).alias("page")
+    listed = F.sort_array(F.collect_list(F.struct(F.col(position).alias("at"), F.col(reward).alias("r"))))
+    return rollouts.groupBy(*keys, page).agg(F.transform(listed, lambda x: x["r"]).alias("rewards"))
 
 
 def metric_history(report: DataFrame, ids: Sequence[str], names: Sequence[str]) -> DataFrame:

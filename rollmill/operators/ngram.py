@@ -7,7 +7,7 @@ per model, so all log-probs of a token come out of the same join.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +19,9 @@ from rollmill.plans.scale import attach
 # Fixed value: context before the first token.
 START = "<s>"
 
+#: Bits of a filter over needed keys: 2^18 rows of 64 bits at most, whatever the input.
+FILTER_BITS = 1 << 24
+
 
 @dataclass(frozen=True)
 class NgramLM:
@@ -27,6 +30,7 @@ class NgramLM:
     ngrams:   (ctx, w, n_<model>...)  one row per distinct n-gram
     contexts: (ctx, n_<model>, seen_<model>, s_<model>...)  one row per context
     sizes:    one row, v_<model>: distinct words + 1 for unknown ones
+    stored:   whether the n-grams are read from files
     """
 
     models: tuple[str, ...]
@@ -35,11 +39,12 @@ class NgramLM:
     ngrams: DataFrame
     contexts: DataFrame
     sizes: DataFrame
+    stored: bool = False
 
     def save(self, path: str) -> NgramLM:
         """Write the count tables so later scoring starts from them."""
         self.ngrams.write.parquet(f"{path}/ngrams")
-        return counted(self.ngrams.sparkSession.read.parquet(f"{path}/ngrams"), self.models, self.n, self.add_k)
+        return load_ngram_lm(self.ngrams.sparkSession, path, self.models, self.n, self.add_k)
 
 
 def _context_and_words(df: DataFrame, text: str, prompt: str | None, n: int) -> DataFrame:
@@ -93,21 +98,44 @@ def fit_ngram_lm(
 
 
 def counted(ngrams: DataFrame, models: Sequence[str], n: int, add_k: float) -> NgramLM:
-    k = F.lit(float(add_k))
-    per_context, per_word, sizes = [], [], []
+    per_word = [F.max(f"n_{m}").alias(f"n_{m}") for m in models]
+    sizes = [(F.count_if(F.col(f"n_{m}") > 0) + 1).alias(f"v_{m}") for m in models]
+    vocabulary = ngrams.groupBy("w").agg(*per_word)
+    return NgramLM(tuple(models), n, add_k, ngrams, by_context(ngrams, models, add_k), vocabulary.agg(*sizes))
+
+
+def by_context(ngrams: DataFrame, models: Sequence[str], add_k: float) -> DataFrame:
+    facts = []
     for m in models:
         c = F.col(f"n_{m}")
-        smooth = c + k
-        per_context += [
+        smooth = c + F.lit(float(add_k))
+        facts += [
             F.sum(c).alias(f"n_{m}"),
             F.count_if(c > 0).alias(f"seen_{m}"),
             F.sum(F.when(c > 0, smooth * F.ln(smooth)).otherwise(0.0)).alias(f"s_{m}"),
         ]
-        per_word.append(F.max(c).alias(f"n_{m}"))
-        sizes.append((F.count_if(c > 0) + 1).alias(f"v_{m}"))
-    contexts = ngrams.groupBy("ctx").agg(*per_context)
-    vocabulary = ngrams.groupBy("w").agg(*per_word)
-    return NgramLM(tuple(models), n, add_k, ngrams, contexts, vocabulary.agg(*sizes))
+    return ngrams.groupBy("ctx").agg(*facts)
+
+
+def marked(table: DataFrame, needed: DataFrame, keys: Sequence[str], bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of `table` whose `keys` are in `needed`, and a few others; the keys are not NULL.
+
+    The hashes of the needed keys set bits, 64 to a row. These rows, `bits` / 64 at most, are broadcast to the table, so that the
+    others go before a shuffle. A key that shares its bit with a needed one stays.
+    """
+    if bits % 64:
+        raise ValueError("bits come in rows of 64")
+    at = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    places = needed.select(at.alias("at")).select(F.expr("at div 64").alias("_row"), F.expr("shiftleft(1L, int(at % 64))").alias("bit"))
+    marks = places.groupBy("_row").agg(F.bit_or("bit").alias("_bits"))
+    met = (F.floor(at / 64) == F.col("_row")) & (F.getbit("_bits", F.pmod(at, F.lit(64)).cast("int")) == 1)
+    return table.join(F.broadcast(marks), met, "left_semi")
+
+
+def narrowed(lm: NgramLM, needed: DataFrame, bits: int = FILTER_BITS) -> NgramLM:
+    """A stored `lm` without most n-grams and contexts that `needed` (ctx, w) does not hold; the counts of those left are whole."""
+    of_contexts = marked(lm.ngrams, needed, ["ctx"], bits)
+    return replace(lm, ngrams=marked(lm.ngrams, needed, ["ctx", "w"], bits), contexts=by_context(of_contexts, lm.models, lm.add_k))
 
 
 def _per_model(lm: NgramLM, sizes: Column, entropy: bool) -> list[Column]:
@@ -134,7 +162,12 @@ def _per_model(lm: NgramLM, sizes: Column, entropy: bool) -> list[Column]:
 
 
 def score_ngrams(lm: NgramLM, needed: DataFrame, entropy: bool = False) -> DataFrame:
-    """Log-probs of distinct (ctx, w) pairs."""
+    """Log-probs of distinct (ctx, w) pairs.
+
+    A stored model's n-grams are filtered as they are read. Those just counted lie by (ctx, w) already and move no more.
+    """
+    if lm.stored:
+        lm = narrowed(lm, needed)
     contexts = lm.contexts.select(
         "ctx",
         *[F.col(f"n_{m}").alias(f"ctx_n_{m}") for m in lm.models],
@@ -218,4 +251,4 @@ def perplexity_by(scored: DataFrame, by: Sequence[str], sum_lp: str, tokens: str
 
 
 def load_ngram_lm(spark: SparkSession, path: str, models: Sequence[str], n: int = 2, add_k: float = 0.5) -> NgramLM:
-    return counted(spark.read.parquet(f"{path}/ngrams"), models, n, add_k)
+    return replace(counted(spark.read.parquet(f"{path}/ngrams"), models, n, add_k), stored=True)

@@ -1,4 +1,5 @@
 import math
+import re
 
 import pandas as pd
 import pytest
@@ -298,6 +299,34 @@ def test_saved_model_scores_the_same(spark, tmp_path):
     assert L.seq_logp(again, samples, ["sample_id"]).collect() == L.seq_logp(lm, samples, ["sample_id"]).collect()
 
 
+@pytest.mark.parametrize("bits", [64, 128, 1 << 20])
+def test_a_stored_model_moves_needed_ngrams_alone(spark, tmp_path, bits):
+    docs = spark.range(300).selectExpr("concat_ws(' ', 'a', 'w' || id, 'b', 'w' || (id + 1)) as text")
+    lm = L.fit_ngram_lm(docs, "text").save(str(tmp_path / "lm"))
+    needed = spark.createDataFrame([("a", f"w{i}") for i in range(9)] + [("w5", "b"), ("never", "b")], "ctx string, w string")
+    small = L.narrowed(lm, needed, bits)
+    pairs = lambda df: {tuple(r) for r in df.collect()}
+    whole = pairs(lm.ngrams.join(needed, ["ctx", "w"], "left_semi"))
+    assert whole <= pairs(small.ngrams) and len(whole) == 10
+    kept = {r.ctx: r for r in small.contexts.collect()}
+    assert all(kept[r.ctx] == r for r in lm.contexts.where("ctx in ('a', 'w5')").collect())
+    if bits == 1 << 20:
+        assert small.ngrams.count() < 15 < lm.ngrams.count() and len(kept) < 6
+    exact = L.score_ngrams(L.replace(lm, stored=False), needed, entropy=True)
+    assert pairs(exact) == pairs(L.score_ngrams(lm, needed, entropy=True))
+
+
+def test_the_filter_comes_before_the_shuffle(spark, tmp_path, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    lm = tiny_lm(spark).save(str(tmp_path / "lm"))
+    needed = spark.createDataFrame([("a", "b")], "ctx string, w string")
+    plan = L.score_ngrams(lm, needed)._jdf.queryExecution().executedPlan().toString()
+    scans = [plan[: m.start()] for m in re.finditer(r"FileScan parquet \[ctx", plan)]
+    assert len(scans) == 2
+    for above in scans:
+        assert above.rindex("Exchange hashpartitioning(ctx") < above.rindex("LeftSemi, BuildRight")
+
+
 def test_reverse_kl_against_itself_is_zero(spark):
     samples = spark.createDataFrame([(0, "a", "b c b")], "sample_id bigint, prompt string, response string")
     toks = L.token_logp(tiny_lm(spark), samples, ["sample_id"])
@@ -382,6 +411,34 @@ def test_step_report_over_several_groups(spark):
     assert row.mu == pytest.approx(rewards.mean()) and row.sigma == pytest.approx(rewards.std(ddof=0))
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_step_report_of_grouped_rows_is_the_same(spark, hot):
+    from rollmill.sources.layout import Grouped, grouped
+
+    df = spark.range(900).selectExpr(
+        "'r' as run_id", "id % 2 as step", "pmod(xxhash64(id), 7) as prompt_id", "case when id % 11 > 0 then 1e8 + id % 3 end as reward",
+        "id % 5 as k",
+    )
+    df = df.union(spark.createDataFrame([("r", 0, 8, None, 1), (None, 5, 1, 0.5, 1), ("r", 1, 9, 2.0, 1)], df.schema))
+    groups = grouped(df, ["run_id", "step", "prompt_id"], hot=[])
+    if hot:
+        some = [r.h for r in df.select(F.xxhash64("prompt_id").alias("h")).distinct().collect()][:4]
+        groups = grouped(df, ["run_id", "step", "prompt_id"], ["prompt_id"], some)
+    assert isinstance(groups, Grouped) and groups.hot == hot
+    order = lambda rows: sorted((r.asDict() for r in rows), key=lambda r: r["step"])
+    got, want = order(M.step_report(groups).collect()), order(M.step_report(df).collect())
+    assert len(got) == len(want) == 3
+    for a, b in zip(got, want):
+        assert a == {k: pytest.approx(v, rel=1e-9) if isinstance(v, float) else v for k, v in b.items()}
+
+
+def test_reward_pages_hold_every_reward_in_order(spark):
+    df = spark.range(25).selectExpr("'r' as run_id", "0 as step", "id % 2 as prompt_id", "id div 2 as sample_id", "double(id) as reward")
+    got = {(r.prompt_id, r.page): r.rewards for r in M.reward_pages(df, size=5).collect()}
+    assert len(got) == 6 and max(map(len, got.values())) == 5
+    assert sum((got[0, p] for p in range(3)), []) == [float(i) for i in range(0, 25, 2)]
+
+
 def test_entropy_drift(spark):
     track = spark.createDataFrame([("c", 0, 2.0), ("c", 5, 1.0), ("t", 0, 2.0), ("t", 5, 1.9)], "arm string, step bigint, entropy double")
     got = {r.arm: (r["first"], r["last"]) for r in M.entropy_drift(track).collect()}
