@@ -42,6 +42,16 @@ def v1(spark, root):
     return rows(fx.verified_rollouts(spark, root), "reward")
 
 
+def last_int(text, gold):
+    """A user's verifier: the last integer of the text, as it is written, is gold."""
+    return text.str.extract("(-?[0-9]+)[^0-9]*$", expand=False) == gold.astype("str")
+
+
+def v1_user(spark, root):
+    own = R.user_verifier(last_int)
+    return rows(fx.arith_rollouts(spark, root).withColumn("reward", own(F.col("response"), F.col("gold"))), "reward")
+
+
 def v2(spark, root):
     scored = V.length_reward(F.col("response"), F.col("gold"))
     return rows(fx.arith_rollouts(spark, root).withColumn("reward", scored), "reward")
@@ -219,6 +229,13 @@ def d3(spark, root):
     return rounded_cols(S.star_rounds(rounds(spark, root)), ["accuracy", "delta"])
 
 
+def d3_start(spark, root):
+    """Each group's first answer stands for what the model knew before the first round."""
+    sampled = rounds(spark, root)
+    found = S.star_rounds(sampled.where("sample_id > 0"), start=sampled.where("sample_id = 0"))
+    return rounded_cols(found, ["accuracy", "delta"])
+
+
 def d4(spark, root):
     rows_of_rounds = rounds(spark, root).select(*IDS, "round", "prompt", "response", "reward")
     scored = S.star_refit(written(rows_of_rounds, "rounds"), IDS)
@@ -338,6 +355,11 @@ PPO = f"-least({RHO} * adv, {clip(RHO, 0.8, 1.2)} * adv) + 0.02::double * (lp_ne
 
 ENTRIES = {
     "v1_first_int_reward": Entry(v1, f"with {VERIFIED} select {ROW}, {r('reward')} as reward from v"),
+    "v1_user_verifier": Entry(
+        v1_user,
+        f"""with {ARITH_ROLLOUTS} select {ROW}, case when regexp_extract(response, '(-?[0-9]+)[^0-9]*$', 1) = gold::bigint::varchar
+        then 1::double else 0::double end as reward from arith_rollouts""",
+    ),
     "v2_length_reward": Entry(
         v2, f"with {VERIFIED} select {ROW}, {r(f'reward - 0.5::double * greatest({N_WORDS} - 4, 0) / 4')} as reward from v"
     ),
@@ -439,6 +461,16 @@ ENTRIES = {
                array_to_string(list(round(a * 100 + 1.7e-9)::bigint::varchar || '%')
                  over (partition by run_id order by round), ' -> ') as trajectory from ra""",
     ),
+    "d3_star_rounds_from_start": Entry(
+        d3_start,
+        f"""with {ROUNDS}, r0 as (select run_id, avg(reward) as a0 from rr where sample_id = 0 group by run_id),
+        ra as (select run_id, round, count(*) as sampled, count(*) filter (reward = 1) as kept,
+        avg(reward) as a from rr where sample_id > 0 group by run_id, round)
+        select run_id, round, sampled, kept, {r('a')} as accuracy,
+               {r('a - coalesce(lag(a) over (partition by run_id order by round), a0)')} as delta,
+               round(a0 * 100 + 1.7e-9)::bigint::varchar || '% -> ' || array_to_string(list(round(a * 100 + 1.7e-9)::bigint::varchar || '%')
+                 over (partition by run_id order by round), ' -> ') as trajectory from ra join r0 using (run_id)""",
+    ),
     "d4_star_refit": Entry(
         d4,
         rf"""with {ROUNDS},

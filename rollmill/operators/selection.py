@@ -44,25 +44,40 @@ def top_k_per_prompt(
     return rollouts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def star_rounds(rollouts: DataFrame, round_col: str = "round", by: Sequence[str] = ("run_id",), reward: str = "reward") -> DataFrame:
+def star_rounds(
+    rollouts: DataFrame,
+    round_col: str = "round",
+    by: Sequence[str] = ("run_id",),
+    reward: str = "reward",
+    start: DataFrame | None = None,
+) -> DataFrame:
     """D3: kept, accuracy and change per round, with the trajectory so far.
 
-    The ordered part works on one row per round.
+    `start` (by, reward) holds answers from before the first round: their accuracy begins the trajectory, and the first
+    change is measured from it. The ordered part works on one row per round.
     """
     w = Window.partitionBy(*by).orderBy(round_col)
-    percent = F.concat(F.round(F.col("accuracy") * 100 + F.lit(1.7e-9)).cast("bigint").cast("string"), F.lit("%"))
+    facts = rollouts.groupBy(*by, round_col).agg(
+        F.count(F.lit(1)).alias("sampled"),
+        F.count_if(F.col(reward) == 1.0).alias("kept"),
+        F.avg(reward).alias("accuracy"),
+    )
+    if start is None:
+        facts = facts.withColumn("_start", F.lit(None).cast("double"))
+    else:
+        facts = attach(facts, start.groupBy(*by).agg(F.avg(reward).alias("_start")), by)
+    before = F.coalesce(F.lag("accuracy").over(w), F.when(F.row_number().over(w) == 1, F.col("_start")))
     return (
-        rollouts.groupBy(*by, round_col)
-        .agg(
-            F.count(F.lit(1)).alias("sampled"),
-            F.count_if(F.col(reward) == 1.0).alias("kept"),
-            F.avg(reward).alias("accuracy"),
-        )
-        .withColumn("delta", F.col("accuracy") - F.lag("accuracy").over(w))
-        .withColumn("trajectory", F.array_join(F.collect_list(percent).over(w), " -> "))
+        facts.withColumn("delta", F.col("accuracy") - before)
+        .withColumn("trajectory", F.concat_ws(" -> ", _percent("_start"), F.array_join(F.collect_list(_percent("accuracy")).over(w), " -> ")))
+        .drop("_start")
     )
 
 
+def _percent(share: str) -> Column:
+    return F.concat(F.round(F.col(share) * 100 + F.lit(1.7e-9)).cast("bigint").cast("string"), F.lit("%"))
+
+
 def star_refit(
     rollouts: DataFrame,
     ids: Sequence[str],

@@ -223,6 +223,14 @@ def test_outcomes_are_reduced_and_missing_ones_fail(spark):
     assert got("any") == [1.0, 1.0, 0.0]
 
 
+def test_trajectory_begins_before_the_first_round(spark):
+    df = spark.createDataFrame([("a", 4, 1.0), ("a", 4, 0.0), ("a", 9, 1.0), ("b", 4, 0.0)], "run_id string, round bigint, reward double")
+    start = spark.createDataFrame([("a", 0.0), ("a", 0.0), ("a", 0.0), ("a", 1.0)], "run_id string, reward double")
+    got = {(r.run_id, r.round): (r.delta, r.trajectory) for r in S.star_rounds(df, start=start).collect()}
+    # a run without answers from before begins with its first round
+    assert got == {("a", 4): (0.25, "25% -> 50%"), ("a", 9): (0.5, "25% -> 50% -> 100%"), ("b", 4): (None, "0%")}
+
+
 def test_user_verifier_is_vectorised(spark):
     exact = R.user_verifier(lambda text, gold: text.str.strip() == gold.astype(str))
     df = spark.createDataFrame([(" 7 ", 7), ("8", 7)], "text string, gold bigint")
