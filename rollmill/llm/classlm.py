@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollmill.llm.common import arrow_schema, small, texts, written
+from rollmill.plans.scale import attach
 
 CHUNK_BYTES = 4 << 20
 CHUNK_DOCS = 50_000
@@ -159,35 +160,38 @@ def with_ends(values: np.ndarray, lengths: np.ndarray, end) -> tuple[np.ndarray,
     return out, places
 
 
-def exchange(pairs: DataFrame, frequent: int, rounds: int) -> np.ndarray:
+def exchange(pairs: DataFrame, frequent: int, gain: float) -> np.ndarray:
     """Class of each unit (array of END + 1). Clustered words start spread by rank and change classes, all those of one parity
     at a time, to where their neighbours' classes make the training text likeliest; shapes and the end keep their own.
 
-    Every round is a few aggregations of the bigram table; the driver gets one class per clustered word
-    (fewer than SHARE_BOUND) and the class bigrams. Rounds stop once they no longer help.
+    Every turn is a few aggregations of the bigram table; the driver gets one class per clustered word
+    (fewer than SHARE_BOUND) and the class bigrams. It ends once a pass over both parities raises the log-likelihood by less than
+    `gain` of its size; the likeliest classes met are returned.
     """
     spark, k = pairs.sparkSession, CLASSES + SHAPES + 1
     classes = np.full(END + 1, -1, np.int64)
     classes[:frequent] = np.arange(frequent) % CLASSES
     classes[SHARE_BOUND : END + 1] = CLASSES + np.arange(SHAPES + 1)
-    best, kept = -math.inf, classes.copy()
-    for turn in range(rounds + 1):
-        mapped = class_frame(spark, classes, frequent)
-        matrix = class_bigrams(pairs, mapped, k)
-        total = likelihood(matrix)
-        if total <= best + 1e-9 * abs(best) and turn > 1:
+    mapped = class_frame(spark, classes, frequent)
+    matrix = class_bigrams(pairs, mapped, k)
+    best, kept = likelihood(matrix), classes.copy()
+    while frequent:
+        before = best
+        for parity in (0, 1):
+            right = pairs.where(f"a < {frequent}").join(F.broadcast(mapped), pairs.b == mapped.unit)
+            left = pairs.where(f"b < {frequent}").join(F.broadcast(mapped), pairs.a == mapped.unit)
+            context = right.groupBy(F.col("a").alias("word"), F.lit(0).alias("side"), "class").agg(F.sum("n").alias("n"))
+            context = context.union(left.groupBy(F.col("b").alias("word"), F.lit(1).alias("side"), "class").agg(F.sum("n")))
+            chosen = context.where(F.pmod(F.col("word").bitwiseXOR(F.shiftright("word", 3)), F.lit(2)) == parity)
+            for r in chosen.groupBy(F.pmod("word", F.lit(64))).applyInPandas(mover(matrix), "word int, class int").collect():
+                classes[r["word"]] = r["class"]
+            mapped = class_frame(spark, classes, frequent)
+            matrix = class_bigrams(pairs, mapped, k)
+            total = likelihood(matrix)
+            if total > best:
+                best, kept = total, classes.copy()
+        if best - before <= gain * abs(before):
             return kept
-        if total > best:
-            best, kept = total, classes.copy()
-        if turn == rounds or not frequent:
-            break
-        right = pairs.where(f"a < {frequent}").join(F.broadcast(mapped), pairs.b == mapped.unit)
-        left = pairs.where(f"b < {frequent}").join(F.broadcast(mapped), pairs.a == mapped.unit)
-        context = right.groupBy(F.col("a").alias("word"), F.lit(0).alias("side"), "class").agg(F.sum("n").alias("n"))
-        context = context.union(left.groupBy(F.col("b").alias("word"), F.lit(1).alias("side"), "class").agg(F.sum("n")))
-        chosen = context.where(F.pmod(F.col("word").bitwiseXOR(F.shiftright("word", 3)), F.lit(2)) == turn % 2)
-        for r in chosen.groupBy(F.pmod("word", F.lit(64))).applyInPandas(mover(matrix), "word int, class int").collect():
-            classes[r["word"]] = r["class"]
     return kept
 
 
@@ -265,7 +269,7 @@ class Model:
         }
 
 
-def fit(table: DataFrame, counts: DataFrame, rounds: int) -> Model:
+def fit(table: DataFrame, counts: DataFrame, gain: float) -> Model:
     """counts: word, n over the training documents."""
     docs = int(table.select(F.explode("held").alias("held")).where("not held").count())
     facts = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
@@ -274,7 +278,7 @@ def fit(table: DataFrame, counts: DataFrame, rounds: int) -> Model:
     frequent = counts.where(F.col("n") * F.lit(SHARE_BOUND) > F.lit(tokens)).orderBy(F.desc("n"), "word").collect()
     names = [r.word for r in frequent]
     pairs = written(pair_counts(table, {w: i for i, w in enumerate(names)}), "pairs")
-    classes = exchange(pairs, len(names), rounds)
+    classes = exchange(pairs, len(names), gain)
     k = CLASSES + SHAPES + 1
     matrix = class_bigrams(pairs, class_frame(table.sparkSession, classes, len(names)), k)
     moves = np.log10((matrix + SMOOTH) / (matrix.sum(axis=1, keepdims=True) + SMOOTH * k))
@@ -289,7 +293,7 @@ def fit(table: DataFrame, counts: DataFrame, rounds: int) -> Model:
     return Model(tokens, distinct, docs, names, classes, moves, total, kinds)
 
 
-def score_texts(docs: DataFrame, rounds: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, gain: float = 1e-3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Columns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; one row per input row.
 
     Brown class model: P(text) is the product over its tokens of P(class | class before) P(token | class). Transitions are
@@ -298,7 +302,7 @@ def score_texts(docs: DataFrame, rounds: int = 4, id_col: str = "doc_id", text_c
 
     1. Texts are tokenised once, into chunks of bounded size that hold each distinct word once; written.
     2. Counts of all training words come from the chunks' words.
-    3. Bigrams of frequent words and shapes are counted, and exchange clustering runs over them.
+    3. Bigrams of frequent words and shapes are counted, and exchange clustering runs over them until a pass gains less than `gain`.
     4. Each chunk gets its own words' counts back and scores its texts.
 
     NULL and empty texts have one token, the end. Documents with a NULL id are not held out. Without training
@@ -308,11 +312,10 @@ def score_texts(docs: DataFrame, rounds: int = 4, id_col: str = "doc_id", text_c
     table = written(chunks(texts(docs, id_col, text_col)), "chunks")
     listed = table.select("chunk", F.posexplode(F.arrays_zip("words", "n")).alias("at", "x"))
     listed = listed.select(F.col("chunk").alias("of"), "at", F.col("x.words").alias("word"), F.col("x.n").alias("n"))
-    # a word has one row for each chunk that holds it
-    total = F.expr("sum(n) over (partition by word)")
-    first = F.expr("row_number() over (partition by word order by of) = 1")
-    counted = written(listed.select("of", "at", "word", total.alias("n"), first.alias("first")), "counts")
-    model = fit(table, counted.where("first and n > 0").select("word", "n"), rounds)
+    # a word has one row for each chunk that holds it: summed in parts, and met by a join that AQE can split
+    totals = written(listed.groupBy("word").agg(F.sum("n").alias("n")).where("n > 0"), "counts")
+    counted = attach(listed.drop("n"), totals, ["word"]).withColumn("n", F.coalesce("n", F.lit(0)))
+    model = fit(table, totals, gain)
     ranks = docs.sparkSession.createDataFrame([(w, i) for i, w in enumerate(model.names)], "word string, unit int")
     # fewer than SHARE_BOUND rows
     found = counted.join(F.broadcast(ranks), "word", "left")

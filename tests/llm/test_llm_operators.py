@@ -14,6 +14,7 @@ import xxhash
 import check
 import corpus_pipeline
 from rollmill.llm import bpe, credentials, langid, pii, registry, simhash
+from rollmill.llm import classlm
 from rollmill.llm.classlm import score_texts
 from rollmill.llm.decontaminate import contamination
 from rollmill.llm.graph import components
@@ -236,7 +237,7 @@ def test_bpe_equals_tiktoken_and_round_trips(docs):
 
 
 def test_class_model_base_and_held_out(spark, docs, root):
-    out = score_texts(docs, rounds=2).collect()
+    out = score_texts(docs).collect()
     tokens = lambda t: [*(t or "").encode().lower().split(), None]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     c = collections.Counter(x for i, t in ROWS if not held(i) for x in tokens(t))
@@ -254,6 +255,63 @@ def test_class_model_base_and_held_out(spark, docs, root):
     assert sum(r.score for r in real) > sum(r.base_score for r in real)
 
 
+def test_class_model_scores_by_hand(spark, docs):
+    """The classes come from the exchange; transitions, emissions and scores are counted anew here."""
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    tokens = lambda t: [w.decode() for w in (t or "").encode().lower().split()]
+    learned = [tokens(t) for i, t in ROWS if not held(i)]
+    count = collections.Counter(w for ws in learned for w in ws)
+    table = classlm.written(classlm.chunks(docs), "chunks")
+    model = classlm.fit(table, spark.createDataFrame(list(count.items()), "word string, n bigint"), 1e-3)
+    rank = {w: i for i, w in enumerate(model.names)}
+    assert len(rank) > 20 and len(set(model.classes[: len(rank)])) > 1
+
+    def shape(w):
+        return min((len(w) - 1) // 3, 4) + 5 * ((not w.isascii()) + 2 * (w[-1] in ".,;:!?|)]}\"'"))
+
+    def cls(w):
+        return model.classes[rank[w]] if w in rank else classlm.CLASSES + shape(w)
+
+    end, k = classlm.CLASSES + classlm.SHAPES, classlm.CLASSES + classlm.SHAPES + 1
+    moves, total, kinds = collections.Counter(), collections.Counter(), collections.Counter(cls(w) for w in count)
+    for ws in learned:
+        path = [end, *map(cls, ws), end]
+        moves.update(zip(path, path[1:]))
+        total.update(path[1:])
+    after = collections.Counter()
+    for (a, _), n in moves.items():
+        after[a] += n
+    distinct = len(count) + 1
+
+    def emit(w, c):
+        if w is None:  # the end is alone in its class
+            return 1.0
+        rest = 0.75 * kinds[c] / (kinds[c] + 1)
+        return (max(count[w] - 0.75, 0) + rest) / total[c] if total[c] else 1 / (distinct + 1)
+
+    def score(t):
+        ws = [*tokens(t), None]
+        path = [end, *[end if w is None else cls(w) for w in ws]]
+        step = lambda a, b: (moves[a, b] + 0.1) / (after[a] + 0.1 * k)
+        return sum(math.log10(step(a, b) * emit(w, b)) for a, b, w in zip(path, path[1:], ws))
+
+    got = sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in score_texts(docs).collect())
+    assert got == sorted((str(i), len(tokens(t)) + 1, round(score(t), 6)) for i, t in ROWS)
+
+
+def test_exchange_raises_the_likelihood(spark):
+    """Two kinds of words that never mix end in classes of their own."""
+    rows = [(a, b, 9) for a in range(60) for b in range(60) if (a < 30) != (b < 30)]
+    pairs = spark.createDataFrame(rows, "a int, b int, n bigint")
+    classes = classlm.exchange(pairs, 60, 1e-3)
+    start = classes.copy()
+    start[:60] = [i % classlm.CLASSES for i in range(60)]
+    k = classlm.CLASSES + classlm.SHAPES + 1
+    of = lambda c: classlm.likelihood(classlm.class_bigrams(pairs, classlm.class_frame(spark, c, 60), k))
+    assert of(classes) >= of(start)
+    assert not set(classes[:30]) & set(classes[30:60])
+
+
 def test_language_on_held_out_rows(spark, docs, root):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{root}/documents.parquet").collect()}
     out = registry.op4_language(spark, root).collect()
