@@ -6,6 +6,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 import tiktoken
@@ -255,27 +256,49 @@ def test_class_model_base_and_held_out(spark, docs, root):
     assert sum(r.score for r in real) > sum(r.base_score for r in real)
 
 
-def test_class_model_scores_by_hand(spark, docs):
-    """The classes come from the exchange; transitions, emissions and scores are counted anew here."""
+@pytest.mark.parametrize("share", [20_000, 60])
+def test_class_model_scores_by_hand(spark, docs, share):
+    """Frequent words' classes come from the exchange; rarer words' steps, transitions, emissions and scores are counted anew here."""
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     tokens = lambda t: [w.decode() for w in (t or "").encode().lower().split()]
     learned = [tokens(t) for i, t in ROWS if not held(i)]
     count = collections.Counter(w for ws in learned for w in ws)
     table = classlm.written(classlm.chunks(docs), "chunks")
-    model = classlm.fit(table, spark.createDataFrame(list(count.items()), "word string, n bigint"), 1e-3)
-    rank = {w: i for i, w in enumerate(model.names)}
-    assert len(rank) > 20 and len(set(model.classes[: len(rank)])) > 1
+    known = classlm.cluster_frequent(table, 1e-3, share)
+    everything = sum(count.values()) + len(learned)
+    assert known.tokens == everything and known.docs == len(learned)
+    assert dict(zip(known.names, known.n)) == {w: n for w, n in count.items() if n * share > everything}
+    words = {r.chunk: r.words for r in table.collect()}
+    met = classlm.neighbours(table, known).repartition(2)
+    placed = classlm.place(met, known.matrix).collect()
+    cls = {words[r["of"]][r["at"]]: r["class"] % classlm.FIRST for r in placed}
+    assert all(count[words[r["of"]][r["at"]]] == r["n"] for r in placed)
+    assert sum(r["class"] >= classlm.FIRST for r in placed) == len(cls) and not set(cls) & set(known.names)
 
     def shape(w):
-        return min((len(w) - 1) // 3, 4) + 5 * ((not w.isascii()) + 2 * (w[-1] in ".,;:!?|)]}\"'"))
+        return classlm.CLASSES + min((len(w) - 1) // 3, 4) + 5 * ((not w.isascii()) + 2 * (w[-1] in ".,;:!?|)]}\"'"))
 
-    def cls(w):
-        return model.classes[rank[w]] if w in rank else classlm.CLASSES + shape(w)
-
-    end, k = classlm.CLASSES + classlm.SHAPES, classlm.CLASSES + classlm.SHAPES + 1
-    moves, total, kinds = collections.Counter(), collections.Counter(), collections.Counter(cls(w) for w in count)
+    first = {w: int(known.classes[i]) for i, w in enumerate(known.names)}
+    end, k = classlm.K - 1, classlm.K
+    moved = 0
+    log, log_n = np.log(known.matrix + 0.5), np.log(known.matrix.sum(axis=1) + 0.5 * k)
+    around = collections.defaultdict(lambda: np.zeros(classlm.CLASSES))
+    for ws in learned:
+        path = [end, *[first.get(w, shape(w)) for w in ws], end]
+        for w, a, b in zip(ws, path, path[2:]):
+            around[w] += log[: classlm.CLASSES, b] + log[a, : classlm.CLASSES] - 2 * log_n[: classlm.CLASSES]
+    for w, c in cls.items():
+        if count[w] < classlm.LEAST_COUNT:
+            assert c == shape(w)
+        else:
+            moved += 1
+            assert around[w][c] == pytest.approx(around[w].max())
+    assert (moved > 20) == (share == 60) and len(set(first.values())) > 1
+    cls |= first
+
+    moves, total, kinds = collections.Counter(), collections.Counter(), collections.Counter(cls[w] for w in count)
     for ws in learned:
-        path = [end, *map(cls, ws), end]
+        path = [end, *(cls[w] for w in ws), end]
         moves.update(zip(path, path[1:]))
         total.update(path[1:])
     after = collections.Counter()
@@ -291,14 +314,29 @@ def test_class_model_scores_by_hand(spark, docs):
 
     def score(t):
         ws = [*tokens(t), None]
-        path = [end, *[end if w is None else cls(w) for w in ws]]
+        path = [end, *[end if w is None else cls[w] for w in ws]]
         step = lambda a, b: (moves[a, b] + 0.1) / (after[a] + 0.1 * k)
         return sum(math.log10(step(a, b) * emit(w, b)) for a, b, w in zip(path, path[1:], ws))
 
-    got = sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in score_texts(docs).collect())
+    got = sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in score_texts(docs, share=share).collect())
     assert got == sorted((str(i), len(tokens(t)) + 1, round(score(t), 6)) for i, t in ROWS)
 
 
+def test_class_model_merges_rows_of_one_word():
+    """A word's rows lie in several batches; the classes do not depend on where batches end."""
+    rng = np.random.default_rng(4)
+    names = sorted(f"w{i}" for i in range(9) for _ in range(rng.integers(1, 40)))
+    seen = [bytes(rng.integers(0, 2 * classlm.K, 2 * rng.integers(0, 3)).astype(np.uint8)) for _ in names]
+    rows = pa.table({"word": names, "of": np.arange(len(names)), "at": np.arange(len(names), dtype=np.int32), "seen": pa.array(seen, pa.binary())})
+    matrix = rng.integers(0, 50, (classlm.K, classlm.K)).astype(float)
+    results = []
+    for size in (1, 3, 7, 1000):
+        out = pa.Table.from_batches(classlm.placing(matrix)(iter(rows.to_batches(max_chunksize=size)))).to_pandas()
+        results.append(out.sort_values("of").values.tolist())
+    assert results[0] == results[1] == results[2] == results[3] and len(results[0]) == len(names)
+    assert sum(r[3] >= classlm.FIRST for r in results[0]) == len(set(names))
+
+
 def test_exchange_raises_the_likelihood(spark):
     """Two kinds of words that never mix end in classes of their own."""
     rows = [(a, b, 9) for a in range(60) for b in range(60) if (a < 30) != (b < 30)]
