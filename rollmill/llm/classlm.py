@@ -38,6 +38,10 @@ CHUNK_SCHEMA = (
     "chunk bigint, words array<string>, n array<bigint>, doc_ids array<bigint>, held array<boolean>, "
     "lengths array<int>, codes binary, tokens bigint, learned bigint"
 )
+#: A chunk without its words: their number, and places and units of the frequent ones.
+LIGHT_SCHEMA = (
+    "chunk bigint, words int, doc_ids array<bigint>, held array<boolean>, lengths array<int>, codes binary, places array<int>, units array<int>"
+)
 PLACED_SCHEMA = "of bigint, at int, n bigint, class smallint"
 CODED_SCHEMA = (
     "doc_ids array<bigint>, held array<boolean>, lengths array<int>, codes binary, counts array<bigint>, classes binary, "
@@ -373,17 +377,28 @@ def place(met: DataFrame, matrix: np.ndarray) -> DataFrame:
 def coded(table: DataFrame, placed: DataFrame, known: Frequent) -> DataFrame:
     """Chunks with count and class of each word; kinds and mass: new words by class, and their training tokens."""
     schema = arrow_schema(table.sparkSession, CODED_SCHEMA)
+    light_schema = arrow_schema(table.sparkSession, LIGHT_SCHEMA)
     names, counts_of, classes_of = known.index(), known.n, known.classes
 
+    def without_words(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                row = {name: b.column(name)[i] for name in b.schema.names}
+                units = pc.index_in(row["words"].values, names)
+                often = pc.is_valid(units)
+                places = pa.array(np.flatnonzero(often.to_numpy(zero_copy_only=False)).astype(np.int32))
+                lists = [one_list(x) for x in (row["doc_ids"].values, row["held"].values, row["lengths"].values)]
+                arrays = [pa.array([row["chunk"].as_py()]), pa.array([len(units)], pa.int32()), *lists]
+                arrays += [pa.array([row["codes"].as_py()]), one_list(places), one_list(units.filter(often))]
+                yield pa.RecordBatch.from_arrays(arrays, schema=light_schema)
+
     def one(chunk: pa.Table, facts: pa.Table) -> pa.Table:
         if not chunk.num_rows:
             return schema.empty_table()
         row = {name: chunk.column(name)[0] for name in chunk.column_names}
-        words = row["words"].values
-        units = units_of(words, names)
-        counts, classes = np.zeros(len(words), np.int64), classes_of[units]
-        often = units < SHARE_BOUND
-        counts[often] = counts_of[units[often]]
+        counts, classes = np.zeros((2, row["words"].as_py()), np.int64)
+        places, units = row["places"].values.to_numpy(), row["units"].values.to_numpy()
+        counts[places], classes[places] = counts_of[units], classes_of[units]
         at, n = facts.column("at").to_numpy(), facts.column("n").to_numpy()
         found = facts.column("class").to_numpy().astype(np.int64)
         counts[at], classes[at] = n, found % FIRST
@@ -402,7 +417,8 @@ def coded(table: DataFrame, placed: DataFrame, known: Frequent) -> DataFrame:
         }
         return pa.Table.from_arrays([pa.array(v) if isinstance(v, list) else v for v in out.values()], schema=schema)
 
-    return table.drop("n", "tokens", "learned").groupBy("chunk").cogroup(placed.groupBy("of")).applyInArrow(one, CODED_SCHEMA)
+    light = table.select("chunk", "words", "doc_ids", "held", "lengths", "codes").mapInArrow(without_words, LIGHT_SCHEMA)
+    return light.groupBy("chunk").cogroup(placed.groupBy("of")).applyInArrow(one, CODED_SCHEMA)
 
 
 def transitions(table: DataFrame) -> np.ndarray:
