@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rollmill.llm.common import arrow_schema, small, texts, written
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 CHUNK_DOCS = 50_000
 #: Words with more than this share of the training tokens are frequent; fewer than SHARE_BOUND words can have it.
 SHARE_BOUND = 20_000
