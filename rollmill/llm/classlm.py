@@ -262,14 +262,16 @@ class Frequent:
 def cluster_frequent(table: DataFrame, gain: float, share: int = SHARE_BOUND) -> Frequent:
     """Exchange clustering of the words with more than 1 / share of the training tokens.
 
-    Such a word has more than this share in at least one chunk, so only those words of a chunk are counted over all chunks.
+    Counts that make up a tenth of that share of their own chunk are summed first: what they leave out of a word is at most a tenth of the share
+    of all tokens, so every frequent word sums to nine tenths of it. Only those words are then counted exactly.
     """
     facts = table.agg(F.sum("tokens").alias("t"), F.sum("learned").alias("d")).first()
     docs = int(facts.d or 0)
     tokens = int(facts.t or 0) + docs
-    often = table.select(F.expr(f"filter(arrays_zip(words, n), x -> x.n * {share} > tokens)").alias("often"))
-    likely = written(often.select(F.explode("often.words").alias("word")).distinct(), "likely")
-    counted = table.select(F.expr("inline(arrays_zip(words, n))").alias("word", "n")).join(likely, "word", "left_semi")
+    often = table.select(F.expr(f"inline(filter(arrays_zip(words, n), x -> x.n * {10 * share} > tokens))").alias("word", "n"))
+    likely = often.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") * F.lit(10 * share) > F.lit(9 * tokens)).select("word")
+    counted = table.select(F.expr("inline(arrays_zip(words, n))").alias("word", "n"))
+    counted = counted.join(F.broadcast(written(likely, "likely")), "word", "left_semi")  # at most share / 0.9 words
     counted = counted.groupBy("word").agg(F.sum("n").alias("n"))
     # fewer than SHARE_BOUND words can have more than 1 / SHARE_BOUND of all tokens
     rows = counted.where(F.col("n") * F.lit(share) > F.lit(tokens)).orderBy(F.desc("n"), "word").collect()
