@@ -103,12 +103,13 @@ def star_refit(
     rounds = attach(known.select("_fit").distinct(), sizes, ["_fit"]).select("_fit", F.coalesce("_v", F.lit(1)).alias("_v"))
 
     later = known.withColumn("_fit", F.col("_fit") - 1)
-    tokens = attach(token_rows(later, [*ids, round_col, "_fit"], answer, prompt, n), rounds, ["_fit"], "inner")
-    needed = tokens.where("w is not null").select("_fit", "_v", "ctx", "w").distinct()
+    tokens = token_rows(later, [*ids, round_col, "_fit"], answer, prompt, n)
+    # rounds meet the distinct n-grams, never the tokens: these would lie in one task per round. An empty answer is one of NULLs
+    needed = attach(tokens.select("_fit", "ctx", "w").distinct(), rounds, ["_fit"], "inner")
     counts = attach(attach(needed, ngrams, ["_fit", "ctx", "w"]), contexts, ["_fit", "ctx"])
     k = f"{float(add_k)!r}D"
-    scored = counts.selectExpr("_fit", "ctx", "w", f"ln((coalesce(_n, 0) + {k}) / (coalesce(_all, 0) + {k} * _v)) as _lp")
-    met = attach(tokens, scored, ["_fit", "ctx", "w"])
+    scored = counts.selectExpr("_fit", "ctx", "w", f"if(w is null, null, ln((coalesce(_n, 0) + {k}) / (coalesce(_all, 0) + {k} * _v))) as _lp")
+    met = attach(tokens, scored, ["_fit", "ctx", "w"], "inner")
     return met.groupBy(*ids, round_col).agg(
         F.greatest(F.count("w"), F.lit(1)).alias("n_tok"), F.coalesce(F.sum("_lp"), F.lit(0.0)).alias("sum_lp")
     )
