@@ -153,7 +153,8 @@ def a10_rows(spark, root):
 def trajectories(spark, root):
     """Prompt = trajectory, sample = time step, logged log-prob = value estimate."""
     steps = fx.grouped_rollouts(spark, root, stored=True).rows.withColumnRenamed("lp_new", "value")
-    return A.gae(steps, ["prompt_id"], "sample_id", gamma=0.99, lam=0.95, keep=("lp_old", "lp_ref"), dense=True)
+    parts = fx.line_parts(spark, root)
+    return A.gae(steps, ["prompt_id"], "sample_id", gamma=0.99, lam=0.95, keep=("lp_old", "lp_ref"), dense=True, parts=parts)
 
 
 def a11(spark, root):

@@ -203,17 +203,18 @@ def gae(
     lam: float = 0.95,
     keep: Sequence[str] = (),
     dense: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """Generalised advantage estimates and returns; the value after the last step is 0.
 
     Summing the discounted errors r_t + gamma * V_(t+1) - V_t by parts leaves two
     reverse scans (in -time) with coefficient gamma * lam: S of the rewards and W of
     the values give S_t - V_t + gamma * (1 - lam) * W_(t+1), without a division.
-    `dense` promises that every trajectory's times are consecutive integers.
+    `dense` promises that every trajectory's times are consecutive integers; `parts` are the partitions of the steps' shuffle.
     """
     steps = steps.select(*keys, time, reward, value, *keep)
     backward = steps.withColumn("_back", -F.col(time))
-    scanned = linear_scan(backward, keys, "_back", gamma * lam, (reward, value), ("_of_r", "_of_v"), dense=dense)
+    scanned = linear_scan(backward, keys, "_back", gamma * lam, (reward, value), ("_of_r", "_of_v"), dense=dense, parts=parts)
     adv = F.expr(f"_of_r - {value} + {gamma * (1.0 - lam)!r}D * _of_v_prev")
     found = scanned.withColumn("adv", adv).drop("_back", "_of_r", "_of_r_prev", "_of_v", "_of_v_prev")
     return found.withColumn("returns", F.col("adv") + F.col(value))

@@ -2,6 +2,7 @@
 
 * `attach` puts per-key facts back on rows through a join whose hot
   partitions AQE can split.
+* `task_parts` and `dealt` hash rows over so many partitions that no task holds much more than TASK_ROWS of them.
 * `hot_hashes` names the few keys that own most rows, by a sketch of bounded size; `row_index` cuts only those into blocks.
 * `running_total`, `dense_index`, `row_index`, `next_row` and `linear_scan`
   replace ordered windows over a whole key: the key is cut into blocks of
@@ -16,13 +17,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bits of a 64-bit order that each level takes off. A window then holds at most 2**16 rows of a key,
 #: or, one row per block, 2**24 numbers: whatever the span and spacing of the orders.
 CUTS = (16, 24)
 SCAN_BITS = 12
+#: Rows that a task sorts in memory, about; plans that sort whole rows ask for partitions by their number of rows.
+TASK_ROWS = 1 << 19
 #: A key is hot from HOT_ROWS rows on. HOT_KEYS of them are named at most, out of TRACKED that a sketch follows.
 HOT_ROWS = 1 << 16
 HOT_KEYS = 1 << 10
@@ -70,6 +73,19 @@ def attach(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str = "l
     return rows.withColumn("_h", F.xxhash64(*keys)).join(tagged, met, how).drop("_h", "_rh", *right.values())
 
 
+def task_parts(spark: SparkSession, rows: int, task_rows: int | None = None) -> int | None:
+    """Partitions for `rows` rows, at least the session's; None if the cluster's cores hold them in one round anyway."""
+    parts = math.ceil(rows / (task_rows or TASK_ROWS))
+    if parts <= spark.sparkContext.defaultParallelism:
+        return None
+    return max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def dealt(df: DataFrame, parts: int | None, keys: Sequence[str]) -> DataFrame:
+    """`df` hashed by `keys` over `parts` partitions, which AQE does not merge; left to Spark if None."""
+    return df.repartition(parts, *keys) if parts else df
+
+
 def running_total(
     df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, cuts: Sequence[int] = CUTS
 ) -> DataFrame:
@@ -118,12 +134,12 @@ def row_index(
     numbers, which a running total counts. Without keys all rows are cut. `hot` has the `hot_hashes` of the
     keys, if they are known already.
     """
-    packed, by = _packed(df, keys)
-    if by and hot is None:
+    if keys and hot is None:
         hot = hot_hashes(df, keys)
-    if by and not hot:
-        plain = packed.withColumn(out, F.expr(f"cast(row_number() {_over(by, order)} - 1 as bigint)"))
-        return _unpacked(plain, [*df.columns, out], keys)
+    if keys and not hot:
+        # by the keys themselves, so that joins and windows on them need no further shuffle
+        return df.withColumn(out, F.expr(f"cast(row_number() {_over(keys, order)} - 1 as bigint)"))
+    packed, by = _packed(df, keys)
     is_hot = F.xxhash64(*[F.col("_key")[k] for k in keys]).isin(list(hot)) if by else F.lit(True)
     tagged = packed.withColumn("_part", F.when(is_hot, F.expr(coarse)))
     counts = tagged.where(is_hot).groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_n"))
@@ -189,11 +205,13 @@ def linear_scan(
     bits: int = SCAN_BITS,
     dense: bool = False,
     cuts: Sequence[int] = CUTS,
+    parts: int | None = None,
 ) -> DataFrame:
     """x_t = coef * x_(t-1) + term_t per key in integer `order`, x before the first row = 0.
 
     Adds `out` (x_t) and `out`_prev (x_(t-1)); several terms share one pass. 0 <= coef <= 1. `dense` promises
-    that `order` holds consecutive integers per key, from any start. Terms above 1e100 may overflow.
+    that `order` holds consecutive integers per key, from any start; `parts` are the partitions of the rows' shuffle
+    (default: Spark's choice). Terms above 1e100 may overflow.
     """
     if not 0.0 <= coef <= 1.0:
         raise ValueError(f"coef must lie between 0 and 1, not {coef}")
@@ -205,10 +223,12 @@ def linear_scan(
         return df.select(*columns)
     df = df.withColumn("_p", F.col(order).cast("bigint")) if dense else dense_index(df, keys, order, "_p", cuts)
     packed, by = _packed(df, keys)
-    return _unpacked(_scan(packed, by, "_p", coef, pairs, bits), columns, keys)
+    return _unpacked(_scan(packed, by, "_p", coef, pairs, bits, parts), columns, keys)
 
 
-def _scan(df: DataFrame, keys: list[str], at: str, coef: float, pairs: list[tuple[str, str]], bits: int) -> DataFrame:
+def _scan(
+    df: DataFrame, keys: list[str], at: str, coef: float, pairs: list[tuple[str, str]], bits: int, parts: int | None = None
+) -> DataFrame:
     """`linear_scan` over consecutive positions `at`.
 
     A block of L rows needs one number from outside, the x it starts from;
@@ -226,20 +246,23 @@ def _scan(df: DataFrame, keys: list[str], at: str, coef: float, pairs: list[tupl
     blocked = df.selectExpr("*", f"{block_of(at, bits)} as _b", f"{at} & {last} as _i")
     # only full blocks have a successor, hence the fixed exponent
     sums = [F.expr(f"sum({term} * pow({c}, {last} - _i)) as _t{n}") for n, (term, _) in enumerate(pairs)]
-    ends = blocked.groupBy(*keys, F.expr("_b + 1 as _e")).agg(*sums)
+    # no key has a block after the table's last one
+    top = df.select(F.expr(f"max({block_of(at, bits)})").alias("top")).scalar()
+    ends = blocked.where(F.col("_b") < top).groupBy(*keys, F.expr("_b + 1 as _e")).agg(*sums)
     if span < 40.0:
         carry = _scan(ends, keys, "_e", q, [(f"_t{n}", f"_x{n}") for n in range(len(pairs))], SCAN_BITS)
     else:
         reach = math.ceil(650.0 / span) if coef else 1
         # in two factors, either of which stays a double
         weight = f"pow({q!r}D, _n div 2) * pow({q!r}D, _n - _n div 2)"
-        later = ends.selectExpr("*", f"explode(sequence(0, {max(reach, 1) - 1})) as _n")
+        ahead = F.least(F.lit(max(reach, 1) - 1).cast("bigint"), top - F.col("_e"))
+        later = ends.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), ahead)).alias("_n"))
         shares = [F.expr(f"sum(_t{n} * {weight}) as _x{n}") for n in range(len(pairs))]
         carry = later.groupBy(*keys, F.expr("_e + _n as _e")).agg(*shares)
     carry = carry.selectExpr(*keys, "_e as _b", *[f"_x{n} as _in{n}" for n in range(len(pairs))])
     window = _over([*keys, "_b"], [at], "1 preceding")
     inside = {f"_s{n}": F.expr(f"sum({term} * pow({c}, -_i)) {window}") for n, (term, _) in enumerate(pairs)}
-    joined = blocked.withColumns(inside).join(carry, [*keys, "_b"], "left")
+    joined = dealt(blocked, parts, [*keys, "_b"]).withColumns(inside).join(carry, [*keys, "_b"], "left")
     for n, (term, out) in enumerate(pairs):
         own = f"case when _i = 0 then 0D else pow({c}, _i - 1) * coalesce(_s{n}, 0D) end"
         joined = joined.withColumn(f"{out}_prev", F.expr(f"{own} + pow({c}, _i) * coalesce(_in{n}, 0D)"))
