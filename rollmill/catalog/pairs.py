@@ -68,8 +68,9 @@ def p4(spark, root):
 
 
 def p5(spark, root):
+    """The scores are written once: the anchor reads them all before any loss."""
     docs = fx.doc_rollouts(spark, root)
-    scored = L.seq_logp(lm(spark, root, "policy", "ref"), docs, ["sample_id", "reward"], prompt=None)
+    scored = written(L.seq_logp(lm(spark, root, "policy", "ref"), docs, ["sample_id", "reward"], prompt=None), "scored")
     rows = P.kto_z0(scored, "global", "lp_policy", "lp_ref")
     loss = C.kto_loss(F.col("lp_policy"), F.col("lp_ref"), F.col("reward"), F.col("z0"))
     return rounded_cols(rows.select("sample_id", "z0", loss.alias("loss")), ["z0", "loss"], 4)

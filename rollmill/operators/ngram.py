@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rollmill.functions.numerics import words
 from rollmill.plans.scale import attach
+from rollmill.plans.session import written
 
 # Fixed value: context before the first token.
 START = "<s>"
@@ -31,6 +32,7 @@ class NgramLM:
     contexts: (ctx, n_<model>, seen_<model>, s_<model>...)  one row per context
     sizes:    one row, v_<model>: distinct words + 1 for unknown ones
     stored:   whether the n-grams are read from files
+    rows:     (ctx, w, n_<model>...) before counting, one row per token, if the n-grams are counted from it
     """
 
     models: tuple[str, ...]
@@ -40,6 +42,7 @@ class NgramLM:
     contexts: DataFrame
     sizes: DataFrame
     stored: bool = False
+    rows: DataFrame | None = None
 
     def save(self, path: str) -> NgramLM:
         """Write the count tables so later scoring starts from them."""
@@ -88,13 +91,9 @@ def fit_ngram_lm(
     rows = _context_and_words(docs.where(reduce(lambda a, b: a | b, models.values())), text, prompt, n)
     # stated once here, or Spark infers it in some readers of the counts only and cannot share their shuffle
     known = "ctx is not null and w is not null"
-    ngrams = (
-        rows.select(*flags, F.inline(_zipped()))
-        .where(known)
-        .groupBy("ctx", "w")
-        .agg(*[F.sum(f"n_{m}").alias(f"n_{m}") for m in models])
-    )
-    return counted(ngrams, tuple(models), n, add_k)
+    tokens = rows.select(*flags, F.inline(_zipped())).where(known)
+    ngrams = tokens.groupBy("ctx", "w").agg(*[F.sum(f"n_{m}").alias(f"n_{m}") for m in models])
+    return replace(counted(ngrams, tuple(models), n, add_k), rows=tokens)
 
 
 def counted(ngrams: DataFrame, models: Sequence[str], n: int, add_k: float) -> NgramLM:
@@ -138,6 +137,22 @@ def narrowed(lm: NgramLM, needed: DataFrame, bits: int = FILTER_BITS) -> NgramLM
     return replace(lm, ngrams=marked(lm.ngrams, needed, ["ctx", "w"], bits), contexts=by_context(of_contexts, lm.models, lm.add_k))
 
 
+def counted_with(lm: NgramLM, needed: DataFrame) -> tuple[NgramLM, DataFrame]:
+    """`lm` and the counts of the pairs `needed` (ctx, w), out of one count: needed pairs enter it as tokens of weight 0.
+
+    They are counted like any other n-gram, where a join would sort them and all n-grams by their texts. The counts are written once:
+    pairs, contexts and sizes read them, without counting again where Spark cannot share the shuffle. A context without tokens
+    has sums of 0, as if it were missing.
+    """
+    ns = [f"n_{m}" for m in lm.models]
+    known = lm.rows.select("ctx", "w", *ns, F.lit(0).alias("_asked"))
+    asked = needed.select("ctx", "w", *[F.lit(0).alias(n) for n in ns], F.lit(1).alias("_asked"))
+    sums = [F.sum(n).alias(n) for n in ns]
+    both = known.unionByName(asked).groupBy("ctx", "w").agg(*sums, F.max("_asked").alias("_asked"))
+    both = written(both, "ngrams", "zstd")
+    return replace(counted(both, lm.models, lm.n, lm.add_k), rows=lm.rows), both.where("_asked = 1").drop("_asked")
+
+
 def _per_model(lm: NgramLM, sizes: Column, entropy: bool) -> list[Column]:
     """ln P and, if asked, the entropy of the context, per model.
 
@@ -162,12 +177,16 @@ def _per_model(lm: NgramLM, sizes: Column, entropy: bool) -> list[Column]:
 
 
 def score_ngrams(lm: NgramLM, needed: DataFrame, entropy: bool = False) -> DataFrame:
-    """Log-probs of distinct (ctx, w) pairs.
+    """Log-probs of the distinct pairs among `needed` (ctx, w), which are not NULL.
 
-    A stored model's n-grams are filtered as they are read. Those just counted lie by (ctx, w) already and move no more.
+    A stored model's n-grams are filtered as they are read, and joined. Those still to be counted are counted together with the pairs.
     """
-    if lm.stored:
-        lm = narrowed(lm, needed)
+    if lm.rows is not None:
+        lm, counts = counted_with(lm, needed)
+    else:
+        needed = needed.select("ctx", "w").distinct()
+        lm = narrowed(lm, needed) if lm.stored else lm
+        counts = needed.join(lm.ngrams, ["ctx", "w"], "left")
     contexts = lm.contexts.select(
         "ctx",
         *[F.col(f"n_{m}").alias(f"ctx_n_{m}") for m in lm.models],
@@ -175,7 +194,6 @@ def score_ngrams(lm: NgramLM, needed: DataFrame, entropy: bool = False) -> DataF
         *[f"s_{m}" for m in lm.models],
     )
     sizes = lm.sizes.select(F.struct("*")).scalar()
-    counts = needed.join(lm.ngrams, ["ctx", "w"], "left")
     return attach(counts, contexts, ["ctx"]).select("ctx", "w", *_per_model(lm, sizes, entropy))
 
 
@@ -204,7 +222,7 @@ def token_logp(
     tokens = token_rows(samples, ids, answer, prompt, lm.n)
     if not keep_empty:
         tokens = tokens.where("w is not null")
-    needed = tokens.where("w is not null").select("ctx", "w").distinct()
+    needed = tokens.where("w is not null").select("ctx", "w")
     scored = attach(tokens, score_ngrams(lm, needed, entropy), ["ctx", "w"])
     return scored.drop("ctx").withColumnRenamed("w", "token")
 

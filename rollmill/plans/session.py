@@ -41,9 +41,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a table in the shared folder, for plans that read it more than once; later readers survive lost executors."""
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """`df` as a table in the shared folder, for plans that read it more than once; later readers survive lost executors.
+
+    `compression`: Parquet's, if not the session's."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
