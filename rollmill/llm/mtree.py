@@ -16,6 +16,10 @@ PAGE_ROWS = 4096
 LEAF_ROWS = 64
 FANOUT = 16
 QUERY_ROWS = 512
+#: Rows that meet all routing objects at once.
+ROUTE_ROWS = 1024
+#: Vectors of pages, and those of queries, that a task of the second search holds, as doubles: neither grows with the tables.
+CELL_BYTES = 1 << 25
 #: Routing objects of the root: one for every page, within these bounds.
 ROOTS = (8, 1024)
 EXACT = 2.0**52  # sums of products below this are exact in doubles
@@ -111,6 +115,16 @@ def best_case(norm_q: np.ndarray, norm_o: np.ndarray, distance: np.ndarray, radi
     return center + reach + 1e-9 * (norm_q[:, None] ** 2 + norm_o[None, :] ** 2 + reach) + 1e-6
 
 
+def leading(found: list[tuple], k: int) -> tuple[tuple, np.ndarray]:
+    """The k best of each query among `found` (query, vec_id, score), ties to smaller ids, and where the k-th ones are."""
+    query, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+    ranked = np.lexsort((ids, -scores, query))
+    query, ids, scores = query[ranked], ids[ranked], scores[ranked]
+    rank = np.arange(len(query)) - np.searchsorted(query, query)
+    ahead = rank < k
+    return (query[ahead], ids[ahead], scores[ahead]), np.flatnonzero(rank[ahead] == k - 1)
+
+
 def search_page(page: dict, q: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query index, vec_id, score): each query's k best in the page, ties to smaller ids.
 
@@ -152,17 +166,27 @@ def search_page(page: dict, q: np.ndarray, least: np.ndarray, k: int) -> tuple[n
             scores = products(q[mine], page["x"][rows])
             i, j = np.nonzero(scores >= floor[mine][:, None])
             found.append((mine[i], page["ids"][rows[j]], scores[i, j]))
-        query, ids, scores = (np.concatenate(x) for x in zip(*found, strict=True))
-        ranked = np.lexsort((ids, -scores, query))
-        query, ids, scores = query[ranked], ids[ranked], scores[ranked]
-        rank = np.arange(len(query)) - np.searchsorted(query, query)
-        best = query[rank < k], ids[rank < k], scores[rank < k]
-        last = rank == k - 1
-        floor[query[last]] = np.maximum(floor[query[last]], scores[last])
+        best, last = leading(found, k)
+        floor[best[0][last]] = np.maximum(floor[best[0][last]], best[2][last])
         first, wide = first + wide, 2 * wide
     return best[0], best[1], best[2].astype(np.int64)
 
 
+def search_pages(pages: list[dict], q: np.ndarray, least: np.ndarray, bound: np.ndarray, k: int) -> tuple:
+    """As search_page, over several pages: every page raises the score that the next ones must reach.
+
+    bound: no score of the query in the page is higher (a row per query, a column per page); NaN: it is not searched.
+    """
+    floor, best = least.astype(float), (np.empty(0, np.int64),) * 3
+    for n, page in enumerate(pages):
+        mine = np.flatnonzero(bound[:, n] >= floor)
+        if len(mine):
+            i, ids, scores = search_page(page | {"x": page["x"].astype(np.float64)}, q[mine], floor[mine], k)
+            best, last = leading([best, (mine[i], ids, scores)], k)
+            floor[best[0][last]] = np.maximum(floor[best[0][last]], best[2][last])
+    return best
+
+
 def packed(x: np.ndarray) -> np.ndarray:
     """Whole numbers in the smallest type that holds them."""
     low, high = x.min(initial=0), x.max(initial=0)
@@ -172,6 +196,21 @@ def packed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def unpacked(rows, width: int) -> np.ndarray:
+    """Vectors from the bytes of `packed` ones."""
+    out = np.zeros((len(rows), width))
+    for i, v in enumerate(rows if width else []):
+        out[i] = np.frombuffer(v, {1: np.int8, 2: np.int16, 4: np.int32, 8: np.float64}[len(v) // width])
+    return out
+
+
+def few(batches, rows: int = ROUTE_ROWS):
+    """The same rows in smaller frames."""
+    for pdf in batches:
+        for at in range(0, len(pdf), rows):
+            yield pdf.iloc[at : at + rows]
+
+
 def page_rows(width: int):
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("vec_id", kind="stable")
@@ -182,25 +221,25 @@ def page_rows(width: int):
     return build
 
 
-def visit(pages: DataFrame, asked: DataFrame, blocks: int, width: int, k: int) -> DataFrame:
-    """qid, vec_id, score: the k best of every (page, query) in `asked` (page, qid, q, least).
+def visit(pages: DataFrame, asked: DataFrame, bounds, width: int, k: int) -> DataFrame:
+    """qid, vec_id, score: for every (cell, query) in `asked` (cell, block, qid, q, own, least) the k best in the pages of the cell.
 
-    A page's queries come in blocks by hash, each with its own copy of the page.
+    pages: (cell, block, page, nodes). A cell's queries come in blocks, each with its own copy of the pages; a task
+    goes through QUERY_ROWS of them at a time. bounds(queries, their own pages, pages): the bounds of search_pages.
     """
 
     def run(some: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if some.empty or queries.empty:
-            return pd.DataFrame({"qid": [], "vec_id": [], "score": []}, dtype="int64")
-        page = pickle.loads(some["nodes"].iloc[0])
-        page["x"] = page["x"].astype(np.float64)
-        queries = queries.sort_values("qid")
-        found = search_page(page, stacked(queries["q"].tolist(), width), queries["least"].to_numpy(float), k)
-        return pd.DataFrame({"qid": queries["qid"].to_numpy()[found[0]], "vec_id": found[1], "score": found[2]})
-
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(blocks)))
-    due = asked.select(F.col("page").alias("p"), F.col("block").alias("b")).distinct()
-    copies = pages.join(due, pages.page == due.p).select("p", "b", "nodes")
-    met = copies.groupBy("p", "b").cogroup(asked.groupBy("page", "block"))
+        found = [pd.DataFrame({"qid": [], "vec_id": [], "score": []}, dtype="int64")]
+        some, queries = some.sort_values("page"), queries.sort_values("qid")
+        opened = [pickle.loads(n) for n in some["nodes"]] if len(queries) else []
+        for part in few([queries] if opened else [], QUERY_ROWS):
+            q, qid = unpacked(part["q"].tolist(), width), part["qid"].to_numpy()
+            bound = bounds(q, part["own"].to_numpy(), some["page"].to_numpy())
+            i, ids, scores = search_pages(opened, q, part["least"].to_numpy(float), bound, k)
+            found.append(pd.DataFrame({"qid": qid[i], "vec_id": ids, "score": scores}))
+        return pd.concat(found)
+
+    met = pages.groupBy("cell", "block").cogroup(asked.groupBy("cell", "block"))
     return met.applyInPandas(run, "qid bigint, vec_id bigint, score bigint")
 
 
@@ -223,7 +262,8 @@ def top_k(
     2. The root: routing objects from a bounded sample; every vector goes to the nearest, then to a page of
        about PAGE_ROWS vectors. A page is one task's M-tree (build_page).
     3. Each query searches one page under its own routing object. Its k-th score there prunes the root's
-       other subtrees by their covering radii; it then searches all pages of those that are left.
+       other subtrees by their covering radii; it then searches all pages of those that are left. A task takes some
+       neighbouring pages and a block of queries, within CELL_BYTES each: vectors are not sent once per page and query.
     """
     rows = written(quantised(vectors, id_col, vector_col).distinct().withColumn("h", F.xxhash64("e")), "vectors")
     same_id = rows.groupBy("vec_id").count().agg(F.max("count").alias("n")).first().n or 1
@@ -233,7 +273,6 @@ def top_k(
     kept = written(rows.withColumn("r", first).where(F.col("r") <= k_all).select("vec_id", "e"), "kept")
     queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
     searched = written(queries.groupBy("h", "e").agg(F.min("vec_id").alias("qid")), "queries")
-    blocks = -(-max(1, searched.count()) // QUERY_ROWS)
 
     wanted = min(max(-(-kept.count() // PAGE_ROWS), ROOTS[0]), ROOTS[1])
     drawn = kept.orderBy(F.xxhash64("vec_id"), "vec_id", "e").limit(8 * wanted).select("e").collect()
@@ -243,7 +282,7 @@ def top_k(
     roots = sample[spread_out(sample, wanted)]
 
     def route(batches):
-        for pdf in batches:
+        for pdf in few(batches):
             apart = distances(stacked(pdf["e"].tolist(), width), roots)
             nearest = apart.argmin(axis=1)
             yield pdf.assign(root=nearest.astype("int32"), d=apart[np.arange(len(pdf)), nearest])
@@ -258,37 +297,59 @@ def top_k(
     paged = routed.select("vec_id", "e", F.expr(f"cast(case root {spread} end as int)").alias("page"))
     pages = written(paged.groupBy("page").applyInPandas(page_rows(width), "page int, nodes binary"), "pages")
 
-    def ask(home: bool):
-        """Rows (page, qid, q, least): the first page of the nearest root with vectors, or all other pages in reach."""
-        norm_o = np.linalg.norm(roots, axis=1)
-
-        def run(batches):
-            for pdf in batches:
-                q = stacked(pdf["e"].tolist(), width)
-                apart = distances(q, roots)
-                apart[:, ~np.isfinite(radius)] = np.inf
-                near = apart.argmin(axis=1)
-                reach = best_case(np.linalg.norm(q, axis=1), norm_o, np.where(np.isinf(apart), 0, apart), np.maximum(radius, 0))
-                out = []
-                for i, (root, least) in enumerate(zip(near.tolist(), pdf["least"].tolist(), strict=True)):
-                    own = pages_of[root][0]
-                    if home:
-                        out.append((own, i))
-                    else:
-                        out += [(p, i) for r in pages_of if reach[i, r] >= least for p in pages_of[r] if p != own]
-                page, i = np.array(out, np.int64).reshape(-1, 2).T
-                yield pd.DataFrame({"page": page, "qid": pdf["qid"].to_numpy()[i], "q": pdf["e"].iloc[i].tolist(), "least": pdf["least"].to_numpy()[i]})
-
-        return run
-
-    schema = "page int, qid bigint, q array<double>, least double"
-    unknown = searched.select("qid", "e", F.lit(float("-inf")).alias("least"))
-    near = written(visit(pages, unknown.mapInPandas(ask(True), schema), blocks, width, k_all), "near")
+    def home(batches):
+        """Rows (qid, q, own): the first page of the nearest root with vectors."""
+        for pdf in few(batches):
+            q = stacked(pdf["e"].tolist(), width)
+            apart = distances(q, roots)
+            apart[:, ~np.isfinite(radius)] = np.inf
+            own = [pages_of[r][0] for r in apart.argmin(axis=1).tolist()]
+            yield pd.DataFrame({"qid": pdf["qid"], "q": [v.tobytes() for v in packed(q)], "own": own})
+
+    def reach(q: np.ndarray) -> np.ndarray:
+        """No vector under a root (column) has a larger product with a query (row)."""
+        bound = best_case(np.linalg.norm(q, axis=1), np.linalg.norm(roots, axis=1), distances(q, roots), np.maximum(radius, 0))
+        bound[:, ~np.isfinite(radius)] = np.nan
+        return bound
+
+    task_queries, task_pages = (max(1, CELL_BYTES // (8 * max(1, width) * n)) for n in (1, PAGE_ROWS))
+    homes = written(searched.mapInPandas(home, "qid bigint, q binary, own int"), "homes")
+    asking = {r.own: r.n for r in homes.groupBy("own").agg(F.count(F.lit(1)).alias("n")).collect()}  # ROOTS[1] at most
+    crowded = "".join(f" when {p} then {-(-n // task_queries)}" for p, n in asking.items() if n > task_queries)
+    copies = f"case cell{crowded} else 1 end" if crowded else "1"
+    block = "cast(pmod(xxhash64(qid), {}) as int) as block"
+    unknown = homes.selectExpr("own as cell", "*", "double('-inf') as least").selectExpr("*", block.format(copies))
+    first_pages = pages.where(F.col("page").isin(list(asking))).selectExpr("page as cell", "*")
+    first_pages = first_pages.selectExpr("*", f"explode(sequence(0, {copies} - 1)) as block")
+    near = written(visit(first_pages, unknown, lambda q, own, page: np.full((len(q), len(page)), np.inf), width, k_all), "near")
+
+    blocks = -(-sum(asking.values()) // task_queries)
+    size = min(task_pages, max(1, at * blocks // (4 * kept.sparkSession.sparkContext.defaultParallelism)))  # pages of a cell
+    root_of = np.empty(at, np.int64)
+    under = np.zeros((len(roots), -(-at // size)), np.float32)
+    for r, p in pages_of.items():
+        root_of[p.start : p.stop] = r
+        under[r, p.start // size : (p.stop - 1) // size + 1] = 1
+
+    def ask(batches):
+        """All columns and `cells`: those with a page in reach, other than the query's own."""
+        for pdf in few(batches):
+            asked = (reach(unpacked(pdf["q"].tolist(), width)) >= pdf["least"].to_numpy()[:, None]).astype(np.float32) @ under > 0
+            if size == 1:
+                asked[np.arange(len(pdf)), pdf["own"]] = False
+            yield pdf.assign(cells=[np.flatnonzero(a).astype(np.int32) for a in asked])
+
+    def in_reach(q: np.ndarray, own: np.ndarray, page: np.ndarray) -> np.ndarray:
+        return np.where(own[:, None] == page, np.nan, reach(q)[:, root_of[page]])
+
     floor = best(near, ["qid"], k_all).where(F.col("rank") == k_all).select(F.col("qid").alias("_q"), "score")
-    known = searched.join(floor, searched.qid == floor._q, "left").select(
-        "qid", "e", F.coalesce(F.col("score").cast("double"), F.lit(float("-inf"))).alias("least")
+    known = homes.join(floor, homes.qid == floor._q, "left").select(
+        "qid", "q", "own", F.coalesce(F.col("score").cast("double"), F.lit(float("-inf"))).alias("least")
     )
-    rest = visit(pages, known.mapInPandas(ask(False), schema), blocks, width, k_all)
+    told = known.mapInPandas(ask, "qid bigint, q binary, own int, least double, cells array<int>")
+    asked = told.select(F.explode("cells").alias("cell"), "qid", "q", "own", "least").selectExpr("*", block.format(blocks))
+    in_cells = pages.selectExpr(f"cast(page div {size} as int) as cell", "*", f"explode(sequence(0, {blocks - 1})) as block")
+    rest = visit(in_cells, asked, in_reach, width, k_all)
     found = best(near.union(rest), ["qid"], k_all).select("qid", "vec_id", "score")
     owners = attach(queries, searched, ["h", "e"], "inner").select(F.col("vec_id").alias("query_id"), "qid")
     met = attach(owners, found.groupBy("qid").agg(F.collect_list(F.struct("vec_id", "score")).alias("found")), ["qid"], "inner")
