@@ -10,11 +10,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollmill.functions.numerics import words
-from rollmill.plans.scale import attach
+from rollmill.plans.scale import attach, hot_and_rows, task_parts
 from rollmill.plans.session import written
 
 # Fixed value: context before the first token.
@@ -23,6 +23,10 @@ START = "<s>"
 #: Bits of a filter over needed keys: 2^18 rows of 64 bits at most, whatever the input.
 FILTER_BITS = 1 << 24
 
+#: Where tokens and counts meet by context: rows of a task, about, and of a context that a task holds whole.
+GATHER_ROWS = 1 << 21
+GATHER_HOT = 1 << 20
+
 
 @dataclass(frozen=True)
 class NgramLM:
@@ -176,8 +180,8 @@ def _per_model(lm: NgramLM, sizes: Column, entropy: bool) -> list[Column]:
     return out
 
 
-def score_ngrams(lm: NgramLM, needed: DataFrame, entropy: bool = False) -> DataFrame:
-    """Log-probs of the distinct pairs among `needed` (ctx, w), which are not NULL.
+def score_ngrams(lm: NgramLM, needed: DataFrame, entropy: bool = False, sizes: Column | None = None) -> DataFrame:
+    """Log-probs of the distinct pairs among `needed` (ctx, w), which are not NULL; `sizes`: a struct, if not the model's own.
 
     A stored model's n-grams are filtered as they are read, and joined. Those still to be counted are counted together with the pairs.
     """
@@ -193,7 +197,7 @@ def score_ngrams(lm: NgramLM, needed: DataFrame, entropy: bool = False) -> DataF
         *[f"seen_{m}" for m in lm.models],
         *[f"s_{m}" for m in lm.models],
     )
-    sizes = lm.sizes.select(F.struct("*")).scalar()
+    sizes = lm.sizes.select(F.struct("*")).scalar() if sizes is None else sizes
     return attach(counts, contexts, ["ctx"]).select("ctx", "w", *_per_model(lm, sizes, entropy))
 
 
@@ -205,6 +209,41 @@ def token_rows(samples: DataFrame, ids: Sequence[str], answer: str, prompt: str
     )
 
 
+def gathered(lm: NgramLM, tokens: DataFrame) -> DataFrame:
+    """`tokens` (..., ctx, w), not NULL, with the log-probs of a model still to be counted, by one shuffle of both.
+
+    The model's tokens and those to score meet by context, where the counts of pairs and contexts are windows over the rows
+    that lie together: pairs go neither to their contexts and back, nor to the tokens. Contexts of more than
+    GATHER_HOT rows are counted in parts and joined.
+    """
+    ns = [f"n_{m}" for m in lm.models]
+    hot, n_rows = hot_and_rows(lm.rows.select("ctx").unionByName(tokens.select("ctx")), ["ctx"], GATHER_HOT)
+    is_hot = F.xxhash64("ctx").isin(hot)
+    near_known, near = (df.where(~is_hot) if hot else df for df in (lm.rows, tokens))
+
+    words = lm.rows.groupBy("w").agg(*[F.max(n).alias(n) for n in ns])
+    found = words.agg(*[(F.count_if(F.col(n) > 0) + 1).alias(f"v_{m}") for n, m in zip(ns, lm.models, strict=True)]).first()
+    sizes = F.struct(*[F.lit(v).alias(c) for c, v in found.asDict().items()])
+
+    # one text a row takes less room than two, and behind the numbers, which change little; words hold no space
+    pair, ctx = F.concat_ws(" ", "w", "ctx").alias("_pair"), F.expr("substring(_pair, instr(_pair, ' ') + 1)")
+    kept = [c for c in tokens.columns if c not in ("ctx", "w")]
+    none = [F.lit(None).cast(tokens.schema[c].dataType).alias(c) for c in kept]
+    asked = near.select(*[F.lit(None).alias(n) for n in ns], *kept, F.lit(True).alias("_asked"), pair)
+    both = near_known.select(*ns, *none, F.lit(False).alias("_asked"), pair).unionByName(asked)
+    parts = task_parts(tokens.sparkSession, n_rows, GATHER_ROWS)
+    met = (both.repartition(parts, ctx) if parts else both.repartition(ctx)).withColumn("ctx", ctx)
+    met = met.withColumns({f"_{n}": F.sum(n).over(Window.partitionBy("ctx", "_pair")) for n in ns})  # its sort serves both
+    met = met.withColumns({f"ctx_{n}": F.sum(n).over(Window.partitionBy("ctx")) for n in ns}).where("_asked")
+    met = met.drop(*ns).withColumnsRenamed({f"_{n}": n for n in ns}).withColumn("w", F.substring_index("_pair", " ", 1))
+    scored = met.select(*tokens.columns, *_per_model(lm, sizes, False))
+    if not hot:
+        return scored
+    far = tokens.where(is_hot)
+    pairs = score_ngrams(replace(lm, rows=lm.rows.where(is_hot)), far.select("ctx", "w"), sizes=sizes)
+    return scored.unionByName(attach(far, pairs, ["ctx", "w"]))
+
+
 def token_logp(
     lm: NgramLM,
     samples: DataFrame,
@@ -213,17 +252,24 @@ def token_logp(
     prompt: str | None = "prompt",
     entropy: bool = False,
     keep_empty: bool = False,
+    gather: bool = False,
 ) -> DataFrame:
     """(ids, pos, token, lp_<model>, [h_<model>]) for answer tokens.
 
     Every distinct n-gram is looked up once; the token table itself moves in
-    a single shuffle. `keep_empty` keeps one NULL token for an empty answer.
+    a single shuffle. `keep_empty` keeps one NULL token for an empty answer. `gather` shuffles the model's tokens with those
+    of the answers, once: less to move where the answers hold about as many pairs as the model.
     """
+    if gather and (entropy or keep_empty or lm.rows is None):
+        raise ValueError("gather scores tokens, without entropy, by a model that is still to be counted")
     tokens = token_rows(samples, ids, answer, prompt, lm.n)
     if not keep_empty:
         tokens = tokens.where("w is not null")
-    needed = tokens.where("w is not null").select("ctx", "w")
-    scored = attach(tokens, score_ngrams(lm, needed, entropy), ["ctx", "w"])
+    if gather:
+        scored = gathered(lm, tokens)
+    else:
+        needed = tokens.where("w is not null").select("ctx", "w")
+        scored = attach(tokens, score_ngrams(lm, needed, entropy), ["ctx", "w"])
     return scored.drop("ctx").withColumnRenamed("w", "token")
 
 

@@ -119,9 +119,14 @@ def hot_hashes(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
     One pass over the key columns into a sketch per task, whatever the number of keys. A key that a sketch
     misses owns less than about 1/TRACKED of all rows: plans may rely on this list for speed, never for their results.
     """
+    return hot_and_rows(df, keys, hot_rows)[0]
+
+
+def hot_and_rows(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> tuple[list[int], int]:
+    """`hot_hashes` and the number of rows, in the same pass."""
     top = F.expr(f"approx_top_k(xxhash64({', '.join(keys)}), {HOT_KEYS}, {TRACKED})")
-    found = df.agg(top.alias("top")).first().top
-    return [x["item"] for x in found or [] if x["count"] > hot_rows]
+    found = df.agg(top.alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [x["item"] for x in found.top or [] if x["count"] > hot_rows], found.n
 
 
 def row_index(

@@ -144,9 +144,9 @@ def spin_generations(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def labelled_documents(spark: SparkSession, root: str) -> DataFrame:
-    """All documents with their labels where they have some."""
-    labels = table(spark, root, "labels").select("doc_id", "quality", "toxic")
+def labelled_documents(spark: SparkSession, root: str, mark: str | None = None) -> DataFrame:
+    """All documents with their labels where they have some; `mark` names a column that is true there and else NULL."""
+    labels = table(spark, root, "labels").select("doc_id", "quality", "toxic", *([F.lit(True).alias(mark)] if mark else []))
     docs = spread(table(spark, root, "documents").select("doc_id", "text"), "doc_id")
     return docs.join(labels, "doc_id", "left")
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # The column names trainers expect, per dataset kind.
 EXPORT_COLUMNS = {
@@ -56,7 +57,10 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
 
 
 def read_log(spark: SparkSession, path: str, schema: str = ROLLOUT_SCHEMA, fmt: str = "parquet") -> DataFrame:
-    """Rollout, label or token logs; JSON and Parquet, schema given, never inferred."""
+    """Rollout, label or token logs; JSON and Parquet, schema given, never inferred. With `fmt` 'table' `path` is a registered table,
+    whose buckets spare later shuffles."""
+    if fmt == "table":
+        return spark.table(path).to(StructType.fromDDL(schema))
     return spark.read.schema(schema).format(fmt).load(path)
 
 
