@@ -23,7 +23,7 @@ START = "<s>"
 #: Bits of a filter over needed keys: 2^18 rows of 64 bits at most, whatever the input.
 FILTER_BITS = 1 << 24
 
-#: Where tokens and counts meet by context: rows of a task, about, and of a context that a task holds whole.
+#: Where a model's documents are scored, and their tokens meet by context: rows of a task, about, and of a context that a task holds whole.
 GATHER_ROWS = 1 << 21
 GATHER_HOT = 1 << 20
 
@@ -37,6 +37,7 @@ class NgramLM:
     sizes:    one row, v_<model>: distinct words + 1 for unknown ones
     stored:   whether the n-grams are read from files
     rows:     (ctx, w, n_<model>...) before counting, one row per token, if the n-grams are counted from it
+    ids:      further columns of `rows`, with pos, of the documents that are scored too; NULL in all others
     """
 
     models: tuple[str, ...]
@@ -47,6 +48,7 @@ class NgramLM:
     sizes: DataFrame
     stored: bool = False
     rows: DataFrame | None = None
+    ids: tuple[str, ...] = ()
 
     def save(self, path: str) -> NgramLM:
         """Write the count tables so later scoring starts from them."""
@@ -85,19 +87,31 @@ def fit_ngram_lm(
     add_k: float = 0.5,
     weight: Column | None = None,
     prompt: str | None = None,
+    ids: Sequence[str] = (),
+    scored: Column | None = None,
 ) -> NgramLM:
-    """L1: maximum-likelihood counts; `models` maps a name to the rows it is fitted on."""
+    """L1: maximum-likelihood counts; `models` maps a name to the rows it is fitted on.
+
+    Documents where `scored` holds are answers too, known by `ids`: `token_logp` may score them without splitting them again.
+    """
     if add_k <= 0:
         raise ValueError("add_k must be positive: unseen words need some probability")
     models = dict(models or {"lm": F.lit(True)})
     weight = F.lit(1) if weight is None else weight
     flags = [F.when(cond, weight).otherwise(0).alias(f"n_{m}") for m, cond in models.items()]
-    rows = _context_and_words(docs.where(reduce(lambda a, b: a | b, models.values())), text, prompt, n)
+    used = [*models.values(), *([scored] if ids else [])]
+    rows = _context_and_words(docs.where(reduce(lambda a, b: a | b, used)), text, prompt, n)
     # stated once here, or Spark infers it in some readers of the counts only and cannot share their shuffle
     known = "ctx is not null and w is not null"
-    tokens = rows.select(*flags, F.inline(_zipped())).where(known)
+    if ids:
+        kept = [F.when(scored, F.col(i)).alias(i) for i in ids]
+        cells = rows.select(*flags, *kept, F.coalesce(scored, F.lit(False)).alias("_asked"), F.posexplode(_zipped()).alias("pos", "_t"))
+        pos = F.when(F.col("_asked"), F.col("pos").cast("bigint")).alias("pos")
+        tokens = cells.select(*[f"n_{m}" for m in models], *ids, pos, F.col("_t.ctx").alias("ctx"), F.col("_t.w").alias("w")).where(known)
+    else:
+        tokens = rows.select(*flags, F.inline(_zipped())).where(known)
     ngrams = tokens.groupBy("ctx", "w").agg(*[F.sum(f"n_{m}").alias(f"n_{m}") for m in models])
-    return replace(counted(ngrams, tuple(models), n, add_k), rows=tokens)
+    return replace(counted(ngrams, tuple(models), n, add_k), rows=tokens, ids=tuple(ids))
 
 
 def counted(ngrams: DataFrame, models: Sequence[str], n: int, add_k: float) -> NgramLM:
@@ -209,67 +223,60 @@ def token_rows(samples: DataFrame, ids: Sequence[str], answer: str, prompt: str
     )
 
 
-def gathered(lm: NgramLM, tokens: DataFrame) -> DataFrame:
-    """`tokens` (..., ctx, w), not NULL, with the log-probs of a model still to be counted, by one shuffle of both.
+def gathered(lm: NgramLM) -> DataFrame:
+    """Tokens (ids, pos, ctx, w, lp_<model>) of the documents that a model still to be counted is to score, by one shuffle of its rows.
 
-    The model's tokens and those to score meet by context, where the counts of pairs and contexts are windows over the rows
-    that lie together: pairs go neither to their contexts and back, nor to the tokens. Contexts of more than
-    GATHER_HOT rows are counted in parts and joined.
+    Rows meet by context, where the counts of pairs and contexts are windows over the rows that lie together: pairs go neither
+    to their contexts and back, nor to the tokens. Contexts of more than GATHER_HOT rows are counted in parts and joined.
     """
-    ns = [f"n_{m}" for m in lm.models]
-    hot, n_rows = hot_and_rows(lm.rows.select("ctx").unionByName(tokens.select("ctx")), ["ctx"], GATHER_HOT)
+    ns, kept = [f"n_{m}" for m in lm.models], [*lm.ids, "pos"]
+    hot, n_rows = hot_and_rows(lm.rows, ["ctx"], GATHER_HOT)
     is_hot = F.xxhash64("ctx").isin(hot)
-    near_known, near = (df.where(~is_hot) if hot else df for df in (lm.rows, tokens))
-
     words = lm.rows.groupBy("w").agg(*[F.max(n).alias(n) for n in ns])
     found = words.agg(*[(F.count_if(F.col(n) > 0) + 1).alias(f"v_{m}") for n, m in zip(ns, lm.models, strict=True)]).first()
     sizes = F.struct(*[F.lit(v).alias(c) for c, v in found.asDict().items()])
 
     # one text a row takes less room than two, and behind the numbers, which change little; words hold no space
     pair, ctx = F.concat_ws(" ", "w", "ctx").alias("_pair"), F.expr("substring(_pair, instr(_pair, ' ') + 1)")
-    kept = [c for c in tokens.columns if c not in ("ctx", "w")]
-    none = [F.lit(None).cast(tokens.schema[c].dataType).alias(c) for c in kept]
-    asked = near.select(*[F.lit(None).alias(n) for n in ns], *kept, F.lit(True).alias("_asked"), pair)
-    both = near_known.select(*ns, *none, F.lit(False).alias("_asked"), pair).unionByName(asked)
-    parts = task_parts(tokens.sparkSession, n_rows, GATHER_ROWS)
-    met = (both.repartition(parts, ctx) if parts else both.repartition(ctx)).withColumn("ctx", ctx)
+    near = (lm.rows.where(~is_hot) if hot else lm.rows).select(*ns, *kept, pair)
+    parts = task_parts(lm.rows.sparkSession, n_rows, GATHER_ROWS)
+    met = (near.repartition(parts, ctx) if parts else near.repartition(ctx)).withColumn("ctx", ctx)
     met = met.withColumns({f"_{n}": F.sum(n).over(Window.partitionBy("ctx", "_pair")) for n in ns})  # its sort serves both
-    met = met.withColumns({f"ctx_{n}": F.sum(n).over(Window.partitionBy("ctx")) for n in ns}).where("_asked")
+    met = met.withColumns({f"ctx_{n}": F.sum(n).over(Window.partitionBy("ctx")) for n in ns}).where("pos is not null")
     met = met.drop(*ns).withColumnsRenamed({f"_{n}": n for n in ns}).withColumn("w", F.substring_index("_pair", " ", 1))
-    scored = met.select(*tokens.columns, *_per_model(lm, sizes, False))
+    scored = met.select(*kept, "ctx", "w", *_per_model(lm, sizes, False))
     if not hot:
         return scored
-    far = tokens.where(is_hot)
-    pairs = score_ngrams(replace(lm, rows=lm.rows.where(is_hot)), far.select("ctx", "w"), sizes=sizes)
+    known = lm.rows.where(is_hot)
+    far = known.where("pos is not null").select(*kept, "ctx", "w")
+    pairs = score_ngrams(replace(lm, rows=known), far.select("ctx", "w"), sizes=sizes)
     return scored.unionByName(attach(far, pairs, ["ctx", "w"]))
 
 
 def token_logp(
     lm: NgramLM,
-    samples: DataFrame,
+    samples: DataFrame | None,
     ids: Sequence[str],
     answer: str = "response",
     prompt: str | None = "prompt",
     entropy: bool = False,
     keep_empty: bool = False,
-    gather: bool = False,
 ) -> DataFrame:
     """(ids, pos, token, lp_<model>, [h_<model>]) for answer tokens.
 
     Every distinct n-gram is looked up once; the token table itself moves in
-    a single shuffle. `keep_empty` keeps one NULL token for an empty answer. `gather` shuffles the model's tokens with those
-    of the answers, once: less to move where the answers hold about as many pairs as the model.
+    a single shuffle. `keep_empty` keeps one NULL token for an empty answer. Without `samples`
+    the model's own documents are scored, those that it was told to; their tokens are split and moved once, for counts and scores.
     """
-    if gather and (entropy or keep_empty or lm.rows is None):
-        raise ValueError("gather scores tokens, without entropy, by a model that is still to be counted")
+    if samples is None:
+        if entropy or keep_empty or lm.rows is None or tuple(ids) != lm.ids:
+            raise ValueError("a model still to be counted scores its documents by their ids, without entropy or empty answers")
+        return gathered(lm).drop("ctx").withColumnRenamed("w", "token")
     tokens = token_rows(samples, ids, answer, prompt, lm.n)
     if not keep_empty:
         tokens = tokens.where("w is not null")
-    if gather:
-        scored = gathered(lm, tokens)
-    else:
-        needed = tokens.where("w is not null").select("ctx", "w")
-        scored = attach(tokens, score_ngrams(lm, needed, entropy), ["ctx", "w"])
+    needed = tokens.where("w is not null").select("ctx", "w")
+    scored = attach(tokens, score_ngrams(lm, needed, entropy), ["ctx", "w"])
     return scored.drop("ctx").withColumnRenamed("w", "token")
 
 
